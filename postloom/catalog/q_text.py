@@ -13,6 +13,7 @@ from postloom.functions import dates, fields, skills, text, urls
 from postloom.operators import enrich as E
 from postloom.operators import reconcile as R
 from postloom.plans import search
+from postloom.sources.tables import spread
 
 
 def now() -> Column:
@@ -24,7 +25,8 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped rows with their skills as an array."""
     rows = view(spark, sf_dir, "postings")
     listed = F.when(F.col("skills_csv") != "", F.split("skills_csv", ","))
-    return rows.withColumn("skills", F.coalesce(listed, F.array().cast("array<string>"))).drop("skills_csv")
+    rows = rows.withColumn("skills", F.coalesce(listed, F.array().cast("array<string>"))).drop("skills_csv")
+    return spread(rows)
 
 
 def joined(items: Column) -> Column:
@@ -300,7 +302,7 @@ _LOWERED = {
 
 @query("entities", with_views(f"SELECT page_id, {S.unescape('html')} AS decoded FROM job_pages", "job_pages"))
 def entities(spark, sf_dir):
-    return view(spark, sf_dir, "job_pages").select("page_id", text.unescape(F.col("html")).alias("decoded"))
+    return spread(view(spark, sf_dir, "job_pages")).select("page_id", text.unescape(F.col("html")).alias("decoded"))
 
 
 @query(
@@ -311,7 +313,7 @@ def entities(spark, sf_dir):
     ),
 )
 def html_text(spark, sf_dir):
-    return view(spark, sf_dir, "job_pages").select("page_id", text.html_text(F.col("html")).alias("body"))
+    return spread(view(spark, sf_dir, "job_pages")).select("page_id", text.html_text(F.col("html")).alias("body"))
 
 
 @query("dedup_sentences", with_views("SELECT doc_id, full_text FROM texts", *POSTED, **_TEXTS))

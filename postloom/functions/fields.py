@@ -24,6 +24,25 @@ from postloom.functions.text import contains_any, let, null_if_empty, strip
 BEFORE_WORD = f"(?<!{WORD})"
 AFTER_WORD = f"(?!{WORD})"
 
+# Every text a pattern matches holds one of these substrings.  Looking for them is
+# far cheaper than a regular expression, which then runs on few texts.
+NEEDLES = {
+    "entry": ["entry level", "fresher", "fresh graduate", "0-1 year", "no experience"],
+    "junior": ["junior", "1-2 year", "1-3 year"],
+    "mid": ["mid", "3-5 year", "4-6 year", "intermediate"],
+    "senior": ["senior", "5+ year", "6+ year", "7+ year", "experienced"],
+    "lead": ["lead", "principal", "architect", "10+ year", "expert"],
+    "PhD": ["phd", "ph.d", "doctora"],
+    "Master's": ["master", "ms", "m.s", "mba", "graduate degree"],
+    "Bachelor's": ["bachelor", "bs", "b.s", "beng", "b.eng", "undergraduate degree", "4-year degree"],
+    "Associate": ["associate", "2-year degree"],
+    "High School": ["high school", "secondary school", "diploma"],
+    "Internship": ["intern"],
+    "Contract": ["contract", "temp"],
+    "Part-time": ["part-time", "part time", "parttime"],
+    "Full-time": ["full-time", "full time", "fulltime", "permanent"],
+}
+
 
 def is_blank(value: Column) -> Column:
     """Null, or a text that only stands for "nothing"."""
@@ -40,12 +59,13 @@ def first_match(text: Column, patterns: dict[str, str]) -> Column:
     Optional dots end some patterns, so the end test is either no word character
     after the match or, after a dot, any character: both mean a word edge.
     """
-    return F.coalesce(
-        *[
-            F.when(text.rlike(f"{BEFORE_WORD}{p}(?:(?<={WORD}){AFTER_WORD}|(?<!{WORD})(?={WORD}))"), F.lit(n))
-            for n, p in patterns.items()
-        ]
-    )
+    end = f"(?:(?<={WORD}){AFTER_WORD}|(?<!{WORD})(?={WORD}))"
+    tests = []
+    for name, pattern in patterns.items():
+        firsts = "".join(sorted({n[0] for n in NEEDLES[name]}))
+        regex = f"(?=[{firsts}]){BEFORE_WORD}{pattern}{end}"
+        tests.append(F.when(contains_any(text, NEEDLES[name]) & text.rlike(regex), F.lit(name)))
+    return F.coalesce(*tests)
 
 
 def field_and_text(field: Column, text: Column) -> Column:
@@ -56,7 +76,7 @@ def field_and_text(field: Column, text: Column) -> Column:
 # --- experience ------------------------------------------------------------
 
 _RANGES = [
-    p.replace("WS", WS).replace("([0-9]+)", "(?<![0-9])([0-9]++)", 1) for p in YEAR_RANGES
+    p.replace("WS", WS).replace("([0-9]+)", "(?=[0-9])(?<![0-9])([0-9]++)", 1) for p in YEAR_RANGES
 ]
 
 

@@ -19,17 +19,18 @@ from postloom.functions.text import contains_any, let
 INLINE_LIMIT = 2000
 _CHUNK = 100
 
-_BEFORE = f"(?<!{WORD})(?<![+#.])"
-_AFTER = rf"(?!{WORD})(?![+#])"
-
-
 def _literal(text: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", text)
 
 
 def skill_regex(skill: str) -> str:
-    """The skill as a whole token; '+', '#' and '.' belong to tokens ("C++", ".NET")."""
-    return _BEFORE + _literal(skill.lower()) + _AFTER
+    """The skill as a whole token; '+', '#' and '.' belong to tokens ("C++", ".NET").
+
+    The literal comes first and what precedes it is checked from its end, so the
+    search skips through the text by the literal.
+    """
+    literal = _literal(skill.lower())
+    return rf"{literal}(?<!{WORD}{literal})(?<![+#.]{literal})(?!{WORD})(?![+#])"
 
 
 def matched_skills(low_text: Column, vocabulary: list[str]) -> Column:

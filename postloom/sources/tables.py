@@ -120,3 +120,13 @@ def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets:
         .partitionBy("bucket")
         .parquet(path)
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than cores over all cores before heavy per-row work.
+
+    Only inputs too small to be split are moved; a large table has more splits than
+    cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
