@@ -245,7 +245,7 @@ def section_pieces(text: Column) -> Column:
 def sections(text: Column) -> Column:
     """``map<string,string>``; of several non-empty pieces of one section the last one wins."""
     found = let(
-        F.filter(section_pieces(text), lambda p: p["body"] != ""),
+        F.filter(let(text, section_pieces), lambda p: p["body"] != ""),
         lambda ps: F.filter(
             F.transform(
                 F.array(*[F.lit(n) for n in sorted(SECTION_HEADERS)]),

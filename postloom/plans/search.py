@@ -192,3 +192,11 @@ def may_start(runs: DataFrame, asking: DataFrame) -> DataFrame:
 def hour_slot(hour: Column) -> Column:
     """Which (board, role set) an hour serves: ``hour % 4``."""
     return F.pmod(hour, F.lit(4))
+
+
+def union_boards(parts: list[DataFrame]) -> DataFrame:
+    """All boards' rows as one frame."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
