@@ -81,7 +81,7 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str) -> DataFrame:
     seconds = _seconds(ttl)
     width = max(1, seconds // 2)
     buckets = adds.groupBy(_bucket(at, width).alias("bucket")).agg(
-        F.min(at).alias("_first"), F.max(at).alias("_last")
+        F.min(F.col(at).cast("timestamp")).alias("_first"), F.max(F.col(at).cast("timestamp")).alias("_last")
     )
     order = Window.orderBy("bucket")
     expired = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(order)) > seconds * 1_000_000
@@ -90,7 +90,7 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str) -> DataFrame:
 
 
 def _bucket(at: str, width: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(at)) / width)
+    return F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / width)
 
 
 def _seconds(ttl: str) -> int:

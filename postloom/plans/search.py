@@ -189,9 +189,14 @@ def may_start(runs: DataFrame, asking: DataFrame) -> DataFrame:
     return joined.select(*asking.columns, ((other_active == 0) & (other_wins == 0)).alias("may_start"))
 
 
-def hour_slot(hour: Column) -> Column:
-    """Which (board, role set) an hour serves: ``hour % 4``."""
-    return F.pmod(hour, F.lit(4))
+def hour_slot(at: Column) -> Column:
+    """``struct<slot, board, role_set>`` that the UTC hour of a time serves."""
+    slot = F.hour(at) % 4
+    return F.struct(
+        slot.alias("slot"),
+        F.when(slot % 2 == 0, "linkedin").otherwise("indeed").alias("board"),
+        F.when(slot < 2, 1).otherwise(2).alias("role_set"),
+    )
 
 
 def union_boards(parts: list[DataFrame]) -> DataFrame:
