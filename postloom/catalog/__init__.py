@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-MODULES = ["q_text", "q_tables", "q_serve"]
+MODULES = ["q_text", "q_tables", "q_serve", "q_pages"]
 
 
 def load() -> ModuleType:

@@ -178,3 +178,156 @@ JOB_SIGNALS = [
 
 # --- run log ---------------------------------------------------------------
 ACTIVE_RUN_STATES = ["queued", "in_progress", "waiting", "pending", "requested"]
+
+# --- selectors per board and field, in order of preference ----------------------
+DETAIL_SELECTORS = {
+    "indeed": {
+        "title": [
+            "h1.jobsearch-JobInfoHeader-title",
+            ".jobsearch-JobInfoHeader-title-container h1",
+            "h1[data-testid='jobsearch-JobInfoHeader-title']",
+            "[data-testid='jobsearch-JobInfoHeader-title']",
+            "h1",
+        ],
+        "meta_title": ["meta[property='og:title']", "meta[name='twitter:title']"],
+        "company": [
+            "div.jobsearch-InlineCompanyRating > div",
+            "div[data-company-name='true']",
+            ".jobsearch-CompanyInfoContainer a",
+        ],
+        "location": [
+            "div.jobsearch-JobInfoHeader-subtitle > div:last-child",
+            "div[data-testid='job-location']",
+            ".jobsearch-JobInfoHeader-subtitle .jobsearch-JobInfoHeader-subtitle-link",
+        ],
+        "main_text": [
+            "div#jobDescriptionText",
+            "#jobDescriptionText",
+            "div.jobsearch-JobComponent-description",
+            "div[id='jobDescriptionText']",
+            "div[data-testid='jobsearch-JobComponent-description']",
+            "#vjs-desc",
+        ],
+        "other_text": [
+            "div#jobDescriptionText",
+            ".jobsearch-jobDescriptionText",
+            "div[id='jobDescriptionText']",
+            "#job-description",
+            "div[data-testid='jobsearch-JobComponent-description']",
+            "div.jobsearch-JobComponent-description",
+            "#jobDescriptionText .jobsearch-JobComponent-description",
+        ],
+        "salary": [
+            ".jobsearch-JobMetadataHeader-item",
+            "div[data-testid='jobsearch-JobMetadataHeader-salary']",
+            ".salary-snippet",
+        ],
+        "type": ["div[data-testid='job-type-text']", ".jobsearch-JobMetadataHeader-item"],
+    },
+    "linkedin": {
+        "title": [
+            "h1.top-card-layout__title",
+            ".job-details-jobs-unified-top-card__job-title",
+            "h1.jobs-unified-top-card__job-title",
+        ],
+        "company": [
+            "a.topcard__org-name-link",
+            ".job-details-jobs-unified-top-card__company-name a",
+            ".jobs-unified-top-card__company-name a",
+            ".job-details-jobs-unified-top-card__company-name",
+            ".jobs-unified-top-card__company-name",
+        ],
+        "location": [
+            "span.topcard__flavor--bullet",
+            ".job-details-jobs-unified-top-card__bullet",
+            ".jobs-unified-top-card__bullet",
+        ],
+        "markup_text": [
+            "div.show-more-less-html__markup",
+            "div[class*='show-more-less-html__markup']",
+        ],
+        "container_text": [
+            "div.description__text",
+            ".jobs-description-content__text",
+            ".jobs-description__content",
+            "section.description",
+        ],
+        "box_text": [
+            "div.jobs-box__html-content",
+            "div.jobs-description__content",
+            "article.jobs-description__container",
+        ],
+        "type": [
+            ".job-details-jobs-unified-top-card__job-insight span",
+            "li.jobs-unified-top-card__job-insight span",
+        ],
+    },
+    "mustakbil": {
+        "title": ["h1.job-title", "h1", ".job-detail-header h1"],
+        "company": [".company-name", ".employer", ".company-info a"],
+        "location": [".job-location", ".location-info", "span.location"],
+        "main_text": [
+            "section[aria-labelledby='job-description-title']",
+            ".job-description",
+            "#description",
+            ".description-content",
+        ],
+        "salary": [".salary-info", ".job-salary", "span.salary"],
+        "posted": [".posted-date", ".date-posted", "time"],
+        "type": [".job-type", ".employment-type"],
+        "experience": [".experience-required", ".required-experience"],
+    },
+}
+CARD_SELECTORS = {
+    "indeed": {
+        "card": ["div.job_seen_beacon", "div.result", "li.css-5lfssm"],
+        "link": ["a.jcs-JobTitle", "a[data-testid='job-title']", "h2 a"],
+        "company": ["[data-testid='company-name']", "span.companyName", ".companyName"],
+        "location": ["[data-testid='text-location']", "div.companyLocation", ".companyLocation"],
+        "text": [".job-snippet", "[data-testid='job-snippet']", "div.jobCardShelfContainer"],
+        "posted": ["span.date", "[data-testid='myJobsStateDate']"],
+        "fallback": [
+            "a.jcs-JobTitle",
+            "a[data-testid='job-title']",
+            ".jobsearch-ResultsList a[id^='job_']",
+        ],
+    },
+    "linkedin": {
+        "card": ["div.base-card", "div.job-search-card", "li.jobs-search-results__list-item"],
+        "title": [
+            "h3.base-search-card__title",
+            ".base-search-card__title",
+            "h3.job-search-card__title",
+        ],
+        "link": [
+            "a.base-card__full-link",
+            "a.job-search-card__link-wrapper",
+            "a[href*='/jobs/view/']",
+        ],
+        "company": [
+            "h4.base-search-card__subtitle",
+            ".base-search-card__subtitle",
+            "a.hidden-nested-link",
+        ],
+        "location": ["span.job-search-card__location", ".job-search-card__location"],
+        "posted": ["time.job-search-card__listdate", "time"],
+        "fallback": [
+            "a.base-card__full-link",
+            ".job-search-card__link-wrapper",
+            ".jobs-search-results__list-item a",
+        ],
+    },
+    "rozee": {
+        "card": ["div.job", "article.job", "div.job-box", "div.jhead"],
+        "link": ["div.jhead h3 a", "h3.s-18 a", "h3 a"],
+        "title": ["h3 a bdi"],
+        "names": ["div.cname a"],
+        "text": ["div.jbody"],
+        "posted": ["span[data-original-title='Posted On']"],
+        "experience": ["span.func-area-drn"],
+        "type": ["div.jcnt.font16"],
+    },
+    "mustakbil": {
+        "card": ["h3 a[href*='/jobs/job/']", "a[href*='/jobs/job/']"],
+    },
+}

@@ -37,6 +37,11 @@ def contains_any(text: Column, needles: list[str]) -> Column:
     return found
 
 
+def holds_any(text: Column, needles: list[str]) -> Column:
+    """``contains_any`` for an expression: one regular expression, so it stands there once."""
+    return text.rlike("|".join(rf"\Q{n}\E" for n in needles))
+
+
 def strip(text: Column) -> Column:
     """Trim every Unicode space, not only U+0020."""
     return F.btrim(text, F.lit(WS_CHARS))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,13 +20,16 @@ from postloom.fixed_values import (
     SEARCH_PATH_PREFIXES,
     SEARCH_PATHS,
 )
-from postloom.functions.text import contains_any, null_if_empty, strip
+from postloom.functions.text import contains_any, holds_any, let, strip
 
 # --- url parts (they never fail, unlike parse_url) ---------------------------
 
 _SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
 
 
+_SCHEME_AND_AUTHORITY = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+
+
 def url_authority(url: Column) -> Column:
     return F.regexp_extract(url, _SCHEME + r"//([^/?#]*)", 1)
 
@@ -46,7 +51,7 @@ def url_query(url: Column) -> Column:
 def url_param(query: Column, name: str) -> Column:
     """First non-empty value of a query parameter, decoded; '' when absent."""
     value = F.regexp_extract(query, rf"(?:^|&){name}=([^&]+)", 1)
-    return F.coalesce(F.try_url_decode(value), value)
+    return let(value, lambda v: F.coalesce(F.try_url_decode(v), v))
 
 
 def url_quote(text: Column) -> Column:
@@ -62,41 +67,45 @@ def url_quote(text: Column) -> Column:
 
 def is_auth_wall(url: Column, html: Column) -> Column:
     """A login or bot-detection page, told by its url or, failing that, its html."""
-    return contains_any(F.lower(F.coalesce(url, F.lit(""))), AUTH_URL_MARKERS) | contains_any(
+    return holds_any(F.lower(F.coalesce(url, F.lit(""))), AUTH_URL_MARKERS) | contains_any(
         F.lower(F.coalesce(html, F.lit(""))), AUTH_HTML_MARKERS
     )
 
 
 def is_bot_wall(url: Column) -> Column:
-    return contains_any(F.lower(F.coalesce(url, F.lit(""))), BOT_URL_MARKERS)
+    return holds_any(F.lower(F.coalesce(url, F.lit(""))), BOT_URL_MARKERS)
 
 
 def is_detail_url(url: Column) -> Column:
     """A posting page, not a login or listing page."""
     low = F.lower(F.coalesce(url, F.lit("")))
-    return contains_any(low, JOB_URL_MARKERS) & ~contains_any(low, AUTH_URL_MARKERS)
+    return holds_any(low, JOB_URL_MARKERS) & ~holds_any(low, AUTH_URL_MARKERS)
 
 
 # --- redirects ---------------------------------------------------------------
 
 
+def _first(texts: Column, keep: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.get(F.filter(texts, keep), F.lit(0)), F.lit(""))
+
+
 def continue_url(url: Column) -> Column:
     """Posting url carried in a bounce parameter, or ''."""
-    authority = url_authority(url)
-    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    own_root = F.concat(F.lower(scheme), F.lit("://"), authority)
-    root = F.when(
-        F.contains(F.lower(F.coalesce(null_if_empty(authority), url)), F.lit("linkedin")),
-        F.lit("https://www.linkedin.com"),
-    ).otherwise(own_root)
 
-    def target(name: str) -> Column:
-        once = url_param(url_query(url), name)
-        dest = strip(F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once))
-        dest = F.when(dest.startswith("/"), F.concat(root, dest)).otherwise(dest)
-        return F.when((once != "") & is_detail_url(dest), dest)
+    def target(value: Column, root: Column) -> Column:
+        dest = strip(F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value))
+        return let(dest, lambda d: F.when(d.startswith("/"), F.concat(root, d)).otherwise(d))
 
-    return F.coalesce(*[target(p) for p in CONTINUE_PARAMS], F.lit(""))
+    def found(url: Column) -> Column:
+        own_root = F.regexp_extract(url, _SCHEME_AND_AUTHORITY, 1)
+        root = F.when(
+            F.contains(F.lower(F.coalesce(F.nullif(url_authority(url), F.lit("")), url)), F.lit("linkedin")),
+            F.lit("https://www.linkedin.com"),
+        ).otherwise(own_root)
+        values = F.array(*[url_param(url_query(url), p) for p in CONTINUE_PARAMS])
+        return let(root, lambda r: _first(F.transform(values, lambda v: target(v, r)), is_detail_url))
+
+    return let(url, found)
 
 
 def join_url(base: Column, ref: Column) -> Column:
@@ -117,7 +126,7 @@ def join_url(base: Column, ref: Column) -> Column:
 def meta_refresh_url(html: Column, base: Column) -> Column:
     """Destination of the first meta refresh, or ''."""
     found = strip(F.regexp_extract(F.coalesce(html, F.lit("")), META_REFRESH, 1))
-    return F.when(found != "", join_url(base, found)).otherwise(F.lit(""))
+    return let(found, lambda ref: F.when(ref != "", join_url(base, ref)).otherwise(F.lit("")))
 
 
 def _root(url: Column) -> Column:
@@ -126,18 +135,18 @@ def _root(url: Column) -> Column:
 
 def redirect_target(final_url: Column, html: Column, requested_url: Column) -> Column:
     """Posting url behind a redirect page, or ''; the page's own root does not count."""
-    final_url = F.coalesce(null_if_empty(final_url), requested_url, F.lit(""))
-    here = _root(final_url)
 
-    def usable(candidate: Column) -> Column:
-        return F.when(is_detail_url(candidate) & (_root(candidate) != here), candidate)
+    def found(final: Column) -> Column:
+        candidates = F.array(
+            continue_url(final),
+            meta_refresh_url(html, final),
+            continue_url(F.coalesce(requested_url, F.lit(""))),
+        )
+        return let(
+            _root(final), lambda here: _first(candidates, lambda c: is_detail_url(c) & (_root(c) != here))
+        )
 
-    return F.coalesce(
-        usable(continue_url(final_url)),
-        usable(meta_refresh_url(html, final_url)),
-        usable(continue_url(F.coalesce(requested_url, F.lit("")))),
-        F.lit(""),
-    )
+    return let(F.coalesce(F.nullif(final_url, F.lit("")), requested_url, F.lit("")), found)
 
 
 # --- canonical posting urls --------------------------------------------------
