@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.fixed_values import CARD_SELECTORS, DEFAULT_LOCATION, DETAIL_SELECTORS, FULL_TEXT_MIN
+from postloom.fixed_values import (
+    BOARD_REQUIRED_FIELDS,
+    CARD_SELECTORS,
+    DEFAULT_LOCATION,
+    DETAIL_SELECTORS,
+    FULL_TEXT_MIN,
+)
 from postloom.functions import jsonld
 from postloom.functions.fields import employment_type
 from postloom.functions.selectors import all_of, first_of, of_field, select_nodes
+from postloom.functions.stage import staged
 from postloom.functions.text import clean_text, html_text, let, strip, strip_chrome, strip_icons
 from postloom.functions.urls import canonical_url, fallback_id, indeed_key
 
@@ -71,139 +78,135 @@ def _node_texts(nodes: Column, field: str) -> Column:
     return F.filter(texts, lambda t: F.length(t) >= 20)
 
 
+_PARTS = [
+    "title", "meta_title", "company", "location", "other_text", "main_text", "salary", "posted", "type", "experience",
+]
+
+
 def detail_parts(pages: DataFrame) -> DataFrame:
-    """Adds ``_nodes``, ``_ld``, ``_indeed_text`` and ``_linkedin_text`` to (url, html, board) pages."""
-    board = F.col("board")
-    parsed = pages.withColumn("_nodes", select_nodes(F.col("html"), board, DETAIL_SELECTORS)).withColumn(
-        "_ld", jsonld.posting_fields(F.col("html"))
-    )
-    nodes = F.col("_nodes")
+    """(url, html, board) pages with what their elements and JSON say, one column each."""
+    board, nodes, html = F.col("board"), F.col("_nodes"), F.col("html")
+    with_nodes = pages.withColumn("_nodes", select_nodes(html, board, DETAIL_SELECTORS))
+    read = {f"_{name}": node_text(nodes, name) for name in _PARTS if name != "meta_title"}
+    read["_meta_title"] = clean_text(first_of(nodes, "meta_title")["content"])
+    read["_ld"] = jsonld.posting_fields(html)
     linkedin = text_by_length(
         [
             ("markup_css", _node_texts(nodes, "markup_text")),
             ("description_container", _node_texts(nodes, "container_text")),
-            ("markup_html", jsonld.markup_texts(F.col("html"))),
-            ("embedded_json", jsonld.embedded_texts(F.col("html"))),
+            ("markup_html", jsonld.markup_texts(html)),
+            ("embedded_json", jsonld.embedded_texts(html)),
             ("jobs_box", _node_texts(nodes, "box_text")),
-            ("jsonld", jsonld.jsonld_descriptions(F.col("html"))),
+            ("jsonld", jsonld.jsonld_descriptions(html)),
         ]
     )
-    indeed = text_by_priority(
-        _first_long(nodes, "main_text"),
-        jsonld.sanitized_texts(F.col("html")),
-        html_text(F.col("_ld.description")),
-    )
-    return parsed.withColumns(
-        {
-            "_indeed_text": F.when(board == "indeed", indeed),
-            "_linkedin_text": F.when(board == "linkedin", linkedin),
-        }
+    indeed = let(
+        jsonld.sanitized_texts(html),
+        lambda inline: text_by_priority(
+            _first_long(nodes, "main_text"), inline, html_text(F.col("_ld.description"))
+        )["text"],
     )
+    chosen = F.when(board == "indeed", indeed).when(board == "linkedin", linkedin["text"])
+    return staged(staged(with_nodes, read), {"_best": chosen}).drop("_nodes")
 
 
 def detail_postings(pages: DataFrame) -> DataFrame:
     """One posting per detail page (url, html, board) that has a title and a long enough text."""
-    return _detail_rows(detail_parts(pages)).drop("_nodes", "_ld", "_indeed_text", "_linkedin_text")
+    return _detail_rows(detail_parts(pages)).drop("_ld", "_best", *[f"_{p}" for p in _PARTS])
 
 
-def _detail_rows(parts: DataFrame) -> DataFrame:
-    board, nodes, ld = F.col("board"), F.col("_nodes"), F.col("_ld")
-    is_indeed = board == "indeed"
+def _first(*options: Column) -> Column:
+    return F.coalesce(*[F.nullif(o, F.lit("")) for o in options])
 
-    def text(field: str) -> Column:
-        return node_text(nodes, field)
-
-    def cleaned_icons(column: Column) -> Column:
-        return F.when(board == "mustakbil", strip_icons(column)).otherwise(column)
-
-    meta = first_of(nodes, "meta_title")["content"]
-    own_title = cleaned_icons(text("title"))
-    title = F.when(
-        is_indeed,
-        F.coalesce(
-            F.nullif(clean_text(ld["title"]), F.lit("")), F.nullif(own_title, F.lit("")),
-            F.nullif(clean_text(meta), F.lit("")),
-        ),
-    ).otherwise(own_title)
-    own_company = cleaned_icons(text("company"))
-    known = F.when(~F.lower(own_company).isin("", "unknown"), own_company)
-    company = F.when(
-        is_indeed, F.coalesce(known, F.nullif(clean_text(ld["company"]), F.lit("")), F.lit("Unknown"))
-    ).otherwise(F.coalesce(own_company, F.lit("Unknown")))
-    own_place = text("location")
-    place = F.when(
-        is_indeed,
-        F.coalesce(F.nullif(own_place, F.lit("")), F.nullif(clean_text(ld["location"]), F.lit("")), F.lit(DEFAULT_LOCATION)),
-    ).otherwise(F.coalesce(own_place, F.lit(DEFAULT_LOCATION)))
-
-    best = F.col("_indeed_text.text")
-    long_best = F.when(F.length(best) >= FULL_TEXT_MIN, best)
-    other = text("other_text")
-    long_other = F.when(F.length(other) >= FULL_TEXT_MIN, other)
-    described = clean_text(ld["description"])
-    description = (
-        F.when(is_indeed, F.coalesce(long_best, long_other, F.nullif(described, F.lit("")), other, best))
-        .when(board == "linkedin", clean_text(F.col("_linkedin_text.text")))
-        .otherwise(text("main_text"))
-    )
-    pay = text("salary")
-    pay = F.when(~is_indeed | F.contains(pay, F.lit("PKR")) | F.contains(pay, F.lit("Rs")), pay)
-    rows = parts.withColumns(
-        {
-            "title": title,
-            "company": company,
-            "location": place,
-            "description": description,
-            "salary": pay,
-            "posted_date": F.when(board == "mustakbil", text("posted")),
-            "employment_type": employment_type(text("type"), board),
-            "experience_required": text("experience"),
-            "job_url": F.col("url"),
-            "skills": F.array().cast("array<string>"),
-        }
-    )
-    complete = F.length("description") >= FULL_TEXT_MIN
-    for name in ("title", "company", "location", "job_url"):
-        complete = complete & (F.col(name) != "")
-    return rows.filter(complete).withColumn(
+
+def _detail_rows(parts: DataFrame) -> DataFrame:
+    return staged(_without_icons(parts), _detail_values(), _complete).withColumn(
         "job_id", fallback_id(F.col("title"), F.col("company"), F.col("location"))
     )
 
 
+def _without_icons(parts: DataFrame) -> DataFrame:
+    names = ("_title", "_company")
+    clean = {n: F.when(F.col("board") == "mustakbil", strip_icons(F.col(n))).otherwise(F.col(n)) for n in names}
+    return staged(parts, clean)
+
+
+def _detail_values() -> dict[str, Column]:
+    board, ld = F.col("board"), F.col("_ld")
+    is_indeed = board == "indeed"
+    long_enough = {
+        n: F.when(F.length(F.col(n)) >= FULL_TEXT_MIN, F.col(n)) for n in ("_best", "_other_text")
+    }
+    known = F.when(~F.lower("_company").isin("", "unknown"), F.col("_company"))
+    pay = F.col("_salary")
+    return {
+        "title": F.when(
+            is_indeed, _first(clean_text(ld["title"]), F.col("_title"), F.col("_meta_title"))
+        ).otherwise(F.col("_title")),
+        "company": F.when(
+            is_indeed, F.coalesce(known, _first(clean_text(ld["company"])), F.lit("Unknown"))
+        ).otherwise(F.coalesce("_company", F.lit("Unknown"))),
+        "location": F.when(
+            is_indeed, F.coalesce(_first(F.col("_location"), clean_text(ld["location"])), F.lit(DEFAULT_LOCATION))
+        ).otherwise(F.coalesce("_location", F.lit(DEFAULT_LOCATION))),
+        "description": F.when(
+            is_indeed,
+            F.coalesce(
+                long_enough["_best"], long_enough["_other_text"], _first(clean_text(ld["description"])),
+                F.col("_other_text"), F.col("_best"),
+            ),
+        )
+        .when(board == "linkedin", clean_text(F.col("_best")))
+        .otherwise(F.col("_main_text")),
+        "salary": F.when(~is_indeed | F.contains(pay, F.lit("PKR")) | F.contains(pay, F.lit("Rs")), pay),
+        "posted_date": F.when(board == "mustakbil", F.col("_posted")),
+        "employment_type": employment_type(F.col("_type"), board),
+        "experience_required": F.col("_experience"),
+        "job_url": F.col("url"),
+        "skills": F.array().cast("array<string>"),
+    }
+
+
+def _complete(row: Column) -> Column:
+    """Long enough, and none of the required fields empty."""
+    whole = F.length(row["description"]) >= FULL_TEXT_MIN
+    for name in BOARD_REQUIRED_FIELDS:
+        whole = whole & (F.coalesce(row[name], F.lit("")) != "")
+    return whole
+
+
 def replay(pages: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     """Parse stored detail pages again, with the listing card of the same posting at hand.
 
     A page that parses keeps its fields (see ``merge_listing``); one that does not may
     still give a row from its JSON-LD and the card, if that makes a long enough text.
     """
-    card = listing.select(
-        F.col(key).alias("_key"), F.struct("title", "company", "location", "description", "job_url", "posted_date").alias("_card")
-    )
+    card_fields = ["title", "company", "location", "description", "job_url", "posted_date"]
+    card = listing.select(F.col(key).alias("_key"), F.struct(*card_fields).alias("_card"))
     parts = detail_parts(pages).join(card, F.col(key) == F.col("_key"), "left").drop("_key")
-    parsed = _detail_rows(parts)
-    rest = parts.join(parsed.select(key), key, "left_anti")
-    empty = F.lit("")
-
-    def first(*options: Column) -> Column:
-        return F.coalesce(*[F.nullif(o, empty) for o in options])
-
-    found = F.when(F.col("board") == "linkedin", F.col("_linkedin_text.text"))
-    rescued = rest.withColumns(
+    given, ld, board = F.col("_card"), F.col("_ld"), F.col("board")
+    text = _first(
+        F.when(board == "linkedin", F.col("_best")), ld["description"], F.when(board == "indeed", given["description"])
+    )
+    values = {
+        "title": F.coalesce(_first(given["title"], clean_text(ld["title"])), F.lit("")),
+        "company": F.coalesce(_first(given["company"], clean_text(ld["company"])), F.lit("Unknown")),
+        "location": F.coalesce(_first(given["location"], clean_text(ld["location"])), F.lit(DEFAULT_LOCATION)),
+        "description": clean_text(text),
+        "job_url": F.col("url"),
+    }
+    names = list(values)
+    mine = {n: c for n, c in _detail_values().items() if n in names}
+    tries = staged(
+        _without_icons(parts),
         {
-            "title": first(F.col("_card.title"), clean_text(F.col("_ld.title"))),
-            "company": first(F.col("_card.company"), clean_text(F.col("_ld.company")), F.lit("Unknown")),
-            "location": first(F.col("_card.location"), clean_text(F.col("_ld.location")), F.lit(DEFAULT_LOCATION)),
-            "description": clean_text(
-                first(
-                    found, F.col("_ld.description"),
-                    F.when(F.col("board") == "indeed", F.col("_card.description")),
-                )
-            ),
-            "job_url": F.col("url"),
-        }
-    ).filter((F.length("description") >= FULL_TEXT_MIN) & (F.col("title") != ""))
-    columns = [key, "board", "title", "company", "location", "description", "job_url"]
-    return merge_listing(parsed.select(*columns, "_card")).unionByName(merge_listing(rescued.select(*columns, "_card")))
+            "_parsed": F.struct(*[c.alias(n) for n, c in mine.items()]),
+            "_rescued": F.struct(*[values[n].alias(n) for n in mine]),
+        },
+    )
+    row = F.when(_complete(F.col("_parsed")), F.col("_parsed")).when(_complete(F.col("_rescued")), F.col("_rescued"))
+    rows = tries.select(key, "board", "_card", row.alias("_row")).filter(F.col("_row").isNotNull())
+    return merge_listing(rows.select(key, "board", "_row.*", "_card"))
 
 
 def merge_listing(rows: DataFrame) -> DataFrame:
@@ -234,8 +237,7 @@ def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
     board = F.col("board")
     parsed = pages.select(key, "board", select_nodes(F.col("html"), board, CARD_SELECTORS).alias("_nodes"))
     cards = _cards(parsed, key)
-    carded = cards.select(key).distinct()
-    links = _link_cards(parsed.join(carded, key, "left_anti"))
+    links = _link_cards(parsed.join(cards.select(key), key, "left_anti"))
     rows = cards.unionByName(links)
     again = F.when(board == "rozee", F.col("_at")).otherwise(F.lit(0))
     # Cards of one page only: the page is the group, and dedup compares within it.
@@ -259,37 +261,38 @@ def _cards(parsed: DataFrame, key: str) -> DataFrame:
     def first(field: str) -> Column:
         return first_of(F.col("_in"), field)
 
-    names = F.sort_array(of_field(F.col("_in"), "names"))
-    name_1 = F.get(names, F.lit(0))["text"]
-    name_2 = F.get(names, F.lit(1))["text"]
-    link_text = F.when(board == "mustakbil", clean_text(F.col("_card.text"))).otherwise(text("link"))
-    href = F.when(board == "mustakbil", F.col("_card.href")).otherwise(first("link")["href"])
-    company = F.when(
-        board == "rozee", F.nullif(F.rtrim(clean_text(name_1), F.lit(",")), F.lit(""))
-    ).otherwise(text("company"))
-    location = F.when(
-        board == "rozee", F.nullif(F.btrim(clean_text(name_2), F.lit(", ")), F.lit(""))
-    ).otherwise(text("location"))
-    posted = F.when(
-        board == "linkedin", F.coalesce(F.nullif(first("posted")["datetime"], F.lit("")), text("posted"))
-    ).otherwise(text("posted"))
-    title = F.coalesce(F.nullif(text("title"), F.lit("")), link_text)
-    # A nameless link of one board is called by the end of its url.
-    title = F.when((board == "mustakbil") & (title == ""), F.substring_index(href, "/", -1)).otherwise(title)
-    return rows.select(
-        key, "board",
-        F.col("_card.at").alias("_at"),
-        title.alias("title"),
-        F.coalesce(company, F.lit("Unknown")).alias("company"),
-        F.coalesce(location, F.lit(DEFAULT_LOCATION)).alias("location"),
-        canonical_url(board, href).alias("job_url"),
-        F.coalesce(text("text"), F.lit("")).alias("description"),
-        posted.alias("posted_date"),
-        employment_type(text("type"), board).alias("employment_type"),
-        text("experience").alias("experience_required"),
-    ).filter(
-        (F.col("title") != "") & (F.col("job_url") != "") & (F.col("company") != "") & (F.col("location") != "")
-    )
+    read = {f"_{n}": text(n) for n in ("link", "title", "company", "location", "text", "posted", "type", "experience")}
+    read["_href"] = first("link")["href"]
+    read["_datetime"] = first("posted")["datetime"]
+    read["_names"] = F.transform(F.sort_array(of_field(F.col("_in"), "names")), lambda n: clean_text(n["text"]))
+    raw = staged(rows, read)
+
+    # The links of one board are the cards themselves.
+    own = board == "mustakbil"
+    href = F.when(own, F.col("_card.href")).otherwise(F.col("_href"))
+    title = F.coalesce(_first(F.col("_title")), F.when(own, clean_text(F.col("_card.text"))).otherwise(F.col("_link")))
+    rozee_company = _first(F.rtrim(F.get("_names", F.lit(0)), F.lit(",")))
+    rozee_place = _first(F.btrim(F.get("_names", F.lit(1)), F.lit(", ")))
+    values = {
+        "_at": F.col("_card.at"),
+        # A nameless link is called by the end of its url.
+        "title": F.when(own & (title == ""), F.substring_index(href, "/", -1)).otherwise(title),
+        "company": F.coalesce(F.when(board == "rozee", rozee_company).otherwise(F.col("_company")), F.lit("Unknown")),
+        "location": F.coalesce(F.when(board == "rozee", rozee_place).otherwise(F.col("_location")), F.lit(DEFAULT_LOCATION)),
+        "job_url": canonical_url(board, href),
+        "description": F.coalesce("_text", F.lit("")),
+        "posted_date": F.coalesce(F.when(board == "linkedin", _first(F.col("_datetime"))), F.col("_posted")),
+        "employment_type": employment_type(F.col("_type"), board),
+        "experience_required": F.col("_experience"),
+    }
+
+    def usable(card: Column) -> Column:
+        whole = F.lit(True)
+        for name in BOARD_REQUIRED_FIELDS:
+            whole = whole & (F.coalesce(card[name], F.lit("")) != "")
+        return whole
+
+    return staged(raw.select(key, "board", "_card", *read), values, usable).drop("_card", *read)
 
 
 def _link_cards(parsed: DataFrame) -> DataFrame:
