@@ -36,7 +36,7 @@ def emit_if_longer(df: DataFrame, key: str, length: Column, order: list[Column],
     seen = running(
         with_length, [key], order, block, maxes={"_before": F.col("_len")}, before=True
     )
-    keep = F.coalesce(F.col(key), F.lit("")) == ""
+    keep = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
     return seen.filter(keep | F.col("_before").isNull() | (F.col("_len") > F.col("_before"))).select(
         *df.columns
     )
@@ -44,12 +44,13 @@ def emit_if_longer(df: DataFrame, key: str, length: Column, order: list[Column],
 
 def failure_streaks(
     log: DataFrame, keys: list[str], failed: Column, succeeded: Column, limit: int,
-    order: list[Column], block: Column,
+    order: list[Column], block: Column, carry: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``streak`` (failures since the last success) and ``cooldown`` on every limit-th of them.
 
     Failures are counted once up to each row; the count at the last success is the
     running maximum of that count over successes.  Both scans run block by block.
+    ``carry`` (keys, streak) continues streaks of an earlier part of the log.
     """
     marked = log.withColumns({"_failed": failed.cast("int"), "_ok": succeeded})
     counted = running(marked, keys, order, block, sums={"_failures": F.col("_failed")})
@@ -57,7 +58,11 @@ def failure_streaks(
         counted, keys, order, block,
         maxes={"_at_success": F.when(F.col("_ok"), F.col("_failures"))},
     )
-    streak = F.col("_failures") - F.coalesce("_at_success", F.lit(0))
+    open_streak = F.lit(0)
+    if carry is not None:
+        since = since.join(carry.select(*keys, F.col("streak").alias("_carry")), keys, "left")
+        open_streak = F.coalesce("_carry", F.lit(0))
+    streak = F.col("_failures") - F.coalesce("_at_success", -open_streak)
     hit = (F.col("_failed") == 1) & (streak > 0) & (streak % limit == 0)
     return since.withColumns({"streak": streak, "cooldown": hit}).select(
         *log.columns, "streak", "cooldown"
@@ -72,21 +77,27 @@ def listing_stops(
     return top_per_group(streaks.filter("cooldown"), keys, order, 1).drop("cooldown")
 
 
-def ttl_sessions(adds: DataFrame, at: str, ttl: str) -> DataFrame:
+def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None) -> DataFrame:
     """(bucket, session): lifetimes of a set whose expiry is renewed for all members on each add.
 
     Buckets are shorter than the TTL, so the set can only expire between two of them:
-    one row per non-empty bucket is enough to find the gaps.
+    one row per non-empty bucket is enough to find the gaps.  ``last`` is the
+    (time, session) an earlier part ended with.
     """
     seconds = _seconds(ttl)
     width = max(1, seconds // 2)
-    buckets = adds.groupBy(_bucket(at, width).alias("bucket")).agg(
-        F.min(F.col(at).cast("timestamp")).alias("_first"), F.max(F.col(at).cast("timestamp")).alias("_last")
+    time = F.col(at).cast("timestamp")
+    times = adds.select(time.alias("_t"))
+    if last is not None:
+        times = times.unionByName(adds.sparkSession.createDataFrame([(last[0],)], "_t timestamp"))
+    buckets = times.groupBy(_bucket("_t", width).alias("bucket")).agg(
+        F.min("_t").alias("_first"), F.max("_t").alias("_last")
     )
     order = Window.orderBy("bucket")
     expired = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(order)) > seconds * 1_000_000
     marked = buckets.withColumn("_new", F.coalesce(expired, F.lit(False)).cast("int"))
-    return marked.select("bucket", F.sum("_new").over(order).alias("session"))
+    start = F.lit(0 if last is None else last[1])
+    return marked.select("bucket", (F.sum("_new").over(order) + start).alias("session"))
 
 
 def _bucket(at: str, width: int) -> Column:
@@ -98,10 +109,12 @@ def _seconds(ttl: str) -> int:
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
-def dedup_within_ttl(adds: DataFrame, key: str, at: str, ttl: str, order: list[Column]) -> DataFrame:
+def dedup_within_ttl(
+    adds: DataFrame, key: str, at: str, ttl: str, order: list[Column], last: tuple | None = None
+) -> DataFrame:
     """First row of every key within each lifetime of the seen-set."""
     width = max(1, _seconds(ttl) // 2)
-    sessions = ttl_sessions(adds, at, ttl)
+    sessions = ttl_sessions(adds, at, ttl, last)
     tagged = adds.withColumn("bucket", _bucket(at, width)).join(sessions, "bucket")
     return top_per_group(tagged.drop("bucket"), ["session", key], order, 1)
 

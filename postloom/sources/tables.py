@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.operators.groups import top_per_group
 from postloom.schemas import LOOKUP_COLUMNS, PAGES
@@ -91,6 +94,20 @@ def create_table(df: DataFrame, path: str, *, key: str = "job_id", buckets: int
     bucketed.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
+def _all_nullable(schema: T.StructType) -> T.StructType:
+    text = schema.json()
+    for flag in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{flag}":false', f'"{flag}":true')
+    return T.StructType.fromJson(json.loads(text))
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A keyed table, empty ones included.  What files hold is always nullable."""
+    fields = _all_nullable(schema).fields
+    with_bucket = T.StructType([*fields, T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(with_bucket).parquet(path)
+
+
 def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets: int = 64, delete: DataFrame | None = None) -> None:
     """Merge rows of distinct keys (and deletes) into a keyed table, rewriting only touched buckets.
 
@@ -99,8 +116,7 @@ def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets:
     instant; where the catalog's tables support row-level merge, use
     ``DataFrame.mergeInto`` instead.
     """
-    spark = changes.sparkSession
-    current = spark.read.parquet(path)
+    current = read_keyed(changes.sparkSession, path, changes.schema)
     touched = changes.select(bucket_of(key, buckets).alias("b"))
     if delete is not None:
         touched = touched.union(delete.select(bucket_of(key, buckets).alias("b")))
