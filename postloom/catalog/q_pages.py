@@ -216,7 +216,18 @@ def detail_postings(spark, sf_dir):
     )
 
 
-@query("replay_html")
+@query(
+    "replay_html",
+    with_views(
+        f"""SELECT d.page_id, d.board, d.title, d.company, d.location,
+          CASE WHEN d.board = 'indeed' AND length({S.text('p.description')}) > length({S.text('d.description')}) THEN p.description
+            WHEN d.board <> 'indeed' AND p.doc_id IS NOT NULL AND length(p.description) >= length(d.description) THEN p.description ELSE d.description END AS description,
+          CASE WHEN d.board = 'indeed' OR p.doc_id IS NULL THEN g.url ELSE p.job_url END AS job_url
+        FROM details d JOIN pages g ON d.page_id = g.page_id LEFT JOIN postings p ON p.doc_id = d.page_id""",
+        *POSTED,
+        details=_DETAIL_ROWS,
+    ),
+)
 def replay_html(spark, sf_dir):
     """Detail pages once more, each with the card of the scraped row of the same number."""
     card = posting_rows(spark, sf_dir).withColumnRenamed("doc_id", "page_id")

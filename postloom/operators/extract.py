@@ -210,17 +210,25 @@ def replay(pages: DataFrame, listing: DataFrame, key: str) -> DataFrame:
 
 
 def merge_listing(rows: DataFrame) -> DataFrame:
-    """Lay parsed rows over their card: indeed fills gaps from it, linkedin keeps its public url."""
+    """Lay parsed rows over their card.
+
+    On indeed the card fills gaps and gives its text if that is longer once trimmed.
+    Elsewhere the card comes first: its public url stays, and so does its text unless the
+    parsed one is longer.
+    """
     card, board = F.col("_card"), F.col("board")
-    mine, theirs = F.length(strip(F.col("description"))), F.length(strip(F.coalesce(card["description"], F.lit(""))))
+    theirs = F.coalesce(card["description"], F.lit(""))
+    longer_card = F.when(
+        board == "indeed", F.length(strip(theirs)) > F.length(strip(F.col("description")))
+    ).otherwise(card.isNotNull() & (F.length(theirs) >= F.length("description")))
     public = F.coalesce(card["job_url"], F.lit(""))
     open_url = (public != "") & ~F.lower(public).rlike("auth|login")
     unknown = F.col("company").isin("", "Unknown") & (F.coalesce(card["company"], F.lit("")) != "")
     return rows.withColumns(
         {
             "company": F.when((board == "indeed") & unknown, card["company"]).otherwise(F.col("company")),
-            "description": F.when(theirs > mine, card["description"]).otherwise(F.col("description")),
-            "job_url": F.when((board == "linkedin") & open_url, public).otherwise(F.col("job_url")),
+            "description": F.when(longer_card, card["description"]).otherwise(F.col("description")),
+            "job_url": F.when((board != "indeed") & open_url, public).otherwise(F.col("job_url")),
         }
     ).drop("_card")
 
