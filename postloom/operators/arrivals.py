@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.functions.text import strip
+from postloom.functions.urls import queue_id
 from postloom.operators.groups import running, top_per_group
 
 
@@ -120,5 +121,7 @@ def dedup_within_ttl(
 
 
 def enqueue_new(df: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows whose key is not marked seen, in their order of arrival."""
-    return df.join(seen.select("job_id"), "job_id", "left_anti")
+    """Rows whose key is not marked seen; a row without a key gets the queue's own."""
+    own = queue_id(F.col("title"), F.col("company"), F.col("location"))
+    keyed = df.withColumn("job_id", F.coalesce(F.nullif("job_id", F.lit("")), own))
+    return keyed.join(seen.select("job_id"), "job_id", "left_anti")

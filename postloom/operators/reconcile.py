@@ -278,7 +278,7 @@ def job_records(postings: DataFrame, now: Column, *, with_posted_at: bool = Fals
         "posted_at": posted_at(given("posted_date").cast("string"), now) if with_posted_at else F.lit(None),
         "salary_raw": given("salary"),
         "salary_normalized": given("salary_normalized"),
-        "description_sections": given("description_sections"),
+        "description_sections": given("description_sections", F.create_map().cast("map<string,string>")),
         "skills_categorized": given("skills_categorized"),
         "experience_parsed": given("experience_parsed"),
         "enrichment_confidence": given("enrichment_confidence"),

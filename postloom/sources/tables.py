@@ -88,10 +88,21 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def create_table(df: DataFrame, path: str, *, key: str = "job_id", buckets: int = 64) -> None:
-    """Write a keyed table as one folder per key bucket."""
+def _by_bucket(df: DataFrame, key: str, buckets: int, touched: int, files: int) -> DataFrame:
+    """Rows placed by bucket, each bucket over ``files`` tasks."""
     bucketed = df.withColumn("bucket", bucket_of(key, buckets))
-    bucketed.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    part = F.pmod(F.hash(F.col(key)), F.lit(files))
+    return bucketed.repartition(touched * files, F.col("bucket"), part)
+
+
+def create_table(df: DataFrame, path: str, *, key: str = "job_id", buckets: int = 64, files: int = 1) -> None:
+    """Write a keyed table as one folder per key bucket.
+
+    Choose ``buckets`` and ``files`` per bucket so that a file is about one task's work:
+    an upsert rewrites whole buckets, several tasks to each.
+    """
+    placed = _by_bucket(df, key, buckets, buckets, files)
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def _all_nullable(schema: T.StructType) -> T.StructType:
@@ -108,7 +119,7 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(with_bucket).parquet(path)
 
 
-def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets: int = 64, delete: DataFrame | None = None) -> None:
+def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets: int = 64, files: int = 1, delete: DataFrame | None = None) -> None:
     """Merge rows of distinct keys (and deletes) into a keyed table, rewriting only touched buckets.
 
     The new bucket folders are staged whole before they replace the old ones, so a
@@ -128,9 +139,9 @@ def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets:
     old = current.filter(F.col("bucket").isin(numbers)).select(*columns)
     if delete is not None:
         old = old.join(delete.select(key), key, "left_anti")
-    new = merge_by_key(old, changes, key).withColumn("bucket", bucket_of(key, buckets))
+    new = merge_by_key(old, changes, key)
     (
-        new.repartition(len(numbers), "bucket")
+        _by_bucket(new, key, buckets, len(numbers), files)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
