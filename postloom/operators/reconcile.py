@@ -142,11 +142,14 @@ def reconcile(batch: DataFrame, stored: DataFrame, seen: DataFrame, *, interacti
     single searches: a plain 50 characters on two boards, no stand-in text, no merge
     for stored rows without a mark.
     """
-    marks = seen.select(F.col("job_id").alias("_seen_id")).distinct()
-    joined = with_stored(batch, stored).join(
-        marks, F.col("job_id") == F.col("_seen_id"), "left"
+    # The two keyed tables meet first, so that the batch, in which one posting may hold
+    # many rows, takes part in a single join that can be split where it is skewed.
+    marks = seen.select("job_id", F.lit(True).alias("_seen")).dropDuplicates(["job_id"])
+    known = stored.select(*LOOKUP_COLUMNS).join(marks, "job_id", "left").select(
+        F.col("job_id").alias("_stored_id"), F.struct(*LOOKUP_COLUMNS).alias("stored"), "_seen"
     )
-    already = F.col("stored").isNotNull() & F.col("_seen_id").isNotNull()
+    joined = batch.join(known, F.col("job_id") == F.col("_stored_id"), "left").drop("_stored_id")
+    already = F.col("_seen").isNotNull()
     board = board_of(batch)
     if interactive:
         keep = ~(board.isin("linkedin", "indeed") & (F.length(_text("description")) < FULL_TEXT_MIN))
