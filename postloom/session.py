@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # UTC so that text dates mean the same everywhere; AQE so that partition counts,
 # skewed joins and small join sides are decided from measured sizes.
@@ -29,18 +29,3 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the cluster's shared folder so lost executors cost no recompute.
-
-    The folder is the session's ``spark.checkpoint.dir``; without one the
-    frame is returned as it is.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
