@@ -115,3 +115,14 @@ def test_upsert_stream(spark, tmp_path):
     rozee = next(r for u, r in by_url.items() if "rozee" in u)
     assert rozee.skills_required == ["Python", "SQL"]
     assert spark.read.parquet(f"{tmp_path}/seen").count() == 2
+
+
+def test_queue_stream(spark, tmp_path):
+    columns = "job_id string, title string, company string, location string"
+    rows = spark.createDataFrame([("a", "t", "c", "l"), ("b", "t", "c", "l"), (None, "t", "c", "l")], columns)
+    rows.coalesce(1).write.parquet(f"{tmp_path}/raw")
+    tables.create_table(spark.createDataFrame([("a", None)], SEEN), f"{tmp_path}/seen", buckets=2)
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/raw")
+    jobs.enqueue_stream(stream, f"{tmp_path}/seen", f"{tmp_path}/queue", f"{tmp_path}/cp").awaitTermination()
+    got = [r.job_id for r in spark.read.parquet(f"{tmp_path}/queue").collect()]
+    assert len(got) == 2 and "b" in got and "a" not in got and None not in got
