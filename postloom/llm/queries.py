@@ -33,8 +33,36 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.decontaminate import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("uid")
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm import licenses
+
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))[0].drop("uid")
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.sharding import shuffled_shards
+
+    return shuffled_shards(_table(spark, sf_dir, "documents"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm import quality
+
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("uid")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontaminate": decontaminate,
     "op3_packing": packing,
     "op5_token_files": token_files,
+    "op7_license_scan": license_scan,
+    "op9_sharding": sharding,
+    "op10_quality": quality,
 }
 ORACLES: dict[str, str] = {}

@@ -208,7 +208,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "path"],
                 )
 
-    return files.select("part", "path", "base").repartition(F.col("part")).mapInArrow(read, _DOCS)
+    # A task per file: the rows are tiny, so adaptive coalescing must not gather them.
+    return files.select("path", "base").repartition(max(1, manifest.count())).mapInArrow(read, _DOCS)
 
 
 def token_file_round_trip(docs: DataFrame, tokenizer: str, end: int, kind: str = "byte") -> DataFrame:

@@ -118,12 +118,10 @@ def words_of(texts: pa.Array) -> Words:
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of words i to i + k for every i; grams across texts are the caller's to leave out."""
     n = max(0, len(hashes) - k + 1)
-    total = np.full(n, np.uint64(k) * _M3, dtype=np.uint64)
-    power = np.uint64(1)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            power = power * _M1
-            total += hashes[j : j + n] * power
+    powers = np.cumprod(np.full(k, _M1, dtype=np.uint64))
+    total = np.full(n, k, dtype=np.uint64) * _M3
+    for j in range(k):
+        total += hashes[j : j + n] * powers[j]
     return mix(total)
 
 
