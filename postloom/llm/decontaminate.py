@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.shared import key_filter, numbered, python_batches, small, staged
+from postloom.llm.shared import held, key_filter, numbered, python_batches, small, staged, without
 from postloom.llm.words import Words, gram_hashes, in_filter, lists, owner, pieces, words_of
 
 SPAN = 13
@@ -124,13 +124,26 @@ def _equal_spans(pairs: DataFrame, gram: int, span: int) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Per document the words inside any benchmark window, and the items whose windows occur.
+    """``contaminated_rows`` of documents.  Needs doc_id and text; other columns are ignored.
 
-    ``docs`` needs doc_id and text, ``items`` item_id and text; other columns are ignored.
-    Null and empty texts have no words: n_words 0, nothing hit; items without words match
-    nothing.  Null or repeated doc_ids: each row is a document of its own.  Repeated item_ids
-    count once, an item without an id hits words but is not counted.  Empty tables: no rows,
-    or no hits.  Columns: uid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    Null or repeated doc_ids: each row is a document of its own.
+    """
+    return contaminated_rows(numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items, span, gram)
+
+
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, with the columns they came with."""
+    rows = held(docs)
+    return without(rows, contaminated_rows(rows, items).filter("contaminated"), docs.columns)
+
+
+def contaminated_rows(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """Per row (uid, doc_id, text) the words inside any benchmark window, and the items whose windows occur.
+
+    ``items`` needs item_id and text; other columns are ignored.  Null and empty texts have no
+    words: n_words 0, nothing hit; items without words match nothing.  Repeated item_ids count
+    once, an item without an id hits words but is not counted.  Empty tables: no rows, or no
+    hits.  Columns: uid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
     """
     short_gram = min(gram, span)
     named = staged(_normalised(items), "items")
@@ -149,7 +162,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
         "item-prints",
     )
     only = key_filter(prints.select("hash"))
-    rows = numbered(docs, F.col("doc_id").cast("bigint").alias("id"), "text")
+    rows = docs.select("uid", F.col("doc_id").alias("id"), "text")
     scanned = staged(fingerprinted(rows, short_gram, span, short, only), "doc-prints")
     hits = scanned.select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
     pairs = hits.join(small(prints, 20_000), "hash").filter(F.col("size") == F.col("i_size"))

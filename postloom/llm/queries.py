@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -22,14 +22,26 @@ def _vocabulary(name: str) -> str:
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm.packing import packed_documents
 
-    placed = packed_documents(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), 1)
+    placed = packed_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 1)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.html_text import extracted
+
+    return extracted(_table(spark, sf_dir, "pages"))
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.language import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm.token_files import token_file_round_trip
 
-    back = token_file_round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), 0)
+    back = token_file_round_trip(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 0)
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -45,6 +57,12 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents"))[0].drop("uid")
 
 
+def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.near_dup import document_classes
+
+    return document_classes(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm.sharding import shuffled_shards
 
@@ -59,9 +77,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
+    "op2_html_text": html_text,
     "op3_packing": packing,
+    "op4_language": language,
     "op5_token_files": token_files,
     "op7_license_scan": license_scan,
+    "op8_near_dup": near_dup,
     "op9_sharding": sharding,
     "op10_quality": quality,
 }

@@ -56,6 +56,18 @@ def numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("uid"), *columns)
 
 
+def held(docs: DataFrame) -> DataFrame:
+    """The documents staged under fixed row numbers: uid, doc_id, text, and the other columns as ``rest``."""
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != "text"]).alias("rest")
+    return staged(numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text", rest), "documents")
+
+
+def without(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``held`` whose uid is not in ``gone``, with the columns the documents came with."""
+    kept = rows.join(small(staged(gone.select("uid"), "gone")), "uid", "left_anti")
+    return kept.select(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns])
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to have at most ``rows`` rows; else as it is."""
     counted = df.limit(rows + 1).count()
