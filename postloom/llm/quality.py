@@ -178,5 +178,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta
     """The documents that pass, with the columns they came with.  Texts are read twice and never shuffled."""
     chosen = small(staged(cutoffs(measured_rows(docs), labels, risk, delta), "cutoffs"))
     rows = docs.select(F.struct(*docs.columns).alias("doc"), stratum_of(docs).alias("stratum"), "text")
-    judged = with_measures(rows).join(chosen, "stratum", "left")
+    # Behind a generator: a filter pushed below the measures would copy them into itself.
+    measured = with_measures(rows).select("doc", "stratum", F.inline(F.array(F.struct("q"))))
+    judged = measured.join(chosen, "stratum", "left")
     return judged.filter(~F.col("q.base_failed") & verdict(F.col("q.rules"), F.col("cutoffs"))).select("doc.*")

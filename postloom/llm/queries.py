@@ -51,6 +51,12 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("uid")
 
 
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.lm_score import backoff_scores
+
+    return backoff_scores(_table(spark, sf_dir, "documents"))
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm import licenses
 
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": packing,
     "op4_language": language,
     "op5_token_files": token_files,
+    "op6_lm_score": lm_score,
     "op7_license_scan": license_scan,
     "op8_near_dup": near_dup,
     "op9_sharding": sharding,
