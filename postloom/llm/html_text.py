@@ -40,7 +40,7 @@ GOOD_NAMES = set("article main content post entry story body text prose".split()
 NEGATING = {"no", "has", "with", "without", "hide", "hidden"}
 # Weights of the classifier and of the smoothness edges, in hundredths.
 BIAS, IN_GOOD_TAG, IN_BAD, GOOD_NAME, PER_LENGTH, LINKS, HEADING, MARKED = -120, 220, -500, 90, 80, -300, 60, -250
-FOLLOWS, SAME_PARENT, NEAR = 40, 60, 50
+FOLLOWS, SAME_PARENT, NEAR, APART = 40, 60, 60, 10
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -71,9 +71,9 @@ class _Element:
                         self.named = self.named or name in GOOD_NAMES
 
 
-def blocks(page: str) -> list[tuple[str, int, int]]:
-    """(text, score, number of the container) of each block that has text, in page order."""
-    out: list[tuple[str, int, int]] = []
+def blocks(page: str) -> list[tuple[str, int, int, bool]]:
+    """(text, score, number of the container, named as boilerplate) of each block that has text, in page order."""
+    out: list[tuple[str, int, int, bool]] = []
     stack: list[_Element] = []
     text: list[str] = []
     linked = 0
@@ -88,7 +88,7 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
                 holder = stack[leaf] if leaf >= 0 else None
                 tag = holder.tag if holder else ""
                 parent = next((stack[i].number for i in range(leaf - 1, -1, -1) if stack[i].tag in BLOCK), 0)
-                out.append((whole, score(whole, tag, holder, min(1.0, linked / len(whole))), parent))
+                out.append((whole, score(whole, tag, holder, min(1.0, linked / len(whole))), parent, bool(holder and holder.bad)))
             text.clear()
         linked = 0
 
@@ -228,14 +228,16 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     edges, last = [], {}
-    for i, (_, _, parent) in enumerate(found):
+    for i, (_, _, parent, bad) in enumerate(found):
         if i:
-            edges.append((i - 1, i, FOLLOWS + SAME_PARENT * (found[i - 1][2] == parent)))
-        if last.get(parent, i - 1) < i - 1:
-            edges.append((last[parent], i, NEAR))
-        last[parent] = i
-    keep = minimum_cut([s for _, s, _ in found], edges)
-    return "\n".join(text for (text, _, _), k in zip(found, keep) if k)
+            _, _, other, was_bad = found[i - 1]
+            edges.append((i - 1, i, APART if bad != was_bad else FOLLOWS + SAME_PARENT * (other == parent)))
+        # The last one of the same kind in the same container, over what stands between.
+        if last.get((parent, bad), i - 1) < i - 1:
+            edges.append((last[parent, bad], i, NEAR))
+        last[parent, bad] = i
+    keep = minimum_cut([s for _, s, _, _ in found], edges)
+    return "\n".join(block[0] for block, k in zip(found, keep) if k)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
