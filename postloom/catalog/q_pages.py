@@ -11,13 +11,12 @@ from postloom.catalog.registry import query
 from postloom.functions import jsonld, text, urls
 from postloom.functions.selectors import first_of, of_field, select_nodes
 from postloom.operators import extract, report
-from postloom.sources.tables import spread
 
 PAGES = ("job_pages",)
 
 
 def pages_of(spark, sf_dir, name="job_pages"):
-    return spread(view(spark, sf_dir, name))
+    return view(spark, sf_dir, name)
 
 
 @query("scan_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")

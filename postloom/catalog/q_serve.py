@@ -37,9 +37,16 @@ def search_jobs(spark, sf_dir):
 _ANY_ROLE = "(" + " OR ".join(f"job_title ILIKE '%{r}%'" for r in ("data engineer", "Backend Developer")) + ")"
 
 
+@query("jobs_outside_roles", with_views("SELECT job_id, job_title FROM stored_jobs WHERE false", *STORED))
+def jobs_outside_roles(spark, sf_dir):
+    """Asking only for roles that are not configured gives nothing."""
+    found = serve.jobs_for_roles(stored_rows(spark, sf_dir), ["Backend", "developer"], configured=["Backend Developer"])
+    return found.select("job_id", "job_title")
+
+
 @query("jobs_for_roles", with_views(f"SELECT job_id, job_title FROM stored_jobs WHERE {_ANY_ROLE} ORDER BY job_id LIMIT 50 OFFSET 100", *STORED))
 def jobs_for_roles(spark, sf_dir):
-    found = serve.jobs_for_roles(stored_rows(spark, sf_dir), ["data engineer", "Backend Developer"], 100, 50)
+    found = serve.jobs_for_roles(stored_rows(spark, sf_dir), ["DATA  engineer", "Backend Developer", "Backend"], 100, 50, configured=["Data Engineer", "Backend Developer", "Tester"])
     return found.select("job_id", "job_title")
 
 
@@ -78,29 +85,18 @@ def applications_with_jobs(spark, sf_dir):
     return out.select("application_id", "user_id", "job_id", "status", "created_at", "job.job_title", "job.company")
 
 
-_CHUNK = 20
-
-
 @query(
     "profile_scores",
     with_views(
-        f"""SELECT c_custkey AS user_id, c_name AS name, coalesce(chunk_no, 0) AS chunk_no, coalesce(n, 0) AS n, coalesce(scores, '') AS scores FROM customer LEFT JOIN (
-          SELECT user_id, chunk_no, count(*) AS n, array_to_string(list(CAST(quiz AS VARCHAR) || ':' || CAST(CAST(score AS INTEGER) AS VARCHAR) ORDER BY rn), ',') AS scores FROM (
-            SELECT *, CAST((rn - 1) // {_CHUNK} AS BIGINT) AS chunk_no FROM (
-              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY order_id, line_no, quiz, score) AS rn FROM quiz_scores) a) b GROUP BY user_id, chunk_no) q ON c_custkey = user_id""",
+        """SELECT c_custkey AS user_id, c_name AS name, order_id, line_no, quiz, CAST(score AS INTEGER) AS score
+        FROM customer LEFT JOIN quiz_scores ON c_custkey = user_id""",
         "quiz_scores",
     ),
 )
 def profile_scores(spark, sf_dir):
     profiles = view(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
-    scores = view(spark, sf_dir, "quiz_scores")
-    block = F.floor(F.col("order_id") / 4096)
-    out = serve.profiles_with_scores(profiles, scores, [F.col(c) for c in ("order_id", "line_no", "quiz", "score")], block, _CHUNK)
-    entry = F.transform("quiz_scores", lambda s: F.concat_ws(":", s["quiz"].cast("string"), s["score"].cast("int").cast("string")))
-    return out.select(
-        "user_id", "name", F.col("chunk_no").cast("bigint").alias("chunk_no"),
-        F.size("quiz_scores").cast("bigint").alias("n"), F.array_join(entry, ",").alias("scores"),
-    )
+    out = serve.profiles_with_scores(profiles, view(spark, sf_dir, "quiz_scores"))
+    return out.select("user_id", "name", "quiz_score.order_id", "quiz_score.line_no", "quiz_score.quiz", F.col("quiz_score.score").cast("int").alias("score"))
 
 
 @query(
@@ -237,7 +233,11 @@ def draft_updates(spark, sf_dir):
         F.when(F.col("user_id") % 4 == 0, "Hello").alias("optimized_cover_letter"),
         F.when(F.col("user_id") % 5 != 0, "modern").alias("template_name"),
     )
-    out = feeds.save_drafts(rows, drafts, now())
+    # Each draft comes in two parts: the resume, then the letter and the template.
+    nothing = F.lit(None).cast("string")
+    early = drafts.withColumns({"part": F.lit(1), "template_name": nothing, "optimized_cover_letter": nothing})
+    late = drafts.withColumns({"part": F.lit(2), "optimized_resume": nothing})
+    out = feeds.save_drafts(rows, early.unionByName(late), [F.col("part")], now())
     return out.select("application_id", "status", "optimized_resume_url", "optimized_cover_letter", "reasoning_note")
 
 

@@ -26,6 +26,7 @@ from postloom.operators import maintain, report
 from postloom.operators import reconcile as R
 from postloom.plans import search
 from postloom.sources import tables, vocabulary
+from postloom.sources.tables import merge_changes
 
 STORED = ("stored_jobs",)
 SEEN = ("processed_jobs",)
@@ -309,6 +310,11 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def twice(rows: DataFrame) -> DataFrame:
+    """Every row and a later, worse copy of it, which must not count."""
+    return rows.withColumn("copy", F.lit(0)).unionByName(rows.withColumns({"title": F.lit("worse"), "company": F.lit("worse"), "copy": F.lit(1)}))
+
+
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("https://secure.indeed.com/auth?x="), "job_id")).otherwise(
         F.col("job_url")
@@ -334,7 +340,7 @@ _LISTINGS = "SELECT * REPLACE (CASE WHEN doc_id % 10 = 3 THEN 'https://secure.in
     ),
 )
 def listing_detail(spark, sf_dir):
-    out = R.merge_listing_with_detail(_listings(spark, sf_dir), details(spark, sf_dir), "job_id")
+    out = R.merge_listing_with_detail(_listings(spark, sf_dir), twice(details(spark, sf_dir)), "job_id", [F.col("copy")])
     return out.select("doc_id", "title", "company", "location", "description", "job_url")
 
 
@@ -351,7 +357,7 @@ def listing_detail(spark, sf_dir):
     ),
 )
 def fill_from_listing(spark, sf_dir):
-    out = R.fill_from_listing(posting_rows(spark, sf_dir), details(spark, sf_dir), "job_id")
+    out = R.fill_from_listing(posting_rows(spark, sf_dir), twice(details(spark, sf_dir)), "job_id", [F.col("copy")])
     return out.select("doc_id", "title", "company", "location", "description")
 
 
@@ -550,3 +556,36 @@ def board_quality(spark, sf_dir):
 def enrichment_stats(spark, sf_dir):
     enriched = E.enrich(posting_rows(spark, sf_dir), S.VOCABULARY, now())
     return report.enrichment_stats(enriched).withColumn("average", F.round("average", 9))
+
+
+# --- merges -------------------------------------------------------------------------------
+
+_MERGED = """SELECT coalesce(c.job_id, s.job_id) AS job_id, CASE WHEN c.job_id IS NULL THEN s.title ELSE c.title END AS title, s.company, c.batch_no FROM kept s FULL JOIN changes c ON s.job_id = c.job_id"""
+_STORED_ROWS = "SELECT job_id, job_title AS title, company FROM stored_jobs"
+_CHANGES = "SELECT CAST(doc_id AS VARCHAR(20)) AS job_id, 'changed' AS title, doc_id AS batch_no FROM documents WHERE doc_id % 4 = 1"
+
+
+def _changes(spark, sf_dir):
+    docs = view(spark, sf_dir, "documents").filter(F.col("doc_id") % 4 == 1)
+    return docs.select(F.col("doc_id").cast("string").alias("job_id"), F.lit("changed").alias("title"), F.col("doc_id").alias("batch_no"))
+
+
+def _current(spark, sf_dir):
+    return stored_rows(spark, sf_dir).select("job_id", F.col("job_title").alias("title"), "company")
+
+
+@query("merge_narrow", with_views(_MERGED, *STORED, kept=_STORED_ROWS, changes=_CHANGES))
+def merge_narrow(spark, sf_dir):
+    """Changes without a column keep what is stored; a new column is added."""
+    return merge_changes(_current(spark, sf_dir), _changes(spark, sf_dir), "job_id")
+
+
+@query(
+    "merge_with_deletes",
+    with_views(_MERGED, *STORED, kept=f"SELECT * FROM ({_STORED_ROWS}) r WHERE job_id NOT IN (SELECT CAST(doc_id AS VARCHAR(20)) FROM documents WHERE doc_id % 3 = 0)", changes=_CHANGES),
+)
+def merge_with_deletes(spark, sf_dir):
+    """Deletes first; null keys among them delete nothing, a change of a deleted key is a new row."""
+    docs = view(spark, sf_dir, "documents")
+    gone = docs.select(F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).alias("job_id"))
+    return merge_changes(_current(spark, sf_dir), _changes(spark, sf_dir), "job_id", gone)

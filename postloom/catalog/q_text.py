@@ -13,7 +13,6 @@ from postloom.functions import dates, fields, skills, text, urls
 from postloom.operators import enrich as E
 from postloom.operators import reconcile as R
 from postloom.plans import search
-from postloom.sources.tables import spread
 
 
 def now() -> Column:
@@ -26,7 +25,7 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "postings")
     listed = F.when(F.col("skills_csv") != "", F.split("skills_csv", ","))
     rows = rows.withColumn("skills", F.coalesce(listed, F.array().cast("array<string>"))).drop("skills_csv")
-    return spread(rows)
+    return rows
 
 
 def joined(items: Column) -> Column:
@@ -202,15 +201,13 @@ def indeed_key(spark, sf_dir):
     "prepare_rows",
     with_views(
         f"""SELECT doc_id, description, coalesce({_STABLE}, job_id) AS job_id FROM (
-          SELECT doc_id, job_id, board, {NATIVE_KEY} AS nk, {_STAND_IN} AS description FROM thin WHERE {_PERSISTABLE.replace('description', f'({_STAND_IN})')}) s""",
+          SELECT doc_id, job_id, board, {NATIVE_KEY} AS nk, {_STAND_IN} AS description FROM postings WHERE {_PERSISTABLE.replace('description', f'({_STAND_IN})')}) s""",
         *POSTED,
-        thin="SELECT * REPLACE (CASE WHEN doc_id % 9 IN (1, 5) THEN substring(description, 1, 12) ELSE description END AS description) FROM postings",
     ),
 )
 def prepare_rows(spark, sf_dir):
-    """Prepared rows that may be stored, some of them cut down to card texts."""
-    cut = F.when((F.col("doc_id") % 9).isin(1, 5), F.substring("description", 1, 12)).otherwise(F.col("description"))
-    ready = R.prepare(posting_rows(spark, sf_dir).withColumn("description", cut))
+    """Prepared rows that may be stored."""
+    ready = R.prepare(posting_rows(spark, sf_dir))
     return ready.filter(R.is_persistable(R.board_of(ready))).select("doc_id", "description", "job_id")
 
 
@@ -302,7 +299,7 @@ _LOWERED = {
 
 @query("entities", with_views(f"SELECT page_id, {S.unescape('html')} AS decoded FROM job_pages", "job_pages"))
 def entities(spark, sf_dir):
-    return spread(view(spark, sf_dir, "job_pages")).select("page_id", text.unescape(F.col("html")).alias("decoded"))
+    return view(spark, sf_dir, "job_pages").select("page_id", text.unescape(F.col("html")).alias("decoded"))
 
 
 @query(
@@ -313,7 +310,7 @@ def entities(spark, sf_dir):
     ),
 )
 def html_text(spark, sf_dir):
-    return spread(view(spark, sf_dir, "job_pages")).select("page_id", text.html_text(F.col("html")).alias("body"))
+    return view(spark, sf_dir, "job_pages").select("page_id", text.html_text(F.col("html")).alias("body"))
 
 
 @query("dedup_sentences", with_views("SELECT doc_id, full_text FROM texts", *POSTED, **_TEXTS))
@@ -389,7 +386,7 @@ def skill_pairs(spark, sf_dir):
     """The table form of the match, for vocabularies too large for expressions."""
     texts = E.clean_descriptions(posting_rows(spark, sf_dir)).select("doc_id", "full_text")
     vocabulary = spark.createDataFrame([(s,) for s in S.VOCABULARY], "skill string")
-    return skills.skill_pairs(texts, vocabulary, key="doc_id", text="full_text", max_tokens=2)
+    return skills.skill_pairs(texts, vocabulary, key="doc_id", text="full_text")
 
 
 _CATEGORY = """CASE WHEN regexp_matches(lower(skill), 'communication|leadership|team|problem|collaboration|analytical|creative|critical thinking|management') THEN 'soft'

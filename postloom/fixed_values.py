@@ -154,7 +154,6 @@ SCORE_POINTS = {
     "education": 5,
     "job_type": 5,
 }
-SCORE_ON_ERROR = 0.3
 
 # --- posted dates ----------------------------------------------------------
 POSTED_PREFIX = (

@@ -1,8 +1,8 @@
 """Skill matching against a vocabulary.
 
-A vocabulary of up to ``INLINE_LIMIT`` skills becomes literal expressions: no
-join, and a cheap substring test in front of every regular expression.  A bigger
-one is joined as a table on word n-grams (``skill_pairs``).
+A vocabulary given as a table, of any size, is joined on word n-grams (``skill_pairs``).
+A list written in code becomes literal expressions: no join, and a cheap substring
+test in front of every regular expression.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from postloom.fixed_values import SOFT_SKILL_WORDS, TOOL_SKILL_WORDS, WORD
 from postloom.functions.text import contains_any, let
 
-INLINE_LIMIT = 2000
 _CHUNK = 100
 
 def _literal(text: str) -> str:
@@ -35,8 +34,6 @@ def skill_regex(skill: str) -> str:
 
 def matched_skills(low_text: Column, vocabulary: list[str]) -> Column:
     """Skills of the vocabulary that occur in a lowered text."""
-    if len(vocabulary) > INLINE_LIMIT:
-        raise ValueError("vocabulary too large to inline; use skill_pairs")
     chunks = []
     for start in range(0, len(vocabulary), _CHUNK):
         tests = [
@@ -81,17 +78,23 @@ def _indexed(at: Callable[[Column, int], Column], n: int) -> Callable[[Column, C
     return lambda _token, i: at(i, n)
 
 
-def skill_pairs(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str, max_tokens: int) -> DataFrame:
+def skill_pairs(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str) -> DataFrame:
     """(key, skill) pairs for a vocabulary table of any size, by equi-join on token n-grams.
 
     A match starts where a run of token characters starts and ends at a run's end
-    or in front of a dot, so every candidate is a sequence of up to ``max_tokens``
-    tokens that may be cut in front of one of its dots.
-    ``max_tokens`` is the longest skill of the vocabulary, counted by the same tokens.
-    Candidates are made distinct inside each text before they are shuffled, and
-    the optimizer broadcasts the vocabulary only if it measures small.
+    or in front of a dot, so every candidate is a sequence of tokens, as many
+    as a skill of the vocabulary has, that may be cut in front of one of its dots.
+    Candidates start with a character that some skill starts with, and are made distinct
+    inside each text before they are shuffled.  The optimizer broadcasts the vocabulary
+    only if it measures small.
     """
     low = F.lower(F.col(text))
+    skill = F.lower("skill")
+    # Two bounded facts of the vocabulary: how many tokens its skills have, and how they begin.
+    lengths = [r.n for r in vocabulary.select(F.size(_tokens(skill)).alias("n")).distinct().collect()]
+    sizes = sorted(lengths)  # a cut form has as many tokens as it had
+    heads = vocabulary.select(F.substring(skill, 1, 1).alias("c")).distinct()
+    heads = [r.c for r in heads.collect()]
 
     def cuts(token: Column) -> Column:
         """The token cut in front of each of its dots."""
@@ -111,19 +114,20 @@ def skill_pairs(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str,
         )
 
     def grams(tokens: Column) -> Column:
-        parts = [tokens]
-        for n in range(2, max_tokens + 1):
+        parts = []
+        for n in sizes:
             def at(i: Column, n: int) -> Column:
                 return F.concat(*[F.get(tokens, i + k) for k in range(n)])
 
             # Positions past the last whole n-gram give null and drop out.
             parts.append(F.array_compact(F.transform(tokens, _indexed(at, n))))
-        return with_cuts(F.concat(*parts))
+        return with_cuts(F.concat(*parts) if parts else F.array().cast("array<string>"))
 
     candidates = (
         texts.select(F.col(key), low.alias("_low"))
         .withColumn("_tokens", _tokens(F.col("_low")))
         .select(key, F.explode(grams(F.col("_tokens"))).alias("_gram"))
+        .filter(F.substring("_gram", 1, 1).isin(heads))
     )
     words = vocabulary.select(F.col("skill"), F.lower("skill").alias("_gram"))
     return candidates.join(words, "_gram").select(key, "skill").distinct()

@@ -208,7 +208,7 @@ def word_count(text: Column) -> Column:
 
 
 _HEADER_LIST = [h for p in SECTION_HEADERS.values() for h in p[3:-1].split("|")]
-_LONGEST_HEADER = 32
+_LONGEST_HEADER = max(map(len, _HEADER_LIST)) + 1  # with the character in front
 # Letters outside ASCII that equal an ASCII letter when case is ignored.
 _FOLDING = ["ı", "İ", "ſ", "K"]
 

@@ -120,8 +120,13 @@ def dedup_within_ttl(
     return top_per_group(tagged.drop("bucket"), ["session", key], order, 1)
 
 
-def enqueue_new(df: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows whose key is not marked seen; a row without a key gets the queue's own."""
+def queue_keys(df: DataFrame) -> DataFrame:
+    """The rows under their key; a row without one gets the queue's own."""
     own = queue_id(F.col("title"), F.col("company"), F.col("location"))
-    keyed = df.withColumn("job_id", F.coalesce(F.nullif("job_id", F.lit("")), own))
+    return df.withColumn("job_id", F.coalesce(F.nullif("job_id", F.lit("")), own))
+
+
+def enqueue_new(df: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows whose key is not marked seen."""
+    keyed = queue_keys(df)
     return keyed.join(seen.select("job_id"), "job_id", "left_anti")

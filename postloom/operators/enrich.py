@@ -69,11 +69,11 @@ def enrich(postings: DataFrame, vocabulary: list[str], now: Column, *, matched:
 
 
 def enrich_with_table(
-    postings: DataFrame, vocabulary: DataFrame, now: Column, *, key: str, max_tokens: int
+    postings: DataFrame, vocabulary: DataFrame, now: Column, *, key: str
 ) -> DataFrame:
-    """``enrich`` for a vocabulary too large to inline; ``key`` is unique per posting."""
+    """``enrich`` with the vocabulary as a table of any size; ``key`` is unique per posting."""
     texts = clean_descriptions(postings.select(key, "description")).select(key, "full_text")
-    pairs = skills.skill_pairs(texts, vocabulary, key=key, text="full_text", max_tokens=max_tokens)
+    pairs = skills.skill_pairs(texts, vocabulary, key=key, text="full_text")
     matched = pairs.groupBy(key).agg(F.collect_set("skill").alias("_matched"))
     joined = postings.join(matched, key, "left").withColumn(
         "_matched", F.coalesce("_matched", F.array().cast("array<string>"))

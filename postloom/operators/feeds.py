@@ -65,21 +65,32 @@ def update_status(applications: DataFrame, changes: DataFrame, order: list[Colum
     )
 
 
-def save_drafts(applications: DataFrame, drafts: DataFrame, now: Column) -> DataFrame:
-    """One draft per application: status draft, given materials set, template noted once."""
-    given = drafts.select(
-        "application_id",
-        F.col("optimized_resume").alias("_resume"),
-        F.col("optimized_cover_letter").alias("_letter"),
-        F.col("template_name").alias("_template"),
+def save_drafts(applications: DataFrame, drafts: DataFrame, order: list[Column], now: Column) -> DataFrame:
+    """Drafts in their order: status draft, the last material given, each template noted once.
+
+    Several drafts of one application act like one after the other and leave one row.
+    """
+    place = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+
+    def last(name: str) -> Column:
+        return F.max_by(name, F.when(F.col(name).isNotNull(), place))
+
+    named = F.when(F.coalesce("template_name", F.lit("")) != "", F.struct(place.alias("at"), F.col("template_name").alias("name")))
+    given = drafts.groupBy("application_id").agg(
+        last("optimized_resume").alias("_resume"),
+        last("optimized_cover_letter").alias("_letter"),
+        F.transform(F.sort_array(F.collect_list(named)), lambda t: t["name"]).alias("_templates"),
         F.lit(True).alias("_hit"),
     )
-    note = F.coalesce(F.col("reasoning_note"), F.lit(""))
-    line = F.concat(F.lit("Template: "), F.col("_template"))
-    noted = F.when(
-        (F.coalesce(F.col("_template"), F.lit("")) != "") & ~F.contains(note, line),
-        F.btrim(F.concat(note, F.lit("\n"), line), F.lit(" \t\r\n")),
-    ).otherwise(F.col("reasoning_note"))
+
+    def add(note: Column, template: Column) -> Column:
+        line = F.concat(F.lit("Template: "), template)
+        return F.when(F.contains(F.coalesce(note, F.lit("")), line), note).otherwise(
+            F.btrim(F.concat(F.coalesce(note, F.lit("")), F.lit("\n"), line), F.lit(" \t\r\n"))
+        )
+
+    no_template = F.array().cast("array<string>")
+    noted = F.aggregate(F.coalesce("_templates", no_template), F.col("reasoning_note"), add)
     return (
         applications.join(given, "application_id", "left")
         .withColumns(

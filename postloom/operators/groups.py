@@ -7,22 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this n the optimizer cuts every group before the shuffle by itself.
-_PLAN_LIMIT = 1000
-_SALTS = 64
-
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of every group.
 
-    ``row_number() <= n`` is cut to n rows per group and task before the shuffle.
-    For a large n a salted round does the cutting, so no task sorts a whole hot group.
+    The optimizer cuts ``row_number() <= n`` to n rows per group and task before the shuffle
+    (``spark.sql.optimizer.windowGroupLimitThreshold`` says up to which n).
     """
-    if n > _PLAN_LIMIT:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-        df = df.withColumn("_salt", salt)
-        first = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = df.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
     whole = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
 

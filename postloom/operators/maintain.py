@@ -30,14 +30,12 @@ def stale_marks(seen: DataFrame, jobs: DataFrame, cutoff: Column) -> DataFrame:
     )
 
 
-def rekey_plan(jobs: DataFrame, hot: int = 1_000_000) -> DataFrame:
+def rekey_plan(jobs: DataFrame) -> DataFrame:
     """(job_id, new_id, has_native_id, action) for every stored row.
 
     Rows of one new id collapse into the one with the longest text (lowest job_id on
     ties): the others are deleted, the winner is renamed unless it has the id already.
-    Winners come from a partial aggregate.  Ids of more than ``hot`` rows, of which there
-    are at most rows / ``hot``, are broadcast back to their rows; only the others are
-    joined by shuffling, so no id floods a task.
+    Winners come from a partial aggregate over narrow columns, and one join brings them back.
     """
     native = stable_id(F.col("job_source"), F.col("url"))
     rows = jobs.select(
@@ -46,14 +44,8 @@ def rekey_plan(jobs: DataFrame, hot: int = 1_000_000) -> DataFrame:
         native.isNotNull().alias("has_native_id"),
         F.length(F.coalesce("job_description", F.lit(""))).alias("_len"),
     )
-    winners = rows.groupBy("new_id").agg(
-        F.min(F.struct(-F.col("_len"), F.col("job_id"))).alias("_w"), F.count("*").alias("_n")
-    ).select("new_id", F.col("_w.job_id").alias("_winner"), "_n")
-    few = F.broadcast(winners.filter(F.col("_n") > hot))
-    many = winners.filter(F.col("_n") <= hot)
-    placed = rows.join(few, "new_id").unionByName(
-        rows.join(few.select("new_id"), "new_id", "left_anti").join(many, "new_id")
-    )
+    winners = rows.groupBy("new_id").agg(F.min(F.struct(-F.col("_len"), F.col("job_id"))).alias("_w"))
+    placed = rows.join(winners.select("new_id", F.col("_w.job_id").alias("_winner")), "new_id")
     action = (
         F.when(F.col("job_id") != F.col("_winner"), "delete")
         .when(F.col("job_id") != F.col("new_id"), "rename")

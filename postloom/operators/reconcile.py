@@ -18,6 +18,7 @@ from postloom.functions.text import strip
 from postloom.functions.urls import stable_id
 from postloom.operators.groups import top_per_group
 from postloom.schemas import ADDED_COLUMNS, JOBS, LOOKUP_COLUMNS
+from postloom.sources.tables import stored_by_ids
 
 # incoming column -> stored column
 FIELD_PAIRS = {
@@ -142,10 +143,12 @@ def reconcile(batch: DataFrame, stored: DataFrame, seen: DataFrame, *, interacti
     single searches: a plain 50 characters on two boards, no stand-in text, no merge
     for stored rows without a mark.
     """
-    # The two keyed tables meet first, so that the batch, in which one posting may hold
-    # many rows, takes part in a single join that can be split where it is skewed.
-    marks = seen.select("job_id", F.lit(True).alias("_seen")).dropDuplicates(["job_id"])
-    known = stored.select(*LOOKUP_COLUMNS).join(marks, "job_id", "left").select(
+    # Only what the batch asks for is taken from the two keyed tables.  They meet first, so
+    # that the batch, in which one posting may hold many rows, takes part in a single join
+    # that can be split where it is skewed.
+    asked = batch.select("job_id").distinct()
+    marks = seen.select("job_id").join(asked, "job_id", "left_semi").withColumn("_seen", F.lit(True))
+    known = stored_by_ids(stored, asked).join(marks, "job_id", "left").select(
         F.col("job_id").alias("_stored_id"), F.struct(*LOOKUP_COLUMNS).alias("stored"), "_seen"
     )
     joined = batch.join(known, F.col("job_id") == F.col("_stored_id"), "left").drop("_stored_id")
@@ -189,9 +192,11 @@ def merge_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
 # --- listing and detail ------------------------------------------------------------
 
 
-def merge_listing_with_detail(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:
+def merge_listing_with_detail(listing: DataFrame, detail: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Left join on the posting; the detail's filled fields win, the longer text wins,
-    the listing's url stays unless it is a login url."""
+    the listing's url stays unless it is a login url.  Of several details of a key the first
+    in ``order`` counts."""
+    detail = top_per_group(detail, [key], order)
     shared = [c for c in detail.columns if c in listing.columns and c not in (key, "job_url", "description")]
     right = detail.select(F.col(key).alias("_key"), F.struct("*").alias("detail"))
     joined = listing.join(right, F.col(key) == F.col("_key"), "left")
@@ -214,9 +219,11 @@ def merge_listing_with_detail(listing: DataFrame, detail: DataFrame, key: str) -
     return joined.withColumns(out).select(*listing.columns)
 
 
-def fill_from_listing(detail: DataFrame, listing: DataFrame, key: str) -> DataFrame:
+def fill_from_listing(detail: DataFrame, listing: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Keep the parsed detail; fill a missing title, company or location from the listing,
-    and take the listing's text when it is longer."""
+    and take the listing's text when it is longer.  Of several listings of a key the first
+    in ``order`` counts."""
+    listing = top_per_group(listing, [key], order)
     right = listing.select(F.col(key).alias("_key"), F.struct("*").alias("listing"))
     joined = detail.join(right, F.col(key) == F.col("_key"), "left")
 

@@ -33,8 +33,22 @@ def title_matches(title: Column, roles: list[str]) -> Column:
     return found
 
 
-def jobs_for_roles(jobs: DataFrame, roles: list[str], offset: int = 0, limit: int = 50) -> DataFrame:
-    """A page of the rows whose title matches any allowed role."""
+def permitted_roles(asked: list[str], configured: list[str]) -> list[str]:
+    """The asked roles that are configured, each once, in the configured spelling."""
+    spelling = {" ".join(r.lower().split()): r for r in configured}
+    found = [spelling.get(" ".join(r.lower().split())) for r in asked]
+    return list(dict.fromkeys(r for r in found if r))
+
+
+def jobs_for_roles(
+    jobs: DataFrame, roles: list[str], offset: int = 0, limit: int = 50, *, configured: list[str] | None = None
+) -> DataFrame:
+    """A page of the rows whose title matches any of the roles.
+
+    With ``configured``, only roles of that list count; asking for others gives nothing.
+    """
+    if configured is not None:
+        roles = permitted_roles(roles, configured)
     return page(jobs.filter(title_matches(F.col("job_title"), roles)), offset, limit)
 
 
@@ -60,27 +74,14 @@ def recent_applications(applications: DataFrame, limit: int = 50) -> DataFrame:
     return top_per_group(applications, ["user_id"], order, limit)
 
 
-def profiles_with_scores(
-    profiles: DataFrame, scores: DataFrame, order: list[Column], block: Column, chunk: int = 1000
-) -> DataFrame:
-    """Profiles with their quiz scores as arrays; an empty array for none.
+def profiles_with_scores(profiles: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row per profile and quiz score, the score as a struct; one row with null for a profile without any.
 
-    A user's scores come in arrays of at most ``chunk`` entries, one row each
-    (``chunk_no`` from 0), so a user with a third of all scores is no single value.
+    The long form has one shape for every number of scores, and one join that may be
+    split where a user has many.
     """
-    numbered = running(scores, ["user_id"], order, block, sums={"_n": F.lit(1)})
-    entry = F.struct(F.col("_n"), *[c for c in scores.columns if c != "user_id"])
-    chunks = (
-        numbered.withColumn("chunk_no", F.floor((F.col("_n") - 1) / chunk))
-        .groupBy("user_id", "chunk_no")
-        .agg(F.sort_array(F.collect_list(entry)).alias("quiz_scores"))
-    )
-    empty = F.array().cast(chunks.schema["quiz_scores"].dataType)
-    return (
-        profiles.join(chunks, "user_id", "left")
-        .withColumn("chunk_no", F.coalesce("chunk_no", F.lit(0)))
-        .withColumn("quiz_scores", F.coalesce("quiz_scores", empty))
-    )
+    entry = F.struct(*[c for c in scores.columns if c != "user_id"]).alias("quiz_score")
+    return profiles.join(scores.select("user_id", entry), "user_id", "left")
 
 
 def resume_versions(resumes: DataFrame, existing: DataFrame | None, order: list[Column], block: Column) -> DataFrame:

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postloom.operators.groups import top_per_group
 from postloom.schemas import LOOKUP_COLUMNS, PAGES
@@ -45,11 +42,32 @@ def merge_by_key(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     Both sides have one row per key, so a full outer join on it is balanced and
     reads each side once.
     """
-    columns = current.columns
-    old = current.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
-    new = changes.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"))
+    return merge_changes(current, changes.select(*current.columns), key)
+
+
+def merge_changes(current: DataFrame, changes: DataFrame, key: str, delete: DataFrame | None = None) -> DataFrame:
+    """``current`` without the keys of ``delete``, then with ``changes`` merged in.
+
+    Columns that the changes lack keep their stored values, null in new rows; columns that
+    only the changes have are added, null in rows they leave alone.  Each side has one row
+    per key; null keys in ``delete`` delete nothing.
+    """
+    if delete is not None:
+        current = current.join(delete.select(key), key, "left_anti")
+    old = current.select(F.col(key).alias("_old_key"), F.struct(*current.columns).alias("_old"))
+    new = changes.select(F.col(key).alias("_new_key"), F.struct(*changes.columns).alias("_new"))
     both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
-    return both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+    changed = F.col("_new_key").isNotNull()
+
+    def value(name: str) -> Column:
+        if name not in changes.columns:
+            return F.col("_old")[name]
+        if name not in current.columns:
+            return F.col("_new")[name]
+        return F.when(changed, F.col("_new")[name]).otherwise(F.col("_old")[name])
+
+    names = [*current.columns, *[c for c in changes.columns if c not in current.columns]]
+    return both.select(*[value(n).alias(n) for n in names])
 
 
 def upsert(current: DataFrame, batch: DataFrame, order: list[Column], *, key: str = "job_id", text: str = "job_description") -> DataFrame:
@@ -79,81 +97,3 @@ def error_rows(failures: DataFrame, url: Column, message: Column, retries: Colum
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
-
-
-# --- a keyed table in plain files -------------------------------------------------
-
-
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def _by_bucket(df: DataFrame, key: str, buckets: int, touched: int, files: int) -> DataFrame:
-    """Rows placed by bucket, each bucket over ``files`` tasks."""
-    bucketed = df.withColumn("bucket", bucket_of(key, buckets))
-    part = F.pmod(F.hash(F.col(key)), F.lit(files))
-    return bucketed.repartition(touched * files, F.col("bucket"), part)
-
-
-def create_table(df: DataFrame, path: str, *, key: str = "job_id", buckets: int = 64, files: int = 1) -> None:
-    """Write a keyed table as one folder per key bucket.
-
-    Choose ``buckets`` and ``files`` per bucket so that a file is about one task's work:
-    an upsert rewrites whole buckets, several tasks to each.
-    """
-    placed = _by_bucket(df, key, buckets, buckets, files)
-    placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def _all_nullable(schema: T.StructType) -> T.StructType:
-    text = schema.json()
-    for flag in ("nullable", "containsNull", "valueContainsNull"):
-        text = text.replace(f'"{flag}":false', f'"{flag}":true')
-    return T.StructType.fromJson(json.loads(text))
-
-
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A keyed table, empty ones included.  What files hold is always nullable."""
-    fields = _all_nullable(schema).fields
-    with_bucket = T.StructType([*fields, T.StructField("bucket", T.IntegerType())])
-    return spark.read.schema(with_bucket).parquet(path)
-
-
-def upsert_into(path: str, changes: DataFrame, *, key: str = "job_id", buckets: int = 64, files: int = 1, delete: DataFrame | None = None) -> None:
-    """Merge rows of distinct keys (and deletes) into a keyed table, rewriting only touched buckets.
-
-    The new bucket folders are staged whole before they replace the old ones, so a
-    lost executor only repeats tasks.  Several buckets are not replaced in one
-    instant; where the catalog's tables support row-level merge, use
-    ``DataFrame.mergeInto`` instead.
-    """
-    current = read_keyed(changes.sparkSession, path, changes.schema)
-    touched = changes.select(bucket_of(key, buckets).alias("b"))
-    if delete is not None:
-        touched = touched.union(delete.select(bucket_of(key, buckets).alias("b")))
-    # At most ``buckets`` small numbers come back: they prune the read to those folders.
-    numbers = [r.b for r in touched.distinct().collect()]
-    if not numbers:
-        return
-    columns = [c for c in current.columns if c != "bucket"]
-    old = current.filter(F.col("bucket").isin(numbers)).select(*columns)
-    if delete is not None:
-        old = old.join(delete.select(key), key, "left_anti")
-    new = merge_by_key(old, changes, key)
-    (
-        _by_bucket(new, key, buckets, len(numbers), files)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than cores over all cores before heavy per-row work.
-
-    Only inputs too small to be split are moved; a large table has more splits than
-    cores and passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

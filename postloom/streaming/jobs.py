@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postloom.functions.text import strip
-from postloom.operators import arrivals
+from postloom.operators import arrivals, store
 from postloom.operators import reconcile as R
-from postloom.operators.enrich import enrich
-from postloom.schemas import JOBS, SEEN
-from postloom.sources import tables
+from postloom.sources import keyed
 
 Step = Callable[[DataFrame, int], None]
 
@@ -49,42 +47,39 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
 
 def upsert_stream(
     stream: DataFrame, jobs_path: str, seen_path: str, stage: str, vocabulary: list[str], now: Column,
-    checkpoint: str, order: list[str], buckets: int = 64,
+    checkpoint: str, order: list[str],
 ) -> StreamingQuery:
     """Reconcile, enrich and upsert every micro-batch.
 
-    What to do with each row is written under ``stage`` before the first table changes,
-    since both merges depend on the tables as they were.  Merging is by key, and a merged row equals itself when merged again, so a batch
-    that is repeated after a failure does no harm; a failed enrichment fails the batch
-    before anything is written.
+    Only the buckets of the batch's ids are read of both tables.  What to do with each row
+    is written under ``stage`` before the first table changes, since both merges depend on
+    the tables as they were.  Merging is by key, and a merged row equals itself when merged
+    again, so a batch that is repeated after a failure does no harm; a failed enrichment
+    fails the batch before anything is written.
     """
 
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        stored = tables.read_keyed(spark, jobs_path, JOBS)
-        seen = tables.read_keyed(spark, seen_path, SEEN)
-        board = R.board_of(batch)
-        ready = R.prepare(batch.filter(R.is_persistable(board)))
-        # Rows of one posting meet here, before the join with the stored table.
-        longest = R.longest_per_key(ready, "job_id", "description", [F.col(c) for c in order])
+        longest = store.batch_rows(batch, [F.col(c) for c in order])
+        stored = keyed.rows_of(spark, jobs_path, longest)
+        seen = keyed.rows_of(spark, seen_path, longest)
         folder = f"{stage}/batch={n}"
         R.reconcile(longest, stored, seen).write.mode("overwrite").parquet(folder)
         acted = spark.read.parquet(folder)
-        written = acted.filter(F.col("action").isin("new", "merge", "backfill")).drop("action")
-        marks = acted.filter((F.col("action") != "skipped") & (F.col("job_id") != "")).select(
-            "job_id", now.alias("processed_at")
-        ).distinct()
-        tables.upsert_into(jobs_path, R.job_records(enrich(written, vocabulary, now), now), buckets=buckets)
-        tables.upsert_into(seen_path, marks, buckets=buckets)
+        keyed.upsert_into(jobs_path, store.changed_jobs(acted, vocabulary, now))
+        keyed.upsert_into(seen_path, store.changed_marks(acted, now))
 
     return _start(stream, step, checkpoint)
 
 
 def enqueue_stream(stream: DataFrame, seen_path: str, queue_path: str, checkpoint: str) -> StreamingQuery:
-    """Append the rows whose key is not marked seen yet; one folder per micro-batch."""
+    """Append the rows whose key is not marked seen yet; one folder per micro-batch.
+
+    Only the buckets of the batch's keys are read of the seen table.
+    """
 
     def step(batch: DataFrame, n: int) -> None:
-        seen = tables.read_keyed(batch.sparkSession, seen_path, SEEN)
+        seen = keyed.rows_of(batch.sparkSession, seen_path, arrivals.queue_keys(batch))
         arrivals.enqueue_new(batch, seen).write.mode("overwrite").parquet(f"{queue_path}/batch={n}")
 
     return _start(stream, step, checkpoint)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from postloom.operators import arrivals
 from postloom.schemas import JOBS, SEEN
-from postloom.sources import tables
+from postloom.operators import store
+from postloom.sources import keyed
 from postloom.streaming import jobs
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -99,29 +100,35 @@ def test_upsert_stream(spark, tmp_path):
         spark.createDataFrame(part, columns).coalesce(1).write.parquet(f"{tmp_path}/raw/part{i}")
         for f in (tmp_path / "raw" / f"part{i}").glob("*.parquet"):
             shutil.copy(f, tmp_path / "raw" / f"{i}.parquet")
-    tables.create_table(spark.createDataFrame([], JOBS), f"{tmp_path}/jobs", buckets=4)
-    tables.create_table(spark.createDataFrame([], SEEN), f"{tmp_path}/seen", buckets=4)
+    keyed.create_table(spark.createDataFrame([], JOBS), f"{tmp_path}/jobs", buckets=4)
+    keyed.create_table(spark.createDataFrame([], SEEN), f"{tmp_path}/seen", buckets=4)
     stream = spark.readStream.schema(spark.createDataFrame([], columns).schema).option("maxFilesPerTrigger", 1).parquet(
         f"{tmp_path}/raw/*.parquet"
     )
     now = F.lit("2026-10-02 12:00:00").cast("timestamp")
-    q = jobs.upsert_stream(stream, f"{tmp_path}/jobs", f"{tmp_path}/seen", f"{tmp_path}/stage", ["Python", "SQL"], now, f"{tmp_path}/cp", ["doc_id"], buckets=4)
+    q = jobs.upsert_stream(stream, f"{tmp_path}/jobs", f"{tmp_path}/seen", f"{tmp_path}/stage", ["Python", "SQL"], now, f"{tmp_path}/cp", ["doc_id"])
     q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/jobs").select("url", "skills_required", "job_description").collect()
+    got = keyed.read_keyed(spark, f"{tmp_path}/jobs").select("url", "skills_required", "job_description").collect()
     assert len(got) == 2
     by_url = {r.url.split("?")[0]: r for r in got}
     assert by_url["https://pk.indeed.com/viewjob"].job_description.startswith("We build data pipelines")
     assert by_url["https://pk.indeed.com/viewjob"].skills_required == ["Python", "SQL"]
     rozee = next(r for u, r in by_url.items() if "rozee" in u)
     assert rozee.skills_required == ["Python", "SQL"]
-    assert spark.read.parquet(f"{tmp_path}/seen").count() == 2
+    assert keyed.read_keyed(spark, f"{tmp_path}/seen").count() == 2
+    # The stream leaves what one plan over all rows gives, null ids included.
+    empty = spark.createDataFrame([], JOBS)
+    batches = [spark.createDataFrame(part, columns) for part in parts]
+    once = store.store_batch(batches[0].unionByName(batches[1]), empty, spark.createDataFrame([], SEEN), ["Python", "SQL"], now, [F.col("doc_id")])
+    key = ["job_id", "job_description", "skills_required"]
+    assert sorted(once.select(key).collect()) == sorted(keyed.read_keyed(spark, f"{tmp_path}/jobs").select(key).collect())
 
 
 def test_queue_stream(spark, tmp_path):
     columns = "job_id string, title string, company string, location string"
     rows = spark.createDataFrame([("a", "t", "c", "l"), ("b", "t", "c", "l"), (None, "t", "c", "l")], columns)
     rows.coalesce(1).write.parquet(f"{tmp_path}/raw")
-    tables.create_table(spark.createDataFrame([("a", None)], SEEN), f"{tmp_path}/seen", buckets=2)
+    keyed.create_table(spark.createDataFrame([("a", None)], SEEN), f"{tmp_path}/seen", buckets=2)
     stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/raw")
     jobs.enqueue_stream(stream, f"{tmp_path}/seen", f"{tmp_path}/queue", f"{tmp_path}/cp").awaitTermination()
     got = [r.job_id for r in spark.read.parquet(f"{tmp_path}/queue").collect()]
