@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.shared import held, numbered, python_batches, staged, without
+from postloom.llm.shared import held, numbered, python_batches, small, staged, without
 from postloom.llm.words import Words, gram_hashes, lists, mix, pieces, words_of
 
 SHINGLE = 5
@@ -159,6 +159,9 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFram
                 keep.append(common >= similar * (len(x) + len(y) - common) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    # Of the texts only those that stand in a pair travel.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    sets = sets.join(small(staged(asked, "asked")), "uid", "left_semi")
     one = sets.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("uid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shingles").alias("y"))
     both = pairs.join(one, "a").join(two, "b")
