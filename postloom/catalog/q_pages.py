@@ -233,6 +233,26 @@ def replay_html(spark, sf_dir):
     return extract.replay(pages_of(spark, sf_dir, "detail_pages"), card, "page_id")
 
 
+@query(
+    "pane_detail",
+    with_views(
+        """SELECT d.page_id, p.title, coalesce(nullif(p.company, ''), 'Unknown') AS company, coalesce(nullif(p.location, ''), 'Pakistan') AS location, d.description, p.posted_date,
+          CASE WHEN d.page_id % 2 = 0 THEN p.job_url ELSE 'https://pk.indeed.com/viewjob?jk=' || CAST(d.page_id AS VARCHAR) END AS job_url
+        FROM details d JOIN postings p ON p.doc_id = d.page_id WHERE d.board = 'indeed'""",
+        *POSTED,
+        details=_DETAIL_ROWS,
+    ),
+)
+def pane_detail(spark, sf_dir):
+    """Results pages with an open pane, each with the card of the scraped row of the same number; half come with a url."""
+    names = ["title", "company", "location", "job_url", "posted_date"]
+    card = posting_rows(spark, sf_dir).select(F.col("doc_id").alias("page_id"), F.struct(*names).alias("card"))
+    pages = pages_of(spark, sf_dir, "detail_pages").filter("board = 'indeed'").join(card, "page_id", "left")
+    given = F.when(F.col("page_id") % 2 == 0, "").otherwise(F.concat(F.lit("https://pk.indeed.com/viewjob?jk="), F.col("page_id").cast("string")))
+    out = extract.pane_detail(pages.withColumn("job_url", given))
+    return out.select("page_id", "title", "company", "location", "description", "posted_date", "job_url")
+
+
 _CARDS = f"""SELECT page_id, board, title, company, location, url AS job_url FROM (
   SELECT *, row_number() OVER (PARTITION BY page_id, CASE WHEN board = 'rozee' THEN CAST(i AS VARCHAR) ELSE url END ORDER BY i) AS rn FROM (
     SELECT page_id, board, i, {S.collapse(S.unescape("regexp_extract(li, '>([^<]*)</a>', 1)"))} AS title,

@@ -448,6 +448,86 @@ def failure_streaks(spark, sf_dir):
     return out.select("event_id", "board", "streak", "cooldown")
 
 
+_COOLDOWNS = "SELECT board, ts AS cooling_from, ts + INTERVAL '300 seconds' AS cooling_until FROM s WHERE outcome = 'timeout' AND streak > 0 AND streak % 3 = 0"
+
+
+def _intervals(spark, sf_dir):
+    log = view(spark, sf_dir, "fetch_log")
+    streaks = arrivals.failure_streaks(
+        log, ["board"], F.col("outcome") == "timeout", F.col("outcome") == "ok", 3, [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts"))
+    )
+    return arrivals.cooldowns(streaks, ["board"], "ts", 300)
+
+
+@query("cooldowns", with_views(_COOLDOWNS, *LOG, s=_log_streaks(3, "board", "outcome = 'ok'", "outcome = 'timeout'")))
+def cooldowns(spark, sf_dir):
+    return _intervals(spark, sf_dir)
+
+
+@query(
+    "cooling_at",
+    with_views(
+        "SELECT event_id, board, coalesce(c.cooling_until > f.ts, false) AS cooling FROM fetch_log f ASOF LEFT JOIN (SELECT board AS b, cooling_from, cooling_until FROM c) c ON f.board = c.b AND f.ts >= c.cooling_from",
+        *LOG,
+        s=_log_streaks(3, "board", "outcome = 'ok'", "outcome = 'timeout'"),
+        c=_COOLDOWNS,
+    ),
+)
+def cooling_at(spark, sf_dir):
+    probes = view(spark, sf_dir, "fetch_log").select("event_id", "board", "ts")
+    out = arrivals.cooling_at(probes, _intervals(spark, sf_dir), ["board"], "ts", lambda t: F.date_trunc("day", t))
+    return out.select("event_id", "board", "cooling")
+
+
+@query(
+    "blocked_runs",
+    with_views(
+        """SELECT f.board, f.ts AS blocked_from, min(o.ts) AS blocked_until FROM (SELECT * FROM s WHERE outcome = 'auth_wall' AND streak = 3) f
+        LEFT JOIN (SELECT * FROM fetch_log WHERE outcome = 'ok') o ON f.board = o.board AND (o.ts, o.event_id) > (f.ts, f.event_id) GROUP BY f.board, f.event_id, f.ts""",
+        *LOG,
+        s=_log_streaks(3, "board", "outcome = 'ok'", "outcome = 'auth_wall'"),
+    ),
+)
+def blocked_runs(spark, sf_dir):
+    log = view(spark, sf_dir, "fetch_log")
+    return arrivals.blocked_runs(
+        log, ["board"], F.col("outcome") == "auth_wall", F.col("outcome") == "ok", 3, "ts", [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts"))
+    )
+
+
+@query(
+    "seen_per_user",
+    with_views(
+        """SELECT event_id, user_id, board, outcome, CAST(session AS BIGINT) AS session FROM (SELECT *, sum(gap) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session
+          FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL '12 hours' THEN 1 ELSE 0 END AS gap FROM fetch_log) a) b
+        QUALIFY row_number() OVER (PARTITION BY user_id, session, outcome ORDER BY ts, event_id) = 1""",
+        *LOG,
+    ),
+)
+def seen_per_user(spark, sf_dir):
+    """Each user's own set: an add keeps only that user's members alive."""
+    out = arrivals.dedup_within_ttl(view(spark, sf_dir, "fetch_log"), "outcome", "ts", "12 hours", [F.col("ts"), F.col("event_id")], owners=["user_id"])
+    return out.select("event_id", "user_id", "board", "outcome", F.col("session").cast("bigint").alias("session"))
+
+
+@query(
+    "vetted_live",
+    with_views(
+        """SELECT event_id, user_id, idx FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx FROM (
+            SELECT *, max(session) OVER (PARTITION BY user_id) AS newest, max(ts) OVER (PARTITION BY user_id) AS last_add FROM (
+              SELECT *, sum(gap) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM (
+                SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL '12 hours' THEN 1 ELSE 0 END AS gap
+                FROM fetch_log WHERE ts <= TIMESTAMP '2024-01-20 12:00:00') a) b) c
+          WHERE session = newest AND last_add + INTERVAL '12 hours' > TIMESTAMP '2024-01-20 12:00:00') d WHERE idx >= 1""",
+        *LOG,
+    ),
+)
+def vetted_live(spark, sf_dir):
+    at = F.lit("2024-01-20 12:00:00").cast("timestamp")
+    out = serve.vetted_live(view(spark, sf_dir, "fetch_log"), "ts", at, "12 hours", 1, [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts")))
+    return out.select("event_id", "user_id", "idx")
+
+
 @query(
     "listing_stop",
     with_views(

@@ -22,7 +22,7 @@ from postloom.catalog.q_text import (
 )
 from postloom.catalog.registry import query
 from postloom.operators import enrich as E
-from postloom.operators import maintain, report
+from postloom.operators import maintain, report, store
 from postloom.operators import reconcile as R
 from postloom.plans import search
 from postloom.sources import tables, vocabulary
@@ -589,3 +589,26 @@ def merge_with_deletes(spark, sf_dir):
     docs = view(spark, sf_dir, "documents")
     gone = docs.select(F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).alias("job_id"))
     return merge_changes(_current(spark, sf_dir), _changes(spark, sf_dir), "job_id", gone)
+
+
+@query(
+    "store_batch",
+    with_views(
+        f"""SELECT job_id, job_title, url FROM stored_jobs
+        UNION ALL SELECT job_id, title, job_url FROM (
+          SELECT coalesce({_STABLE}, job_id) AS job_id, title, job_url, doc_id, description FROM (
+            SELECT doc_id, CASE WHEN doc_id % 10 = 7 THEN NULL ELSE 'n' || job_id END AS job_id, board, title, job_url, CASE WHEN job_url <> '' THEN {NATIVE_KEY} END AS nk, {_STAND_IN} AS description
+            FROM (SELECT * REPLACE (CASE WHEN doc_id % 10 = 7 THEN '' ELSE job_url END AS job_url) FROM postings) p WHERE {_PERSISTABLE}) a) b
+        WHERE job_id <> '' QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY length(description) DESC, doc_id) = 1""",
+        *POSTED,
+        *STORED,
+    ),
+)
+def store_batch(spark, sf_dir):
+    """The stored table after a batch of new postings; a tenth of them has neither an id nor a url to make one of."""
+    lost = F.col("doc_id") % 10 == 7
+    rows = posting_rows(spark, sf_dir)
+    batch = rows.withColumns({"job_id": F.when(~lost, F.concat(F.lit("n"), "job_id")), "job_url": F.when(~lost, F.col("job_url")).otherwise("")})
+    stored = stored_rows(spark, sf_dir)
+    out = store.store_batch(batch, stored, seen_rows(spark, sf_dir), ["Python", "SQL"], now(), [F.col("doc_id")])
+    return out.select("job_id", "job_title", "url")

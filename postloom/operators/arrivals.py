@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +35,14 @@ def emit_if_longer(df: DataFrame, key: str, length: Column, order: list[Column],
     Rows that an earlier row of the same block and key already beats cannot
     pass, and the rest continues from the maximum of the earlier blocks.
     """
-    with_length = df.withColumn("_len", length)
+    # Rows without a key all pass; they are no group.
+    keyless = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
+    with_length = df.filter(~keyless).withColumn("_len", length)
     seen = running(
         with_length, [key], order, block, maxes={"_before": F.col("_len")}, before=True
     )
-    keep = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
-    return seen.filter(keep | F.col("_before").isNull() | (F.col("_len") > F.col("_before"))).select(
-        *df.columns
-    )
+    longer = seen.filter(F.col("_before").isNull() | (F.col("_len") > F.col("_before")))
+    return longer.select(*df.columns).unionByName(df.filter(keyless))
 
 
 def failure_streaks(
@@ -70,6 +72,41 @@ def failure_streaks(
     )
 
 
+def cooldowns(streaks: DataFrame, keys: list[str], at: str, seconds: int) -> DataFrame:
+    """(keys, cooling_from, cooling_until): one interval per row of ``failure_streaks`` that starts a cooldown."""
+    until = F.col(at) + F.make_interval(secs=F.lit(seconds))
+    return streaks.filter("cooldown").select(*keys, F.col(at).alias("cooling_from"), until.alias("cooling_until"))
+
+
+def cooling_at(probes: DataFrame, intervals: DataFrame, keys: list[str], at: str, block: Callable[[Column], Column]) -> DataFrame:
+    """Adds ``cooling``: does a cooldown that began at or before the probe's time end after it.
+
+    Probes and starts are read in one order per key, block by block (``block`` of the time,
+    as in ``running``), with the latest end so far.
+    """
+    row = F.struct(*probes.columns)
+    asked = probes.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("timestamp").alias("_until"), row.alias("_row"))
+    begun = intervals.select(*keys, F.col("cooling_from").alias("_t"), F.lit(0).alias("_kind"), F.col("cooling_until").alias("_until"))
+    both = asked.unionByName(begun, allowMissingColumns=True)
+    told = running(both, keys, [F.col("_t"), F.col("_kind")], block(F.col("_t")), maxes={"_latest": F.col("_until")})
+    cooling = F.coalesce(F.col("_latest") > F.col("_t"), F.lit(False))
+    return told.filter("_kind = 1").select("_row.*", cooling.alias("cooling"))
+
+
+def blocked_runs(
+    log: DataFrame, keys: list[str], failed: Column, succeeded: Column, limit: int, at: str, order: list[Column], block: Column
+) -> DataFrame:
+    """(keys, blocked_from, blocked_until): from the ``limit``-th failure in a row to the next success (null: none yet)."""
+    marked = log.withColumns({"_failed": failed.cast("int"), "_ok": succeeded.cast("int")})
+    counted = running(marked, keys, order, block, sums={"_failures": F.col("_failed"), "_successes": F.col("_ok")})
+    since = running(counted, keys, order, block, maxes={"_before": F.when(F.col("_ok") == 1, F.col("_failures"))})
+    streak = F.col("_failures") - F.coalesce("_before", F.lit(0))
+    starts = since.filter((F.col("_failed") == 1) & (streak == limit)).select(*keys, F.col(at).alias("blocked_from"), (F.col("_successes") + 1).alias("_n"))
+    # Successes are numbered: the one that ends a run is the next number.
+    ends = counted.filter("_ok = 1").select(*keys, F.col(at).alias("blocked_until"), F.col("_successes").alias("_n"))
+    return starts.join(ends, [*keys, "_n"], "left").drop("_n")
+
+
 def listing_stops(
     log: DataFrame, keys: list[str], failed: Column, limit: int, order: list[Column], block: Column
 ) -> DataFrame:
@@ -78,9 +115,10 @@ def listing_stops(
     return top_per_group(streaks.filter("cooldown"), keys, order, 1).drop("cooldown")
 
 
-def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None) -> DataFrame:
-    """(bucket, session): lifetimes of a set whose expiry is renewed for all members on each add.
+def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, bucket, session): lifetimes of a set whose expiry is renewed for all members on each add.
 
+    With ``keys`` there is one set for each of them (a user's own), else one in all.
     Buckets are shorter than the TTL, so the set can only expire between two of them:
     one row per non-empty bucket is enough to find the gaps.  ``last`` is the
     (time, session) an earlier part ended with.
@@ -88,17 +126,17 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None)
     seconds = _seconds(ttl)
     width = max(1, seconds // 2)
     time = F.col(at).cast("timestamp")
-    times = adds.select(time.alias("_t"))
+    times = adds.select(*keys, time.alias("_t"))
     if last is not None:
         times = times.unionByName(adds.sparkSession.createDataFrame([(last[0],)], "_t timestamp"))
-    buckets = times.groupBy(_bucket("_t", width).alias("bucket")).agg(
+    buckets = times.groupBy(*keys, _bucket("_t", width).alias("bucket")).agg(
         F.min("_t").alias("_first"), F.max("_t").alias("_last")
     )
-    order = Window.orderBy("bucket")
+    order = Window.partitionBy(*keys).orderBy("bucket")
     expired = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(order)) > seconds * 1_000_000
     marked = buckets.withColumn("_new", F.coalesce(expired, F.lit(False)).cast("int"))
     start = F.lit(0 if last is None else last[1])
-    return marked.select("bucket", (F.sum("_new").over(order) + start).alias("session"))
+    return marked.select(*keys, "bucket", (F.sum("_new").over(order) + start).alias("session"))
 
 
 def _bucket(at: str, width: int) -> Column:
@@ -111,13 +149,17 @@ def _seconds(ttl: str) -> int:
 
 
 def dedup_within_ttl(
-    adds: DataFrame, key: str, at: str, ttl: str, order: list[Column], last: tuple | None = None
+    adds: DataFrame, key: str, at: str, ttl: str, order: list[Column], last: tuple | None = None, owners: Sequence[str] = ()
 ) -> DataFrame:
-    """First row of every key within each lifetime of the seen-set."""
+    """First row of every key within each lifetime of the seen-set, or of each owner's own set."""
+    return top_per_group(with_sessions(adds, at, ttl, last, owners), [*owners, "session", key], order, 1)
+
+
+def with_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None, owners: Sequence[str] = ()) -> DataFrame:
+    """Adds ``session``, the lifetime each row falls in."""
     width = max(1, _seconds(ttl) // 2)
-    sessions = ttl_sessions(adds, at, ttl, last)
-    tagged = adds.withColumn("bucket", _bucket(at, width)).join(sessions, "bucket")
-    return top_per_group(tagged.drop("bucket"), ["session", key], order, 1)
+    sessions = ttl_sessions(adds, at, ttl, last, owners)
+    return adds.withColumn("bucket", _bucket(at, width)).join(sessions, [*owners, "bucket"]).drop("bucket")
 
 
 def queue_keys(df: DataFrame) -> DataFrame:

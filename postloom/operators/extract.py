@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.fixed_values import (
@@ -115,6 +115,27 @@ def detail_postings(pages: DataFrame) -> DataFrame:
     return _detail_rows(detail_parts(pages)).drop("_ld", "_best", *[f"_{p}" for p in _PARTS])
 
 
+def pane_detail(pages: DataFrame, url: str = "job_url", card: str = "card") -> DataFrame:
+    """One posting per results page with an open pane (url, html, board, the caller's ``job_url`` and card).
+
+    The text is the best of the page and decides alone whether there is a posting.  Title,
+    company and location come from the card, then from JSON-LD; the url is the caller's, then
+    the card's, then the page's.
+    """
+    listed = lambda name: _first(F.col(card)[name])
+    values = {
+        "title": _first(listed("title"), clean_text(F.col("_ld")["title"])),
+        "company": F.coalesce(_first(listed("company"), clean_text(F.col("_ld")["company"])), F.lit("Unknown")),
+        "location": F.coalesce(_first(listed("location"), clean_text(F.col("_ld")["location"])), F.lit(DEFAULT_LOCATION)),
+        "description": F.col("_best"),
+        "posted_date": F.col(card)["posted_date"],
+    }
+    parts = detail_parts(pages.withColumnsRenamed({url: "_given_url"}))
+    values["job_url"] = F.coalesce(_first(F.col("_given_url"), F.col(card)["job_url"]), F.col("url"))
+    out = staged(parts, values, _complete).drop("_ld", "_best", "_given_url", *[f"_{p}" for p in _PARTS])
+    return out.withColumn("job_id", fallback_id(F.col("title"), F.col("company"), F.col("location")))
+
+
 def _first(*options: Column) -> Column:
     return F.coalesce(*[F.nullif(o, F.lit("")) for o in options])
 
@@ -244,13 +265,13 @@ def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """
     board = F.col("board")
     parsed = pages.select(key, "board", select_nodes(F.col("html"), board, CARD_SELECTORS).alias("_nodes"))
-    cards = _cards(parsed, key)
-    links = _link_cards(parsed.join(cards.select(key), key, "left_anti"))
-    rows = cards.unionByName(links)
+    rows = _cards(parsed, key)
+    # Cards of one page only: the page is the group; choice and dedup happen within it.
+    page = Window.partitionBy(key)
+    rows = rows.withColumn("_any", F.max(~F.col("_plain")).over(page)).filter(F.col("_any") != F.col("_plain"))
     again = F.when(board == "rozee", F.col("_at")).otherwise(F.lit(0))
-    # Cards of one page only: the page is the group, and dedup compares within it.
     first = rows.groupBy(key, "board", "job_url", again.alias("_again")).agg(
-        F.min_by(F.struct(*[c for c in rows.columns if c not in (key, "board", "job_url")]), "_at").alias("c")
+        F.min_by(F.struct(*[c for c in rows.columns if c not in (key, "board", "job_url", "_any", "_plain")]), "_at").alias("c")
     )
     return first.select(key, "board", "job_url", "c.*").drop("_at").withColumn(
         "job_id", fallback_id(F.col("title"), F.col("company"), F.col("location"))
@@ -258,8 +279,11 @@ def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def _cards(parsed: DataFrame, key: str) -> DataFrame:
+    """Usable cards, and as ``_plain`` rows the usable plain links, of pages parsed once."""
     board = F.col("board")
-    rows = parsed.withColumn("_card", F.explode(all_of(F.col("_nodes"), "card")))
+    marked = lambda nodes, plain: F.transform(nodes, lambda n: F.struct(n.alias("node"), F.lit(plain).alias("plain")))
+    both = F.concat(marked(all_of(F.col("_nodes"), "card"), False), marked(F.sort_array(of_field(F.col("_nodes"), "fallback")), True))
+    rows = parsed.withColumn("_one", F.explode(both)).withColumns({"_card": F.col("_one.node"), "_plain": F.col("_one.plain")}).drop("_one")
     inside = F.filter("_nodes", lambda n: (n["at"] >= F.col("_card.at")) & (n["at"] <= F.col("_card.upto")))
     rows = rows.withColumn("_in", inside).drop("_nodes")
 
@@ -294,33 +318,28 @@ def _cards(parsed: DataFrame, key: str) -> DataFrame:
         "experience_required": F.col("_experience"),
     }
 
+    none = F.lit(None).cast("string")
+    link = {
+        "_at": F.col("_card.at"),
+        "title": F.coalesce(F.nullif(clean_text(F.col("_card.text")), F.lit("")), F.lit("Untitled")),
+        "company": F.lit("Unknown"),
+        "location": F.lit(DEFAULT_LOCATION),
+        "job_url": canonical_url(board, F.col("_card.href")),
+        "description": F.lit(""),
+        "posted_date": none,
+        "employment_type": none,
+        "experience_required": none,
+    }
+    values = {n: F.when(F.col("_plain"), link[n]).otherwise(c) for n, c in values.items()}
+    values["_plain"] = F.col("_plain")
+
     def usable(card: Column) -> Column:
         whole = F.lit(True)
         for name in BOARD_REQUIRED_FIELDS:
             whole = whole & (F.coalesce(card[name], F.lit("")) != "")
         return whole
 
-    return staged(raw.select(key, "board", "_card", *read), values, usable).drop("_card", *read)
-
-
-def _link_cards(parsed: DataFrame) -> DataFrame:
-    board = F.col("board")
-    none = F.lit(None).cast("string")
-    links = F.sort_array(of_field(F.col("_nodes"), "fallback"))
-    rows = parsed.withColumn("_link", F.explode(links))
-    title = clean_text(F.col("_link.text"))
-    return rows.select(
-        *[c for c in parsed.columns if c != "_nodes"],
-        F.col("_link.at").alias("_at"),
-        F.coalesce(F.nullif(title, F.lit("")), F.lit("Untitled")).alias("title"),
-        F.lit("Unknown").alias("company"),
-        F.lit(DEFAULT_LOCATION).alias("location"),
-        canonical_url(board, F.col("_link.href")).alias("job_url"),
-        F.lit("").alias("description"),
-        none.alias("posted_date"),
-        none.alias("employment_type"),
-        none.alias("experience_required"),
-    ).filter(F.col("job_url") != "")
+    return staged(raw.select(key, "board", "_card", "_plain", *read), values, usable).drop("_card", *read)
 
 
 # --- collected pane texts -------------------------------------------------------------------

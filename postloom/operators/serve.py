@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.operators.arrivals import with_sessions
 from postloom.operators.groups import running, top_per_group
 
 
@@ -103,5 +104,19 @@ def vetted_since(vetted: DataFrame, since: int, order: list[Column], block: Colu
     return indexed.filter(F.col("idx") >= since)
 
 
+def vetted_live(vetted: DataFrame, at: str, now: Column, ttl: str, since: int, order: list[Column], block: Column) -> DataFrame:
+    """As ``vetted_since``, of the lists that are alive at ``now``.
+
+    A user's list ends ``ttl`` after its last row and starts anew with the next one, so only
+    the rows of the last lifetime count, if it has not ended by ``now``.
+    """
+    past = vetted.filter(F.col(at) <= now)
+    lived = with_sessions(past, at, ttl, owners=["user_id"])
+    last = lived.groupBy("user_id").agg(F.max("session").alias("_session"), F.max(at).alias("_last"))
+    alive = last.filter(F.col("_last") + F.expr(f"INTERVAL {ttl}") > now)
+    rows = lived.join(alive, "user_id").filter(F.col("session") == F.col("_session")).select(*vetted.columns)
+    return vetted_since(rows, since, order, block)
+
+
 def vetted_counts(vetted: DataFrame) -> DataFrame:
     return vetted.groupBy("user_id").agg(F.count("*").alias("n"))
