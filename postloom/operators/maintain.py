@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.functions.stage import staged
 from postloom.functions.text import strip_chrome
 from postloom.functions.urls import stable_id
 
@@ -37,11 +38,11 @@ def rekey_plan(jobs: DataFrame) -> DataFrame:
     ties): the others are deleted, the winner is renamed unless it has the id already.
     Winners come from a partial aggregate over narrow columns, and one join brings them back.
     """
-    native = stable_id(F.col("job_source"), F.col("url"))
-    rows = jobs.select(
+    native = staged(jobs.select("job_id", "job_source", "url", "job_description"), {"_native": stable_id(F.col("job_source"), F.col("url"))})
+    rows = native.select(
         "job_id",
-        F.coalesce(native, F.col("job_id")).alias("new_id"),
-        native.isNotNull().alias("has_native_id"),
+        F.coalesce("_native", "job_id").alias("new_id"),
+        F.col("_native").isNotNull().alias("has_native_id"),
         F.length(F.coalesce("job_description", F.lit(""))).alias("_len"),
     )
     winners = rows.groupBy("new_id").agg(F.min(F.struct(-F.col("_len"), F.col("job_id"))).alias("_w"))
