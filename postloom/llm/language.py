@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.shared import python_batches, staged
+from postloom.llm.shared import python_batches, small, staged
 from postloom.llm.words import pieces
 from postloom.operators.groups import top_per_group
 
@@ -146,7 +146,12 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def examples(docs: DataFrame, sample: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(language, buckets, shares) of at most ``sample`` documents a language, in the order of a hash."""
     draw = F.xxhash64("doc_id", F.xxhash64("text"))
-    drawn = top_per_group(docs.select("lang", draw.alias("draw")), ["lang"], [F.col("draw")], sample).distinct()
+    # The least ``sample`` hashes of a language lie, but for a chance below 1e-100, among the 4 * sample
+    # expected under this bound: no task sorts more than those.
+    counts = docs.groupBy("lang").agg((4.0 * sample / F.count("*")).alias("share"))
+    low = (draw.cast("double") + 2.0**63) / 2.0**64
+    near = docs.select("lang", draw.alias("draw"), low.alias("low")).join(small(staged(counts, "languages")), "lang").filter(F.col("low") < F.col("share"))
+    drawn = top_per_group(near.select("lang", "draw"), ["lang"], [F.col("draw")], sample).distinct()
     chosen = docs.withColumn("draw", draw).join(F.broadcast(staged(drawn, "sample")), ["lang", "draw"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
