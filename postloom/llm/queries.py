@@ -93,4 +93,56 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": sharding,
     "op10_quality": quality,
 }
-ORACLES: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, {_WORDS} AS w FROM benchmark),
+dw AS (SELECT uid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+iw AS (SELECT item, item_id, least(len(w), 13) AS k, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM i),
+win AS (SELECT DISTINCT item_id, k, g FROM (
+  SELECT item_id, k, p, string_agg(word, ' ') OVER v AS g, count(*) OVER v AS n FROM iw WINDOW v AS (PARTITION BY item ORDER BY p ROWS BETWEEN CURRENT ROW AND k - 1 FOLLOWING)) x WHERE n = k),
+grams AS (SELECT uid, p, k, g FROM (
+  SELECT uid, p, k, string_agg(word, ' ') OVER v AS g, count(*) OVER v AS n FROM dw, (SELECT DISTINCT k FROM win) ks
+  WINDOW v AS (PARTITION BY uid, k ORDER BY p ROWS BETWEEN CURRENT ROW AND k - 1 FOLLOWING)) x WHERE n = k),
+hit AS (SELECT uid, p, g.k, item_id FROM grams g JOIN win ON g.k = win.k AND g.g = win.g),
+cov AS (SELECT uid, count(DISTINCT q) AS n_hit FROM (SELECT uid, unnest(generate_series(p, p + k - 1)) AS q FROM hit) x GROUP BY uid),
+it AS (SELECT uid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY uid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov ON d.uid = cov.uid LEFT JOIN it ON d.uid = it.uid"""
+
+
+def _template_rows() -> str:
+    from postloom.llm.licenses import GRAM, template_words
+
+    rows = []
+    for number, label, base, words in template_words():
+        n = len(words) - GRAM + 1
+        rows += [f"({number}, '{label}', {base}, {n}, {i}, '{' '.join(words[i : i + GRAM])}')" for i in range(n)]
+    return ", ".join(rows)
+
+
+_LICENSES = f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT uid, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM d),
+g AS (SELECT uid, p, word || ' ' || lead(word, 1) OVER v || ' ' || lead(word, 2) OVER v AS g FROM dw WINDOW v AS (PARTITION BY uid ORDER BY p)),
+t(template, label, base, n, at_word, g) AS (VALUES {_template_rows()}),
+lines AS (SELECT uid, template, label, base, n, p - at_word AS diagonal, list(DISTINCT at_word) AS seen, min(p) AS first FROM g JOIN t USING (g) GROUP BY ALL),
+marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY uid, template ORDER BY diagonal) > 4 THEN 1 ELSE 0 END AS apart FROM lines WHERE NOT base),
+numbered AS (SELECT *, sum(apart) OVER (PARTITION BY uid, template ORDER BY diagonal) AS run FROM marked),
+merged AS (SELECT uid, label, false AS base, min(first) AS first, len(list_distinct(flatten(list(seen)))) / n AS score, n FROM numbered GROUP BY uid, template, label, n, run),
+runs AS (SELECT uid, label, base, first, 1.0 AS score FROM lines WHERE base AND len(seen) = n
+  UNION ALL SELECT uid, label, base, first, score FROM merged WHERE score >= CASE WHEN n < 12 THEN 1.0 ELSE 0.8 END),
+per AS (SELECT uid, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM runs GROUP BY uid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN per ON d.uid = per.uid"""
+
+# The others rest on checksums, tokenizers, trained weights or signatures.
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": _CONTAMINATION,
+    "op7_license_scan": _LICENSES,
+}
