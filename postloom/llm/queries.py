@@ -141,8 +141,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
   coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN per ON d.uid = per.uid"""
 
-# The others rest on checksums, tokenizers, trained weights or signatures.
+
+
+def _shards() -> str:
+    from postloom.llm.sharding import ROUNDS, SEED, SHARDS
+
+    noise = lambda half, i: f"CAST('0x' || substr(md5('{SEED}:{i}:' || CAST({half} AS VARCHAR)), 1, 8) AS BIGINT)"
+    steps, left, right = ["x % a AS l0", "x // a AS r0"], "l0", "r0"
+    for i in range(ROUNDS):
+        if i % 2:
+            steps.append(f"({right} + {noise(left, i)}) % b AS r{i + 1}")
+            right = f"r{i + 1}"
+        else:
+            steps.append(f"({left} + {noise(right, i)}) % a AS l{i + 1}")
+            left = f"l{i + 1}"
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c // 2) ELSE c // 2 END)) AS t),
+raw AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (SELECT doc_id, CAST(n_bytes + 1 AS BIGINT) AS size, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(n_bytes), lambda j: CAST('0x' || substr(h, 2 * j + 1, 2) AS BIGINT))), lambda c, v: xor(c // 256, t[xor(c, v) % 256 + 1]))) AS text_crc32 FROM raw, crc),
+rn AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS i FROM summed),
+cells AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(greatest(0, count(*) - 1))) AS BIGINT) + 1 AS a FROM rn) c),
+walk AS (SELECT i, i AS x, 0 AS step, n, a, b FROM rn, cells
+  UNION ALL SELECT i, {left} + {right} * a, step + 1, n, a, b FROM (SELECT *, {", ".join(steps)} FROM walk WHERE step = 0 OR x >= n) w)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {SHARDS} AS INTEGER) AS shard, CAST(x // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM rn JOIN walk ON rn.i = walk.i WHERE step > 0 AND x < n"""
+
+
+# The others rest on tokenizers, trained weights or signatures.
 ORACLES: dict[str, str] = {
     "op1_decontaminate": _CONTAMINATION,
     "op7_license_scan": _LICENSES,
+    "op9_sharding": _shards(),
 }
