@@ -11,7 +11,14 @@ Signatures are cut into bands; texts that share a band meet in a bucket.  Exact
 been folded before, and a bucket links every member to one leader only, the same one across
 buckets, so a group of n near copies costs n links and not n * n.  Each link is checked on the
 shingles themselves.  Buckets whose members are still in several components are linked
-again to other leaders, until that finds nothing new.
+again to other leaders, a few times at most.
+
+What these rounds leave is found exactly: texts in buckets that still span several components
+are joined on their rarest shingles.  Two sets at the similarity or above share an element of
+their prefixes in any order of all elements, here rarest first.  Lengths and places spare pairs
+that cannot be similar.  The first round takes for each shingle only the text with the fewest
+rarer ones (the origin of edited copies), the next ones more and more texts, the last one all,
+so that no pair of different components is left untested.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +45,10 @@ _PHI = np.uint64(0x9E3779B97F4A7C15)
 # Bits by which leaders are chosen: the smallest member number after xor.
 _MASKS = [0x2C5A7B3F1E9D4860, 0x6A09E667F3BCC908, 0x3C6EF372FE94F82B, 0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179]
 
+_CELL_BITS = 22
+# Texts tested against all others of a rare shingle: first the one with the fewest rarer ones, then one of so many, last all.
+_TAKEN = [None, 64, 8, 1]
+
 
 def shingles(w: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted within it: (hashes, text of each, times found).
@@ -199,6 +211,98 @@ def _pairs(led: DataFrame) -> DataFrame:
     return led.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
 
 
+def _cells(sets: DataFrame) -> Broadcast:
+    """How often shingles occur, by their first _CELL_BITS bits; 16 bits each, so bounded whatever the number of texts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _CELL_BITS, dtype=np.int64)
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), dtype="<u4")
+            total += np.bincount(x >> np.uint32(32 - _CELL_BITS), minlength=len(total))
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], names=["cell", "n"])
+
+    python_batches(sets.sparkSession)
+    counts = sets.select("shingles").mapInArrow(scan, "cell int, n bigint").groupBy("cell").agg(F.least(F.sum("n"), F.lit(65535)).cast("int").alias("n"))
+    found = counts.filter("n > 1").toArrow()
+    cells = np.ones(1 << _CELL_BITS, dtype="<u2")
+    cells[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return sets.sparkSession.sparkContext.broadcast(cells.tobytes())
+
+
+def prefixes(sets: DataFrame, similar: float) -> DataFrame:
+    """The rarest shingles of each set, as many as one at ``similar`` cannot miss all: key, uid, place in the order, size of the set.
+
+    The order is the same for all sets: by the count of the cell, then by number.  Shingles
+    that occur once are left out but keep their places.
+    """
+    cells = _cells(sets)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.frombuffer(cells.value, dtype="<u2")
+        for batch in batches:
+            keys, places, kept, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)], [], []
+            for x in batch.column("shingles").to_pylist():
+                x = np.unique(np.frombuffer(x, dtype="<u4"))
+                of = count[x >> np.uint32(32 - _CELL_BITS)]
+                first = np.lexsort((x, of))[: len(x) - math.ceil(similar * len(x) - 1e-9) + 1]
+                place = np.flatnonzero(of[first] > 1)
+                keys.append(x[first[place]])
+                places.append(place)
+                kept.append(len(place))
+                sizes.append(len(x))
+            uids = batch.column("uid").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.repeat(uids, kept)),
+                    pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), kept)),
+                ],
+                names=["key", "uid", "place", "n"],
+            )
+
+    python_batches(sets.sparkSession)
+    return sets.select("uid", "shingles").mapInArrow(scan, "key bigint, uid bigint, place int, n int")
+
+
+def _rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (key, uid, ...) with their roots, of keys that span several components."""
+    named = rows.join(labels, F.col("uid") == F.col("node"), "left").select(*rows.columns, F.coalesce("root", "uid").alias("root"))
+    named = staged(named, "named")
+    split = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    return named.join(split, "key", "left_semi")
+
+
+def _rest(crowded: DataFrame, sets: DataFrame, similar: float, tested: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` after all pairs of different components that share a bucket have been tested or cannot be similar."""
+    asked = staged(_rooted(crowded, labels).select("uid").distinct(), "open")
+    if not asked.limit(1).count():
+        return labels
+    keyed = prefixes(sets.join(small(asked), "uid", "left_semi"), similar)
+    keyed = staged(keyed, "prefixes")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    keyed = staged(keyed.join(shared, "key", "left_semi"), "prefixes")
+    for one_of in _TAKEN:
+        rows = staged(_rooted(keyed, labels), "open")
+        if one_of is None:
+            heads = rows.groupBy("key").agg(F.min(F.struct("place", "uid", "n", "root")).alias("h")).select("key", "h.*")
+        else:
+            heads = rows.filter(F.pmod(F.xxhash64("uid"), F.lit(one_of)) == 0)
+        heads = heads.select(F.col("key").alias("h_key"), F.col("uid").alias("leader"), F.col("place").alias("h_place"), F.col("n").alias("h_n"), F.col("root").alias("other"))
+        enough = F.least("n", "h_n") >= similar * F.greatest("n", "h_n") - 1e-9
+        # Of the first element that both have on, so many can be equal.
+        enough &= F.least(F.col("n") - F.col("place"), F.col("h_n") - F.col("h_place")) >= similar / (1 + similar) * (F.col("n") + F.col("h_n")) - 1e-9
+        met = (F.col("key") == F.col("h_key")) & (F.col("root") != F.col("other")) & enough
+        if one_of == 1:
+            met &= F.col("uid") < F.col("leader")
+        fresh = staged(_pairs(rows.join(heads, met)).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = staged(similar_pairs(fresh, sets, similar), "similar")
+        tested = tested.union(fresh)
+        if found.limit(1).count():
+            links = links.union(found)
+            labels = components(links)
+    return labels
+
+
 def near_duplicates(rows: DataFrame, similar: float = SIMILAR, bands: int = BANDS, band_rows: int = ROWS, weighted: bool = False) -> DataFrame:
     """The class of every row of (uid, doc_id, text); uids are distinct.
 
@@ -222,19 +326,18 @@ def near_duplicates(rows: DataFrame, similar: float = SIMILAR, bands: int = BAND
     links = staged(similar_pairs(tested, sets, similar), "similar")
     labels = components(links)
     for mask in _MASKS[1:]:
-        named = crowded.join(labels, F.col("uid") == F.col("node"), "left").select("key", "uid", F.coalesce("root", "uid").alias("root"))
-        named = staged(named, "named")
-        split = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-        open_rows = named.join(split, "key", "left_semi")
-        roots = named.select("uid", "root").distinct()
+        open_rows = _rooted(crowded, labels)
+        roots = open_rows.select("uid", "root").distinct()
         led = _led(open_rows.select("key", "uid"), mask)
         led = led.join(roots, "uid").join(roots.select(F.col("uid").alias("leader"), F.col("root").alias("other")), "leader").filter("root <> other")
         fresh = staged(_pairs(led).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = staged(similar_pairs(fresh, sets, similar), "similar")
         if not found.limit(1).count():
+            tested = tested.union(fresh)
             break
         tested, links = tested.union(fresh), links.union(found)
         labels = components(links)
+    labels = _rest(crowded, sets, similar, tested, links, labels)
 
     of_rep = first.join(labels, F.col("rep") == F.col("node"), "left").select("key_a", "key_b", F.coalesce("root", "rep").alias("root"))
     narrow = scanned.select("uid", "doc_id", "key_a", "key_b")

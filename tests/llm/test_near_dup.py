@@ -74,6 +74,21 @@ def test_large_groups_passages_and_near_misses(spark):
     check(spark, texts)
 
 
+def test_star_of_edited_copies_and_a_template(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    base, frame = [word() for _ in range(200)], [word() for _ in range(160)]
+    texts = []
+    for _ in range(1000):  # similar to the base, not to each other
+        w = list(base)
+        for k in range(4):
+            w[25 + 45 * k + rng.randrange(20)] = word()
+        texts.append(" ".join(w))
+    texts.insert(700, " ".join(base))
+    texts += [" ".join(frame + [word() for _ in range(60)]) for _ in range(300)]  # one frame, different contents
+    check(spark, texts)
+
+
 def test_signatures_estimate_weighted_similarity():
     elements = np.array([11, 12, 13, 11, 12, 13, 14], dtype=np.uint64)
     weights = np.array([1.0, 2.5, 0.5, 2.0, 2.0, 0.25, 1.0])
