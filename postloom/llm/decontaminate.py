@@ -26,7 +26,7 @@ from postloom.llm.words import Words, gram_hashes, in_filter, lists, owner, piec
 
 SPAN = 13
 GRAM = 8
-_HIT = "hits array<struct<hash: bigint, size: int, place: int, lead: int, context: string>>"
+_HIT = "hits array<struct<hash: bigint, size: int, whole: boolean, place: int, lead: int, context: string>>"
 
 
 def winnowed(w: Words, gram: int, span: int) -> np.ndarray:
@@ -42,31 +42,32 @@ def winnowed(w: Words, gram: int, span: int) -> np.ndarray:
 
 
 def _hits(w: Words, gram: int, span: int, short: list[int], only: bytes | None) -> pa.Array:
-    """Fingerprints of each text: hash, words, place in the text, and the words around."""
-    found = [(winnowed(w, gram, span), gram)]
+    """Fingerprints of each text: hash, words, if a whole item or winnowed, place in the text, and the words around."""
+    found = [(winnowed(w, gram, span), gram, False)]
     for size in short:
         places = np.arange(max(0, len(w.hashes) - size + 1))
-        found.append((places[places + size <= w.first[owner(w.first, places) + 1]], size))
-    place, size, hashes = [], [], []
-    for places, n in found:
+        found.append((places[places + size <= w.first[owner(w.first, places) + 1]], size, True))
+    place, size, whole, hashes = [], [], [], []
+    for places, n, is_whole in found:
         values = gram_hashes(w.hashes, n)[places] if places.size else np.zeros(0, np.uint64)
         if only is not None:
             kept = in_filter(only, values)
             places, values = places[kept], values[kept]
         place.append(places)
         size.append(np.full(len(places), n, dtype=np.int32))
+        whole.append(np.full(len(places), is_whole))
         hashes.append(values)
-    place, size, hashes = np.concatenate(place), np.concatenate(size), np.concatenate(hashes)
+    place, size, whole, hashes = np.concatenate(place), np.concatenate(size), np.concatenate(whole), np.concatenate(hashes)
     order = np.argsort(place, kind="stable")
-    place, size, hashes = place[order], size[order], hashes[order]
+    place, size, whole, hashes = place[order], size[order], whole[order], hashes[order]
     text = owner(w.first, place)
-    reach = np.where(size == gram, span - gram, 0)  # a span through the gram goes no further
+    reach = np.where(whole, 0, span - gram)  # a span through the gram goes no further
     low = np.maximum(w.first[text], place - reach)
     high = np.minimum(w.first[text + 1], place + size + reach)
     context = [w.joined(a, b) for a, b in zip(low.tolist(), high.tolist())]
     rows = pa.StructArray.from_arrays(
-        [pa.array(hashes.view(np.int64)), pa.array(size), pa.array((place - w.first[text]).astype(np.int32)), pa.array((place - low).astype(np.int32)), pa.array(context, pa.string())],
-        names=["hash", "size", "place", "lead", "context"],
+        [pa.array(hashes.view(np.int64)), pa.array(size), pa.array(whole), pa.array((place - w.first[text]).astype(np.int32)), pa.array((place - low).astype(np.int32)), pa.array(context, pa.string())],
+        names=["hash", "size", "whole", "place", "lead", "context"],
     )
     return lists(rows, np.bincount(text, minlength=len(w.first) - 1))
 
@@ -100,13 +101,13 @@ def _normalised(items: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, "uid bigint, item_id bigint, n_words bigint, text string").filter("n_words > 0")
 
 
-def _equal_spans(pairs: DataFrame, gram: int, span: int) -> DataFrame:
+def _equal_spans(pairs: DataFrame, span: int) -> DataFrame:
     """Each candidate extended over equal words; spans that reach ``span`` words (or a whole short item)."""
 
     def extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for uid, kind, place, size, lead, context, i_lead, i_context in zip(f["uid"], f["kind"], f["place"], f["size"], f["lead"], f["context"], f["i_lead"], f["i_context"]):
+            for uid, kind, place, size, whole, lead, context, i_lead, i_context in zip(f["uid"], f["kind"], f["place"], f["size"], f["whole"], f["lead"], f["context"], f["i_lead"], f["i_context"]):
                 d, i = context.split(" "), i_context.split(" ")
                 if d[lead : lead + size] != i[i_lead : i_lead + size]:
                     continue
@@ -116,7 +117,7 @@ def _equal_spans(pairs: DataFrame, gram: int, span: int) -> DataFrame:
                 right = size
                 while lead + right < len(d) and i_lead + right < len(i) and d[lead + right] == i[i_lead + right]:
                     right += 1
-                if left + right >= (span if size == gram else size):
+                if left + right >= (size if whole else span):
                     out.append((uid, kind, place - left, place + right))
             yield pd.DataFrame(out, columns=["uid", "kind", "start", "end"])
 
@@ -158,15 +159,15 @@ def contaminated_rows(docs: DataFrame, items: DataFrame, span: int = SPAN, gram:
         whole = fingerprinted(rows, short_gram, span, [size], None)
         prints = prints.union(whole.select(F.col("uid").alias("kind"), F.explode("hits").alias("h")))
     prints = staged(
-        prints.select("kind", "h.hash", F.col("h.size").alias("i_size"), F.col("h.lead").alias("i_lead"), F.col("h.context").alias("i_context")).distinct(),
+        prints.select("kind", "h.hash", F.col("h.size").alias("i_size"), F.col("h.whole").alias("i_whole"), F.col("h.lead").alias("i_lead"), F.col("h.context").alias("i_context")).distinct(),
         "item-prints",
     )
     only = key_filter(prints.select("hash"))
     rows = docs.select("uid", F.col("doc_id").alias("id"), "text")
     scanned = staged(fingerprinted(rows, short_gram, span, short, only), "doc-prints")
     hits = scanned.select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
-    pairs = hits.join(small(prints, 20_000), "hash").filter(F.col("size") == F.col("i_size"))
-    spans = staged(_equal_spans(pairs, short_gram, span), "spans")
+    pairs = hits.join(small(prints, 20_000), "hash").filter((F.col("size") == F.col("i_size")) & (F.col("whole") == F.col("i_whole")))
+    spans = staged(_equal_spans(pairs, span), "spans")
 
     in_order = Window.partitionBy("uid").orderBy("start", "end")
     reached = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))

@@ -51,6 +51,16 @@ def test_every_place_of_a_shared_span_is_found(spark):
     assert ordered(map(tuple, got)) == plain_contamination(docs, items)
 
 
+def test_items_of_every_length(spark):
+    base = [f"b{i}" for i in range(20)]
+    items = [(n, " ".join(f"i{n}x{j}" for j in range(n))) for n in range(1, 15)] + [(100, " ".join(base)), (101, " ".join(base[5:13]))]
+    docs = [(n, f"before {t} after") for n, t in items] + [(200 + n, " ".join(t.split()[:-1])) for n, t in items]
+    docs += [(300, " ".join(base[4:14])), (301, " ".join(base[2:12] + ["x"])), (302, " ".join(base[3:16]))]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = contamination(table, spark.createDataFrame(items, "item_id bigint, text string")).select(*COLUMNS).collect()
+    assert ordered(map(tuple, got)) == plain_contamination(docs, items)
+
+
 def test_no_items(spark):
     docs = odd_docs(spark)
     got = contamination(docs, spark.createDataFrame([], "item_id bigint, text string")).select(*COLUMNS).collect()
