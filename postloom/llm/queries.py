@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +82,20 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("uid")
 
 
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.periodic import periodic_runs, strongest, with_planted_periods
+
+    found = periodic_runs(with_planted_periods(_table(spark, sf_dir, "documents")))
+    best = F.col("best")
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    return found.withColumn("best", strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(F.lit(1000) * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": decontaminate,
     "op2_html_text": html_text,
@@ -92,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dup": near_dup,
     "op9_sharding": sharding,
     "op10_quality": quality,
+    "op13_periodic": periodic,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
