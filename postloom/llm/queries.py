@@ -82,6 +82,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("uid")
 
 
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.search import ranked
+
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("item")
+
+
 def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm.periodic import periodic_runs, strongest, with_planted_periods
 
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dup": near_dup,
     "op9_sharding": sharding,
     "op10_quality": quality,
+    "op11_search": search,
     "op13_periodic": periodic,
 }
 
@@ -184,9 +191,23 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {SHARDS} AS INTEGER) AS
 FROM rn JOIN walk ON rn.i = walk.i WHERE step > 0 AND x < n"""
 
 
+_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, {_WORDS} AS w FROM benchmark),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM i) x GROUP BY ALL),
+tf AS (SELECT uid, doc_id, n, term, count(*) AS tf FROM (SELECT uid, doc_id, len(w) AS n, unnest(w) AS term FROM d) x WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) x, s),
+scored AS (SELECT item, item_id, uid, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, uid) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20"""
+
+
 # The others rest on tokenizers, trained weights or signatures.
 ORACLES: dict[str, str] = {
     "op1_decontaminate": _CONTAMINATION,
     "op7_license_scan": _LICENSES,
     "op9_sharding": _shards(),
+    "op11_search": _SEARCH,
 }
