@@ -88,6 +88,17 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("item")
 
 
+def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postloom.llm.personal import KINDS, personal_data, written
+
+    spans = personal_data(_table(spark, sf_dir, "documents"))[0]
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return spans.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.concat("base", "found")).alias("spans"),
+    )
+
+
 def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postloom.llm.periodic import periodic_runs, strongest, with_planted_periods
 
@@ -114,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": sharding,
     "op10_quality": quality,
     "op11_search": search,
+    "op12_personal": personal,
     "op13_periodic": periodic,
 }
 
