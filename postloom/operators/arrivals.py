@@ -123,7 +123,7 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None,
     one row per non-empty bucket is enough to find the gaps.  ``last`` is the
     (time, session) an earlier part ended with.
     """
-    seconds = _seconds(ttl)
+    seconds = seconds_of(ttl)
     width = max(1, seconds // 2)
     time = F.col(at).cast("timestamp")
     times = adds.select(*keys, time.alias("_t"))
@@ -143,7 +143,7 @@ def _bucket(at: str, width: int) -> Column:
     return F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / width)
 
 
-def _seconds(ttl: str) -> int:
+def seconds_of(ttl: str) -> int:
     number, unit = ttl.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
@@ -157,7 +157,7 @@ def dedup_within_ttl(
 
 def with_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None, owners: Sequence[str] = ()) -> DataFrame:
     """Adds ``session``, the lifetime each row falls in."""
-    width = max(1, _seconds(ttl) // 2)
+    width = max(1, seconds_of(ttl) // 2)
     sessions = ttl_sessions(adds, at, ttl, last, owners)
     return adds.withColumn("bucket", _bucket(at, width)).join(sessions, [*owners, "bucket"]).drop("bucket")
 
