@@ -230,7 +230,7 @@ def detail_postings(spark, sf_dir):
 def replay_html(spark, sf_dir):
     """Detail pages once more, each with the card of the scraped row of the same number."""
     card = posting_rows(spark, sf_dir).withColumnRenamed("doc_id", "page_id")
-    return extract.replay(pages_of(spark, sf_dir, "detail_pages"), card, "page_id")
+    return extract.replay(pages_of(spark, sf_dir, "detail_pages"), card, "page_id", [F.col("scraped_at")])
 
 
 @query(

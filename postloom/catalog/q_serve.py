@@ -8,10 +8,12 @@ from postloom.catalog import sql as S
 from postloom.catalog.fixtures import view, with_views
 from postloom.catalog.q_tables import seen_rows, stored_rows
 from postloom.catalog.q_text import POSTED, now, posting_rows
-from postloom.catalog.registry import query
+from postloom.catalog.registry import ORACLES, query
 from postloom.functions.urls import indeed_key
 from postloom.operators import arrivals, feeds, report, serve
 from postloom.plans import search
+from postloom.session import work_folder
+from postloom.streaming import stateful
 
 STORED = ("stored_jobs",)
 USERS = ("applications",)
@@ -111,8 +113,7 @@ def resume_versions(spark, sf_dir):
     existing = view(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.when(F.col("c_custkey") % 3 == 0, 7).otherwise(0).alias("version")
     )
-    month = F.date_trunc("month", F.col("created_at"))
-    out = serve.resume_versions(new, existing, [F.col("created_at"), F.col("resume_id")], month)
+    out = serve.resume_versions(new, existing, [F.col("created_at"), F.col("resume_id")])
     return out.select("resume_id", "user_id", F.col("version").cast("bigint").alias("version"))
 
 
@@ -124,9 +125,8 @@ def resume_versions(spark, sf_dir):
     ),
 )
 def vetted_since(spark, sf_dir):
-    month = F.date_trunc("month", F.col("created_at"))
     order = [F.col("created_at"), F.col("application_id")]
-    return serve.vetted_since(view(spark, sf_dir, "applications"), 3, order, month).select("application_id", "user_id", "idx")
+    return serve.vetted_since(view(spark, sf_dir, "applications"), 3, order).select("application_id", "user_id", "idx")
 
 
 @query("vetted_counts", with_views("SELECT user_id, count(*) AS n FROM applications GROUP BY user_id", *USERS))
@@ -421,8 +421,7 @@ def queued_distinct(spark, sf_dir):
 def emit_if_longer(spark, sf_dir):
     """Keyed by title, of which there are seven: every group is a hot one."""
     length = F.length(F.trim("description"))
-    hour = F.date_trunc("hour", F.col("scraped_at"))
-    out = arrivals.emit_if_longer(posting_rows(spark, sf_dir), "title", length, [F.col("scraped_at"), F.col("doc_id")], hour)
+    out = arrivals.emit_if_longer(posting_rows(spark, sf_dir), "title", length, [F.col("scraped_at"), F.col("doc_id")])
     return out.select("doc_id", "title", "company")
 
 
@@ -441,9 +440,8 @@ def _log_streaks(limit: int, keys: str, ok: str, failed: str) -> str:
 )
 def failure_streaks(spark, sf_dir):
     log = view(spark, sf_dir, "fetch_log")
-    day = F.date_trunc("day", F.col("ts"))
     out = arrivals.failure_streaks(
-        log, ["board"], F.col("outcome") == "timeout", F.col("outcome") == "ok", 3, [F.col("ts"), F.col("event_id")], day
+        log, ["board"], F.col("outcome") == "timeout", F.col("outcome") == "ok", 3, [F.col("ts"), F.col("event_id")]
     )
     return out.select("event_id", "board", "streak", "cooldown")
 
@@ -454,7 +452,7 @@ _COOLDOWNS = "SELECT board, ts AS cooling_from, ts + INTERVAL '300 seconds' AS c
 def _intervals(spark, sf_dir):
     log = view(spark, sf_dir, "fetch_log")
     streaks = arrivals.failure_streaks(
-        log, ["board"], F.col("outcome") == "timeout", F.col("outcome") == "ok", 3, [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts"))
+        log, ["board"], F.col("outcome") == "timeout", F.col("outcome") == "ok", 3, [F.col("ts"), F.col("event_id")]
     )
     return arrivals.cooldowns(streaks, ["board"], "ts", 300)
 
@@ -475,7 +473,7 @@ def cooldowns(spark, sf_dir):
 )
 def cooling_at(spark, sf_dir):
     probes = view(spark, sf_dir, "fetch_log").select("event_id", "board", "ts")
-    out = arrivals.cooling_at(probes, _intervals(spark, sf_dir), ["board"], "ts", lambda t: F.date_trunc("day", t))
+    out = arrivals.cooling_at(probes, _intervals(spark, sf_dir), ["board"], "ts")
     return out.select("event_id", "board", "cooling")
 
 
@@ -491,7 +489,7 @@ def cooling_at(spark, sf_dir):
 def blocked_runs(spark, sf_dir):
     log = view(spark, sf_dir, "fetch_log")
     return arrivals.blocked_runs(
-        log, ["board"], F.col("outcome") == "auth_wall", F.col("outcome") == "ok", 3, "ts", [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts"))
+        log, ["board"], F.col("outcome") == "auth_wall", F.col("outcome") == "ok", 3, "ts", [F.col("ts"), F.col("event_id")]
     )
 
 
@@ -524,7 +522,7 @@ def seen_per_user(spark, sf_dir):
 )
 def vetted_live(spark, sf_dir):
     at = F.lit("2024-01-20 12:00:00").cast("timestamp")
-    out = serve.vetted_live(view(spark, sf_dir, "fetch_log"), "ts", at, "12 hours", 1, [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts")))
+    out = serve.vetted_live(view(spark, sf_dir, "fetch_log"), "ts", at, "12 hours", 1, [F.col("ts"), F.col("event_id")])
     return out.select("event_id", "user_id", "idx")
 
 
@@ -539,9 +537,8 @@ def vetted_live(spark, sf_dir):
 )
 def listing_stop(spark, sf_dir):
     log = view(spark, sf_dir, "fetch_log")
-    day = F.date_trunc("day", F.col("ts"))
     out = arrivals.listing_stops(
-        log, ["user_id", "board"], F.col("outcome") != "ok", 2, [F.col("ts"), F.col("event_id")], day
+        log, ["user_id", "board"], F.col("outcome") != "ok", 2, [F.col("ts"), F.col("event_id")]
     )
     return out.select("event_id", "user_id", "board")
 
@@ -560,6 +557,84 @@ def dedup_ttl(spark, sf_dir):
     return out.select("event_id", "user_id", "ts", F.col("session").cast("bigint").alias("session"))
 
 
+# --- the same as streams -------------------------------------------------------------------
+
+
+def _streamed(spark, sf_dir, run, *columns):
+    """What a stream over the fetch log leaves, with a last row that lets the watermark pass all others."""
+    folder = work_folder(spark, "stream")
+    log = view(spark, sf_dir, "fetch_log")
+    last = log.limit(1).withColumns({"event_id": F.lit(-1).cast("bigint"), "ts": F.lit("2100-01-01").cast("timestamp"), "outcome": F.lit("ok")})
+    log.write.parquet(f"{folder}/log")
+    last.withColumns({c: F.col(c).cast(log.schema[c].dataType) for c in log.columns}).write.mode("append").parquet(f"{folder}/log")
+    found = run(spark.readStream.schema(log.schema).parquet(f"{folder}/log"))
+    query = (
+        found.writeStream.format("parquet").option("path", f"{folder}/found").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{folder}/found").select(*columns)
+
+
+@query("seen_per_user_stream", ORACLES["seen_per_user"])
+def seen_per_user_stream(spark, sf_dir):
+    """Keyed state: one set per user."""
+    run = lambda log: stateful.expiring_set_stream(log, "outcome", "ts", "12 hours", ["event_id"], "1 hour", owners=["user_id"])
+    return _streamed(spark, sf_dir, run, "event_id", "user_id", "board", "outcome", "session").filter("event_id >= 0")
+
+
+@query("dedup_ttl_stream", ORACLES["dedup_ttl"])
+def dedup_ttl_stream(spark, sf_dir):
+    """One set in all, spread over four tasks by its members."""
+    run = lambda log: stateful.expiring_set_stream(log, "user_id", "ts", "12 minutes", ["event_id"], "1 hour", shards=4)
+    return _streamed(spark, sf_dir, run, "event_id", "user_id", "ts", "session").filter("event_id >= 0")
+
+
+@query(
+    "cooldown_events_stream",
+    with_views(
+        "SELECT board, 'start' AS event, cooling_from AS at FROM c UNION ALL SELECT board, 'end', cooling_until FROM c",
+        *LOG,
+        s=_log_streaks(3, "board", "outcome = 'ok'", "outcome = 'timeout'"),
+        c=_COOLDOWNS,
+    ),
+)
+def cooldown_events_stream(spark, sf_dir):
+    """Ends come from timers."""
+    failed, ok = F.col("outcome") == "timeout", F.col("outcome") == "ok"
+    run = lambda log: stateful.streak_event_stream(log, ["board"], failed, ok, 3, "ts", ["ts", "event_id"], "1 hour", seconds=300, slice_seconds=86400)
+    return _streamed(spark, sf_dir, run, "board", "event", "at")
+
+
+_LIVE = """SELECT event_id, user_id, outcome FROM (SELECT *, max(len) OVER (PARTITION BY user_id, life ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (
+  SELECT *, sum(gap) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS life FROM (
+    SELECT *, (event_id * 7919) % 211 AS len, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL '12 hours' THEN 1 ELSE 0 END AS gap FROM fetch_log) a) b) c
+WHERE before IS NULL OR len > before"""
+
+
+def _of_some_length(log):
+    """The log with a text whose length goes up and down, and the user as its key."""
+    return log.withColumns({"text": F.expr("repeat('x', CAST((event_id * 7919) % 211 AS INT))"), "key": F.col("user_id").cast("string")})
+
+
+@query("emit_if_longer_live", with_views(_LIVE, *LOG))
+def emit_if_longer_live(spark, sf_dir):
+    """A user without a row for twelve hours is forgotten and starts anew."""
+    log = _of_some_length(view(spark, sf_dir, "fetch_log"))
+    out = arrivals.emit_if_longer_live(log, "key", F.length("text"), "ts", [F.col("ts"), F.col("event_id")], "12 hours")
+    return out.select("event_id", "user_id", "outcome")
+
+
+@query("emit_longer_stream", with_views(_LIVE, *LOG))
+def emit_longer_stream(spark, sf_dir):
+    run = lambda log: stateful.emit_longer_stream(_of_some_length(log), "key", "text", "ts", ["event_id"], "12 hours", "1 hour")
+    return _streamed(spark, sf_dir, run, "event_id", "user_id", "outcome").filter("event_id >= 0")
+
+
+@query("page_after", with_views("SELECT job_id, job_title FROM stored_jobs WHERE job_id > '5' ORDER BY job_id LIMIT 100", *STORED))
+def page_after(spark, sf_dir):
+    return serve.page_after(stored_rows(spark, sf_dir), "5", 100).select("job_id", "job_title")
+
+
 @query("enqueue_new", with_views("SELECT doc_id, job_id FROM postings WHERE job_id NOT IN (SELECT job_id FROM processed_jobs)", *POSTED, "processed_jobs"))
 def enqueue_new(spark, sf_dir):
     return arrivals.enqueue_new(posting_rows(spark, sf_dir), seen_rows(spark, sf_dir)).select("doc_id", "job_id")

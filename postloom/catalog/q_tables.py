@@ -25,7 +25,8 @@ from postloom.operators import enrich as E
 from postloom.operators import maintain, report, store
 from postloom.operators import reconcile as R
 from postloom.plans import search
-from postloom.sources import tables, vocabulary
+from postloom.session import work_folder
+from postloom.sources import keyed, tables, vocabulary
 from postloom.sources.tables import merge_changes
 
 STORED = ("stored_jobs",)
@@ -274,6 +275,27 @@ def run_totals(spark, sf_dir):
     return report.run_totals(reconciled(spark, sf_dir))
 
 
+@query(
+    "run_totals_live",
+    with_views(
+        """SELECT count(*) AS scraped, count(*) FILTER (WHERE action IN ('new', 'merge', 'backfill')) AS enriched,
+        count(DISTINCT CASE WHEN action IN ('new', 'merge', 'backfill') THEN job_id END) AS upserted,
+        count(*) FILTER (WHERE action = 'unchanged') AS duplicates, count(*) FILTER (WHERE action = 'skipped') AS skipped FROM r""",
+        *ALL3,
+        r=_RECONCILED,
+    ),
+)
+def run_totals_live(spark, sf_dir):
+    """Counted while the rows of a run are written, and while its changes are."""
+    folder = work_folder(spark, "run")
+    rows, totals = report.live_totals(reconciled(spark, sf_dir))
+    rows.write.parquet(f"{folder}/rows")
+    written = spark.read.parquet(f"{folder}/rows").filter(F.col("action").isin("new", "merge", "backfill") & F.col("job_id").isNotNull())
+    changes, upserts = report.live_upserts(R.longest_per_key(written, "job_id", "description", [F.col("doc_id")]))
+    changes.write.parquet(f"{folder}/changes")
+    return spark.createDataFrame([{**totals.get, **upserts.get}])
+
+
 @query(
     "improves",
     with_views(f"SELECT p.doc_id, CASE WHEN {_HAS_STORED} THEN {_IMPROVES} ELSE TRUE END AS improves FROM postings p LEFT JOIN stored_jobs s ON p.job_id = s.job_id", *POSTED, *STORED),
@@ -562,11 +584,11 @@ def enrichment_stats(spark, sf_dir):
 
 _MERGED = """SELECT coalesce(c.job_id, s.job_id) AS job_id, CASE WHEN c.job_id IS NULL THEN s.title ELSE c.title END AS title, s.company, c.batch_no FROM kept s FULL JOIN changes c ON s.job_id = c.job_id"""
 _STORED_ROWS = "SELECT job_id, job_title AS title, company FROM stored_jobs"
-_CHANGES = "SELECT CAST(doc_id AS VARCHAR(20)) AS job_id, 'changed' AS title, doc_id AS batch_no FROM documents WHERE doc_id % 4 = 1"
+_CHANGES = "SELECT CAST(doc_id AS VARCHAR(20)) AS job_id, 'changed' AS title, doc_id AS batch_no FROM documents"
 
 
 def _changes(spark, sf_dir):
-    docs = view(spark, sf_dir, "documents").filter(F.col("doc_id") % 4 == 1)
+    docs = view(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").cast("string").alias("job_id"), F.lit("changed").alias("title"), F.col("doc_id").alias("batch_no"))
 
 
@@ -591,6 +613,34 @@ def merge_with_deletes(spark, sf_dir):
     return merge_changes(_current(spark, sf_dir), _changes(spark, sf_dir), "job_id", gone)
 
 
+@query(
+    "keyed_merge",
+    with_views(
+        "SELECT m.* FROM m",
+        *STORED,
+        kept=f"SELECT * FROM ({_STORED_ROWS}) r WHERE job_id NOT IN (SELECT CAST(doc_id AS VARCHAR(20)) FROM documents WHERE doc_id % 3 = 0)",
+        changes=_CHANGES,
+        m=_MERGED,
+    ),
+)
+def keyed_merge(spark, sf_dir):
+    """As ``merge_with_deletes``, over a keyed table in files: created, merged into, and merged into again by a batch it has."""
+    path = work_folder(spark, "keyed-merge")
+    keyed.create_table(_current(spark, sf_dir), path, buckets=8)
+    gone = view(spark, sf_dir, "documents").filter(F.col("doc_id") % 3 == 0).select(F.col("doc_id").cast("string").alias("job_id"))
+    keyed.upsert_into(path, _changes(spark, sf_dir), delete=gone, batch=("scrape", 0))
+    keyed.upsert_into(path, _changes(spark, sf_dir).withColumn("title", F.lit("again")), batch=("scrape", 0))
+    return keyed.read_keyed(spark, path)
+
+
+@query("keyed_lookup", with_views("SELECT job_id, title, company FROM r WHERE job_id IN (SELECT job_id FROM postings)", *POSTED, *STORED, r=_STORED_ROWS))
+def keyed_lookup(spark, sf_dir):
+    """The stored rows of a batch's ids, from their buckets alone."""
+    path = work_folder(spark, "keyed-lookup")
+    keyed.create_table(_current(spark, sf_dir), path, buckets=8)
+    return keyed.rows_of(spark, path, posting_rows(spark, sf_dir))
+
+
 @query(
     "store_batch",
     with_views(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.text import strip
 from postloom.functions.urls import queue_id
-from postloom.operators.groups import running, top_per_group
+from postloom.operators.groups import blocks_of, running, top_per_group
 
 
 def cap_per_search(df: DataFrame, keys: list[str], order: list[Column], cap: int) -> DataFrame:
@@ -29,38 +29,41 @@ def queued_distinct(df: DataFrame) -> DataFrame:
     )
 
 
-def emit_if_longer(df: DataFrame, key: str, length: Column, order: list[Column], block: Column) -> DataFrame:
-    """Rows whose text is longer than that of every earlier row of the key.
+def emit_if_longer(df: DataFrame, key: str, length: Column, order: list[Column], within: Sequence[str] = ()) -> DataFrame:
+    """Rows whose text is longer than that of every earlier row of the key, and of equal ``within``.
 
-    Rows that an earlier row of the same block and key already beats cannot
-    pass, and the rest continues from the maximum of the earlier blocks.
+    The maximum so far is carried from block to block of a key (``groups.running``).
     """
     # Rows without a key all pass; they are no group.
     keyless = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
     with_length = df.filter(~keyless).withColumn("_len", length)
-    seen = running(
-        with_length, [key], order, block, maxes={"_before": F.col("_len")}, before=True
-    )
+    keys = [key, *within]
+    seen = running(with_length, keys, order, blocks_of(with_length, keys, order), maxes={"_before": F.col("_len")}, before=True)
     longer = seen.filter(F.col("_before").isNull() | (F.col("_len") > F.col("_before")))
     return longer.select(*df.columns).unionByName(df.filter(keyless))
 
 
+def emit_if_longer_live(df: DataFrame, key: str, length: Column, at: str, order: list[Column], keep: str) -> DataFrame:
+    """As ``emit_if_longer``, but a key without a row for longer than ``keep`` is forgotten and starts anew."""
+    keyless = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
+    lived = with_sessions(df.filter(~keyless), at, keep, owners=[key])
+    return emit_if_longer(lived, key, length, order, ["session"]).drop("session").unionByName(df.filter(keyless))
+
+
 def failure_streaks(
     log: DataFrame, keys: list[str], failed: Column, succeeded: Column, limit: int,
-    order: list[Column], block: Column, carry: DataFrame | None = None,
+    order: list[Column], carry: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``streak`` (failures since the last success) and ``cooldown`` on every limit-th of them.
 
     Failures are counted once up to each row; the count at the last success is the
-    running maximum of that count over successes.  Both scans run block by block.
+    running maximum of that count over successes.  Both scans run over the same blocks.
     ``carry`` (keys, streak) continues streaks of an earlier part of the log.
     """
     marked = log.withColumns({"_failed": failed.cast("int"), "_ok": succeeded})
+    block = blocks_of(marked, keys, order)
     counted = running(marked, keys, order, block, sums={"_failures": F.col("_failed")})
-    since = running(
-        counted, keys, order, block,
-        maxes={"_at_success": F.when(F.col("_ok"), F.col("_failures"))},
-    )
+    since = running(counted, keys, order, block, maxes={"_at_success": F.when(F.col("_ok"), F.col("_failures"))})
     open_streak = F.lit(0)
     if carry is not None:
         since = since.join(carry.select(*keys, F.col("streak").alias("_carry")), keys, "left")
@@ -78,26 +81,27 @@ def cooldowns(streaks: DataFrame, keys: list[str], at: str, seconds: int) -> Dat
     return streaks.filter("cooldown").select(*keys, F.col(at).alias("cooling_from"), until.alias("cooling_until"))
 
 
-def cooling_at(probes: DataFrame, intervals: DataFrame, keys: list[str], at: str, block: Callable[[Column], Column]) -> DataFrame:
+def cooling_at(probes: DataFrame, intervals: DataFrame, keys: list[str], at: str) -> DataFrame:
     """Adds ``cooling``: does a cooldown that began at or before the probe's time end after it.
 
-    Probes and starts are read in one order per key, block by block (``block`` of the time,
-    as in ``running``), with the latest end so far.
+    Probes and starts are read in one order per key, with the latest end so far.
     """
     row = F.struct(*probes.columns)
     asked = probes.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("timestamp").alias("_until"), row.alias("_row"))
     begun = intervals.select(*keys, F.col("cooling_from").alias("_t"), F.lit(0).alias("_kind"), F.col("cooling_until").alias("_until"))
     both = asked.unionByName(begun, allowMissingColumns=True)
-    told = running(both, keys, [F.col("_t"), F.col("_kind")], block(F.col("_t")), maxes={"_latest": F.col("_until")})
+    order = [F.col("_t"), F.col("_kind")]
+    told = running(both, keys, order, blocks_of(both, keys, order), maxes={"_latest": F.col("_until")})
     cooling = F.coalesce(F.col("_latest") > F.col("_t"), F.lit(False))
     return told.filter("_kind = 1").select("_row.*", cooling.alias("cooling"))
 
 
 def blocked_runs(
-    log: DataFrame, keys: list[str], failed: Column, succeeded: Column, limit: int, at: str, order: list[Column], block: Column
+    log: DataFrame, keys: list[str], failed: Column, succeeded: Column, limit: int, at: str, order: list[Column]
 ) -> DataFrame:
     """(keys, blocked_from, blocked_until): from the ``limit``-th failure in a row to the next success (null: none yet)."""
     marked = log.withColumns({"_failed": failed.cast("int"), "_ok": succeeded.cast("int")})
+    block = blocks_of(marked, keys, order)
     counted = running(marked, keys, order, block, sums={"_failures": F.col("_failed"), "_successes": F.col("_ok")})
     since = running(counted, keys, order, block, maxes={"_before": F.when(F.col("_ok") == 1, F.col("_failures"))})
     streak = F.col("_failures") - F.coalesce("_before", F.lit(0))
@@ -108,10 +112,10 @@ def blocked_runs(
 
 
 def listing_stops(
-    log: DataFrame, keys: list[str], failed: Column, limit: int, order: list[Column], block: Column
+    log: DataFrame, keys: list[str], failed: Column, limit: int, order: list[Column]
 ) -> DataFrame:
     """First row of every search at which ``limit`` listing pages in a row had failed."""
-    streaks = failure_streaks(log, keys, failed, ~failed, limit, order, block)
+    streaks = failure_streaks(log, keys, failed, ~failed, limit, order)
     return top_per_group(streaks.filter("cooldown"), keys, order, 1).drop("cooldown")
 
 
@@ -120,8 +124,10 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None,
 
     With ``keys`` there is one set for each of them (a user's own), else one in all.
     Buckets are shorter than the TTL, so the set can only expire between two of them:
-    one row per non-empty bucket is enough to find the gaps.  ``last`` is the
-    (time, session) an earlier part ended with.
+    one row per non-empty bucket is enough to find the gaps.  The last add before a bucket
+    and the number of gaps so far are scans over these rows, cut into blocks (``groups.running``),
+    so one set's long history is not one task.  ``last`` is the (time, session) an earlier part
+    ended with.
     """
     seconds = seconds_of(ttl)
     width = max(1, seconds // 2)
@@ -132,11 +138,14 @@ def ttl_sessions(adds: DataFrame, at: str, ttl: str, last: tuple | None = None,
     buckets = times.groupBy(*keys, _bucket("_t", width).alias("bucket")).agg(
         F.min("_t").alias("_first"), F.max("_t").alias("_last")
     )
-    order = Window.partitionBy(*keys).orderBy("bucket")
-    expired = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(order)) > seconds * 1_000_000
-    marked = buckets.withColumn("_new", F.coalesce(expired, F.lit(False)).cast("int"))
+    order = [F.col("bucket")]
+    block = blocks_of(buckets, keys, order)
+    lived = running(buckets, keys, order, block, maxes={"_before": F.col("_last")}, before=True)
+    expired = F.unix_micros("_first") - F.unix_micros("_before") > seconds * 1_000_000
+    marked = lived.withColumn("_new", F.coalesce(expired, F.lit(False)).cast("int"))
     start = F.lit(0 if last is None else last[1])
-    return marked.select(*keys, "bucket", (F.sum("_new").over(order) + start).alias("session"))
+    told = running(marked, keys, order, block, sums={"_ended": F.col("_new")})
+    return told.select(*keys, "bucket", (F.col("_ended") + start).alias("session"))
 
 
 def _bucket(at: str, width: int) -> Column:

@@ -18,6 +18,7 @@ from postloom.functions.selectors import all_of, first_of, of_field, select_node
 from postloom.functions.stage import staged
 from postloom.functions.text import clean_text, html_text, let, strip, strip_chrome, strip_icons
 from postloom.functions.urls import canonical_url, fallback_id, indeed_key
+from postloom.operators.groups import top_per_group
 
 PANE_SCRIPT_ID = "clicked-pane-texts"
 
@@ -196,14 +197,17 @@ def _complete(row: Column) -> Column:
     return whole
 
 
-def replay(pages: DataFrame, listing: DataFrame, key: str) -> DataFrame:
+def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Parse stored detail pages again, with the listing card of the same posting at hand.
 
+    Of several cards of a posting the first in ``order`` counts.
+
     A page that parses keeps its fields (see ``merge_listing``); one that does not may
     still give a row from its JSON-LD and the card, if that makes a long enough text.
     """
     card_fields = ["title", "company", "location", "description", "job_url", "posted_date"]
-    card = listing.select(F.col(key).alias("_key"), F.struct(*card_fields).alias("_card"))
+    first = top_per_group(listing, [key], order)
+    card = first.select(F.col(key).alias("_key"), F.struct(*card_fields).alias("_card"))
     parts = detail_parts(pages).join(card, F.col(key) == F.col("_key"), "left").drop("_key")
     given, ld, board = F.col("_card"), F.col("_ld"), F.col("board")
     text = _first(

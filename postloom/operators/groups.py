@@ -18,24 +18,67 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+# Rows of a scan that one task works on in order, on average.
+BLOCK_ROWS = 1 << 20
+_SAMPLED = 32  # rows looked at for each cut point
+
+
+def blocks_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int | None = None) -> Column | None:
+    """The block of each row: a number that never decreases along the keys and ``order`` (ascending); None for a single block.
+
+    Cut points come from the data, so a block has about ``rows`` rows wherever they lie: a key
+    that holds much of the table, or one hour of it, gets as many blocks as it needs.  Two jobs
+    over the narrow columns count the rows and sample ``_SAMPLED`` of them per cut point; rows of equal
+    order are never parted.  Each row finds its block by two short searches, of the leading cut
+    points and of one run of them.
+    """
+    place = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[c.alias(f"o{i}") for i, c in enumerate(order)])
+    narrow = df.select(place.alias("place"))
+    n = narrow.count()
+    blocks = -(-n // (rows or BLOCK_ROWS))
+    if blocks < 2:
+        return None
+    fraction = min(1.0, 1.2 * blocks * _SAMPLED / n)
+    seen = narrow.sample(fraction, 7).orderBy("place").collect()
+    fields = narrow.schema["place"].dataType.fields
+    # Distinct, in the order Spark sorts them.
+    chosen = list(dict.fromkeys(seen[i * len(seen) // blocks]["place"] for i in range(1, blocks))) if seen else []
+    if not chosen:
+        return None
+    literal = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, fields)]) for c in chosen]
+    width = max(1, round(len(literal) ** 0.5))
+    runs = [literal[i : i + width] for i in range(0, len(literal), width)]
+    up_to = lambda cuts: F.size(F.filter(cuts, lambda c: c <= place))
+    leading = up_to(F.array(*[r[0] for r in runs]))
+    # The run whose first cut point is the last one up to the row; none before the first.
+    within = up_to(F.get(F.array(*[F.array(*r) for r in runs]), leading - 1))
+    return F.when(leading == 0, 0).otherwise((leading - 1) * width + within)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    block: Column | None,
     *,
     sums: dict[str, Column] | None = None,
     maxes: dict[str, Column] | None = None,
     before: bool = False,
 ) -> DataFrame:
-    """Running sums and maxima per group, in two levels.
+    """Running sums and maxima per group, or over the whole table without keys: a parallel prefix scan.
 
-    ``block`` cuts a group's order into pieces (an hour, a range of ids): it must not
-    decrease along ``order``.  Block totals are summed up over the blocks first, a small
-    table; then every block continues from its total on its own task.  One window per
-    group would send a hot group to one task.  ``before`` leaves out the current row.
+    The order is cut into blocks of about equal size (``block`` of ``blocks_of``).  Block totals are
+    summed up over the blocks first, a small table; then every block continues from its total on its
+    own task.  One window per group would send a hot group to one task; with a single block there
+    is nothing to carry.  ``before`` leaves out the current row.
     """
     sums, maxes = sums or {}, maxes or {}
+    until = -1 if before else Window.currentRow
+    if block is None:
+        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, until)
+        done = {name: F.coalesce(F.sum(value).over(frame), F.lit(0)) for name, value in sums.items()}
+        done |= {name: F.max(value).over(frame) for name, value in maxes.items()}
+        return df.withColumns(done)
     data = df.withColumn("_block", block)
     data = data.withColumns({f"_v_{name}": value for name, value in {**sums, **maxes}.items()})
     totals = data.groupBy(*keys, "_block").agg(
@@ -55,7 +98,7 @@ def running(
     frame = (
         Window.partitionBy(*keys, "_block")
         .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, until)
     )
     out = data.join(carried, same, "left")
     done = {

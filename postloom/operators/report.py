@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postloom.fixed_values import PAGE_FLAGS
@@ -104,6 +106,25 @@ def run_totals(reconciled: DataFrame) -> DataFrame:
     )
 
 
+def live_totals(reconciled: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and their totals as soon as they have been written: what ``run_totals`` counts without a second pass."""
+    seen = Observation(f"run-{uuid.uuid4().hex}")
+    action = F.coalesce("action", F.lit(""))
+    metrics = {
+        "scraped": F.count(F.lit(1)),
+        "enriched": F.count_if(action.isin("new", "merge", "backfill")),
+        "duplicates": F.count_if(action == "unchanged"),
+        "skipped": F.count_if(action == "skipped"),
+    }
+    return reconciled.observe(seen, *[c.alias(n) for n, c in metrics.items()]), seen
+
+
+def live_upserts(changes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows to merge, one per key, and their number once they have been written."""
+    seen = Observation(f"upserts-{uuid.uuid4().hex}")
+    return changes.observe(seen, F.count("job_id").alias("upserted")), seen
+
+
 def page_flags(html: Column) -> Column:
     """Challenge words of a page, comma-joined in fixed order; "none" without any."""
     low = F.lower(F.coalesce(html, F.lit("")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.operators.arrivals import with_sessions
-from postloom.operators.groups import running, top_per_group
+from postloom.operators.groups import blocks_of, running, top_per_group
 
 
 def newest_first() -> list[Column]:
@@ -85,9 +85,9 @@ def profiles_with_scores(profiles: DataFrame, scores: DataFrame) -> DataFrame:
     return profiles.join(scores.select("user_id", entry), "user_id", "left")
 
 
-def resume_versions(resumes: DataFrame, existing: DataFrame | None, order: list[Column], block: Column) -> DataFrame:
+def resume_versions(resumes: DataFrame, existing: DataFrame | None, order: list[Column]) -> DataFrame:
     """Number new resumes per user from the highest existing version + 1."""
-    numbered = running(resumes, ["user_id"], order, block, sums={"version": F.lit(1)})
+    numbered = running(resumes, ["user_id"], order, blocks_of(resumes, ["user_id"], order), sums={"version": F.lit(1)})
     if existing is None:
         return numbered
     last = existing.groupBy("user_id").agg(F.max("version").alias("_last"))
@@ -98,13 +98,13 @@ def resume_versions(resumes: DataFrame, existing: DataFrame | None, order: list[
     )
 
 
-def vetted_since(vetted: DataFrame, since: int, order: list[Column], block: Column) -> DataFrame:
+def vetted_since(vetted: DataFrame, since: int, order: list[Column]) -> DataFrame:
     """Each user's vetted rows from list index ``since`` on (0 is the oldest)."""
-    indexed = running(vetted, ["user_id"], order, block, sums={"idx": F.lit(1)}, before=True)
+    indexed = running(vetted, ["user_id"], order, blocks_of(vetted, ["user_id"], order), sums={"idx": F.lit(1)}, before=True)
     return indexed.filter(F.col("idx") >= since)
 
 
-def vetted_live(vetted: DataFrame, at: str, now: Column, ttl: str, since: int, order: list[Column], block: Column) -> DataFrame:
+def vetted_live(vetted: DataFrame, at: str, now: Column, ttl: str, since: int, order: list[Column]) -> DataFrame:
     """As ``vetted_since``, of the lists that are alive at ``now``.
 
     A user's list ends ``ttl`` after its last row and starts anew with the next one, so only
@@ -115,7 +115,7 @@ def vetted_live(vetted: DataFrame, at: str, now: Column, ttl: str, since: int, o
     last = lived.groupBy("user_id").agg(F.max("session").alias("_session"), F.max(at).alias("_last"))
     alive = last.filter(F.col("_last") + F.expr(f"INTERVAL {ttl}") > now)
     rows = lived.join(alive, "user_id").filter(F.col("session") == F.col("_session")).select(*vetted.columns)
-    return vetted_since(rows, since, order, block)
+    return vetted_since(rows, since, order)
 
 
 def vetted_counts(vetted: DataFrame) -> DataFrame:

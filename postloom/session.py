@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # UTC so that text dates mean the same everywhere; AQE so that partition counts,
@@ -11,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keyed state with timers needs this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -29,3 +34,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors see, under ``spark.checkpoint.dir``.
+
+    Only a local master may go without that setting: on a cluster a folder of one machine would
+    take each executor's files to its own disk.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='postloom-')}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

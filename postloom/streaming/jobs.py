@@ -1,25 +1,21 @@
 """Streaming forms of the stateful steps.
 
-Steps with little state (a count per board, the last add of a set) run in
-``foreachBatch`` on the batch operators, block by block, and keep their state in one
-small folder per micro-batch: batch n reads what batch n - 1 left and overwrites only
-its own folders, so a repeated batch gives the same result.  Per-posting state lives in
-Spark's state store.
+Steps with little state (a count per board) run in ``foreachBatch`` on the batch
+operators, block by block, and keep their state in one small folder per micro-batch:
+batch n reads what batch n - 1 left and overwrites only its own folders, so a repeated
+batch gives the same result.  State per key, with timers, is in ``stateful``.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable, Iterator
+import json
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postloom.functions.text import strip
-from postloom.operators import arrivals, store
+from postloom.operators import arrivals, report, store
 from postloom.operators import reconcile as R
 from postloom.sources import keyed
 
@@ -51,23 +47,33 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Reconcile, enrich and upsert every micro-batch.
 
-    Only the buckets of the batch's ids are read of both tables.  What to do with each row
-    is written under ``stage`` before the first table changes, since both merges depend on
-    the tables as they were.  Merging is by key, and a merged row equals itself when merged
-    again, so a batch that is repeated after a failure does no harm; a failed enrichment
-    fails the batch before anything is written.
+    Only the buckets of the batch's ids are read of both tables.  What to do with each row is
+    written under ``stage`` before the first table changes, since both merges depend on the tables
+    as they were.  Each merge leaves the batch's number in its table.  A batch that is repeated
+    after a failure takes up where it broke off: decisions that a table already rests on are read
+    again, not made anew, and a table that has the batch is left alone.
+
+    The totals of each batch are counted while its rows are written (``report.live_totals``) and put
+    under ``stage`` as ``totals/batch=<n>``.
     """
+    names: list[str] = []
 
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        longest = store.batch_rows(batch, [F.col(c) for c in order])
-        stored = keyed.rows_of(spark, jobs_path, longest)
-        seen = keyed.rows_of(spark, seen_path, longest)
-        folder = f"{stage}/batch={n}"
-        R.reconcile(longest, stored, seen).write.mode("overwrite").parquet(folder)
+        if not names:
+            # A new checkpoint counts its batches from zero again: it is another stream.
+            names.append(json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"])
+        this, folder = (names[0], n), f"{stage}/batch={n}"
+        if not keyed.merged(spark, jobs_path, this):
+            longest = store.batch_rows(batch, [F.col(c) for c in order])
+            stored = keyed.rows_of(spark, jobs_path, longest)
+            seen = keyed.rows_of(spark, seen_path, longest)
+            rows, totals = report.live_totals(R.reconcile(longest, stored, seen))
+            rows.write.mode("overwrite").parquet(folder)
+            spark.createDataFrame([totals.get]).write.mode("overwrite").json(f"{stage}/totals/batch={n}")
         acted = spark.read.parquet(folder)
-        keyed.upsert_into(jobs_path, store.changed_jobs(acted, vocabulary, now))
-        keyed.upsert_into(seen_path, store.changed_marks(acted, now))
+        keyed.upsert_into(jobs_path, store.changed_jobs(acted, vocabulary, now), batch=this)
+        keyed.upsert_into(seen_path, store.changed_marks(acted, now), batch=this)
 
     return _start(stream, step, checkpoint)
 
@@ -85,64 +91,12 @@ def enqueue_stream(stream: DataFrame, seen_path: str, queue_path: str, checkpoin
     return _start(stream, step, checkpoint)
 
 
-# --- emit only longer texts ----------------------------------------------------------
-
-
-def _records(rows: pd.DataFrame, key: str | None, order: list[str]) -> pd.DataFrame:
-    """Rows longer than every earlier one (of their key)."""
-    rows = rows.sort_values(order, kind="stable")
-    length = rows["_len"]
-    before = (
-        length.groupby(rows[key]).transform(lambda s: s.cummax().shift()) if key else length.cummax().shift()
-    )
-    return rows[before.isna() | (length > before)]
-
-
-def emit_longer_stream(stream: DataFrame, key: str, text: str, order: list[str]) -> DataFrame:
-    """Rows whose text is longer than any earlier text of the key, across micro-batches.
-
-    Before the shuffle every Arrow batch drops the rows that an earlier row of the same
-    key in it already beats: of a hot key only few rows travel.  The state is one number
-    per key.
-    """
-    with_length = stream.withColumn("_len", F.length(strip(F.coalesce(F.col(text), F.lit("")))))
-    schema = with_length.schema
-    columns = with_length.columns
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield _records(rows, key, order)
-
-    def emit(_key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        best = state.get[0] if state.exists else -1
-        kept = None
-        for rows in batches:
-            # Only record-breaking rows are held, never the whole group.
-            kept = _records(rows if kept is None else pd.concat([kept, rows]), None, order)
-        longer = kept[kept["_len"] > best]
-        if len(longer):
-            state.update((int(longer["_len"].max()),))
-        yield longer[columns]
-
-    cutoff = with_length.mapInPandas(_by_value(cut), schema)
-    out = cutoff.groupBy(key).applyInPandasWithState(
-        _by_value(emit), schema, "best long", "append", "NoTimeout"
-    )
-    return out.drop("_len")
-
-
-def _by_value(fn):
-    """Ship this module's functions with the query, whatever is installed on the workers."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return fn
-
-
 # --- failure streaks ---------------------------------------------------------------------
 
 
 def streak_stream(
     stream: DataFrame, out: str, state: str, checkpoint: str, keys: list[str], failed: Column,
-    succeeded: Column, limit: int, order: list[str], block: Column,
+    succeeded: Column, limit: int, order: list[str],
 ) -> StreamingQuery:
     """Streaks and cooldowns per micro-batch under ``out``; one open streak per key under ``state``."""
 
@@ -150,7 +104,7 @@ def streak_stream(
         spark = batch.sparkSession
         carry = _read_if_there(spark, f"{state}/batch={n - 1}")
         rows = arrivals.failure_streaks(
-            batch, keys, failed, succeeded, limit, [F.col(c) for c in order], block, carry
+            batch, keys, failed, succeeded, limit, [F.col(c) for c in order], carry
         )
         rows.write.mode("overwrite").parquet(f"{out}/batch={n}")
         done = spark.read.parquet(f"{out}/batch={n}")
@@ -160,37 +114,3 @@ def streak_stream(
         last.write.mode("overwrite").parquet(f"{state}/batch={n}")
 
     return _start(stream, step, checkpoint)
-
-
-# --- a seen-set that expires ---------------------------------------------------------------
-
-
-def dedup_ttl_stream(
-    stream: DataFrame, out: str, state: str, checkpoint: str, key: str, at: str, ttl: str, order: list[str]
-) -> StreamingQuery:
-    """First row of every key within each lifetime of a set that every add keeps alive.
-
-    ``state`` is one row: the time of the last add and the number of the lifetime.  Keys
-    already let through in that lifetime are read back from ``out``, one folder per
-    batch and lifetime.
-    """
-
-    def step(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        before = _read_if_there(spark, f"{state}/batch={n - 1}")
-        last = tuple(before.first()) if before is not None else None
-        rows = arrivals.dedup_within_ttl(batch, key, at, ttl, [F.col(c) for c in order], last)
-        if last is not None:
-            earlier = _read_if_there(spark, out)
-            if earlier is not None:
-                seen = earlier.filter((F.col("session") == last[1]) & (F.col("batch") < n)).select("session", key)
-                rows = rows.join(seen, ["session", key], "left_anti")
-        rows.write.mode("overwrite").partitionBy("session").parquet(f"{out}/batch={n}")
-        sessions = arrivals.ttl_sessions(batch, at, ttl, last)
-        times = batch.agg(F.max(F.col(at).cast("timestamp")).alias("at"))
-        ended = sessions.agg(F.max("session").cast("bigint").alias("session"))
-        # One row next to one row.
-        both = times.withColumn("k", F.lit(1)).join(ended.withColumn("k", F.lit(1)), "k")
-        both.select("at", "session").write.mode("overwrite").parquet(f"{state}/batch={n}")
-
-    return _start(stream, step, checkpoint)

@@ -29,7 +29,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from postloom.functions.text import strip
 from postloom.operators.arrivals import seconds_of
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _LOCAL_FUNCTIONS = sys.modules[__name__]
 
 

@@ -1,20 +1,31 @@
 """Streams give what their batch twins give over the same rows."""
 
+import os
 import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from postloom.operators import arrivals
 from postloom.schemas import JOBS, SEEN
 from postloom.operators import store
 from postloom.sources import keyed
-from postloom.streaming import jobs
+from postloom.streaming import jobs, stateful
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_state_stores(spark):
+    """A store per partition and operator: a few will do."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def log(spark, tmp_path_factory):
     """The events in four files of rising time."""
@@ -44,42 +55,113 @@ def test_streaks(spark, log, tmp_path):
     how = dict(keys=["board"], failed=F.col("outcome") == "timeout", succeeded=F.col("outcome") == "ok", limit=3)
     q = jobs.streak_stream(
         stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp", order=["ts", "event_id"],
-        block=F.date_trunc("day", "ts"), **how,
+        **how,
     )
     q.awaitTermination()
-    batch = arrivals.failure_streaks(rows, order=[F.col("ts"), F.col("event_id")], block=F.date_trunc("day", "ts"), **how)
+    batch = arrivals.failure_streaks(rows, order=[F.col("ts"), F.col("event_id")], **how)
     got = spark.read.parquet(f"{tmp_path}/out")
     assert got.select("batch").distinct().count() > 2
     assert ids(got, "streak", "cooldown") == ids(batch, "streak", "cooldown")
     assert got.filter("cooldown").count() > 0
 
 
-def test_ttl_dedup(spark, log, tmp_path):
-    rows, stream = log
-    q = jobs.dedup_ttl_stream(
-        stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp", "board", "ts", "2 hours", ["ts", "event_id"]
-    )
+DELAY = "7 hours"
+
+
+def put(frames, folder):
+    """Each frame as one file of its own, in the order a stream reads them."""
+    folder.mkdir(exist_ok=True)
+    for i, frame in enumerate(frames):
+        frame.coalesce(1).write.parquet(f"{folder}/part{i}")
+        place = shutil.copy(next((folder / f"part{i}").glob("*.parquet")), folder / f"{i:03d}.parquet")
+        os.utime(place, (1_000_000_000 + i, 1_000_000_000 + i))
+    return frames[0].sparkSession.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*.parquet")
+
+
+@pytest.fixture(scope="module")
+def parts(log):
+    """The events in micro-batches that overlap by up to six hours, then a row that lets the watermark pass all of them."""
+    rows, _ = log
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(6 * 3600))
+    dealt = rows.withColumn("part", F.floor(arrival / (6 * 86400))).cache()
+    numbers = sorted(r[0] for r in dealt.select("part").distinct().collect())
+    end = rows.limit(1).withColumns({"event_id": F.lit(-1).cast("long"), "ts": F.lit("2030-01-01").cast("timestamp"), "outcome": F.lit("ok")})
+    return rows, [*[dealt.filter(F.col("part") == n).drop("part").orderBy(F.xxhash64("event_id", F.lit(1))) for n in numbers], end]
+
+
+def all_of(df, folder):
+    """The rows of a stream but for those of the closing row, and the query."""
+    q = df.writeStream.format("parquet").option("checkpointLocation", f"{folder}/cp").option("path", f"{folder}/out").trigger(availableNow=True).start()
     q.awaitTermination()
-    batch = arrivals.dedup_within_ttl(rows, "board", "ts", "2 hours", [F.col("ts"), F.col("event_id")])
-    got = spark.read.parquet(f"{tmp_path}/out")
-    assert ids(got, "session") == ids(batch.withColumn("session", F.col("session").cast("int")), "session")
+    assert sum(p["numInputRows"] > 0 for p in q.recentProgress) > 3
+    return df.sparkSession.read.parquet(f"{folder}/out"), q
+
+
+BY_TIME = ["ts", "event_id"]
+
+
+@pytest.mark.parametrize("owners, shards, ttl", [(["user_id"], 1, "12 hours"), ([], 4, "2 hours")])
+def test_expiring_sets(parts, tmp_path, owners, shards, ttl):
+    rows, frames = parts
+    stream = put(frames, tmp_path / "in")
+    got, _ = all_of(stateful.expiring_set_stream(stream, "board", "ts", ttl, ["event_id"], DELAY, owners, shards), tmp_path)
+    got = got.filter("event_id >= 0")
+    batch = arrivals.dedup_within_ttl(rows, "board", "ts", ttl, [F.col(c) for c in BY_TIME], owners=owners)
+    assert ids(got, "session", "outcome", "ts") == ids(batch.withColumn("session", F.col("session").cast("bigint")), "session", "outcome", "ts")
     assert 1 < got.count() < rows.count()
 
 
-def test_emit_if_longer(spark, log, tmp_path):
-    rows, stream = log
-    varied = F.expr("repeat('x', cast((event_id * 7919) % 211 as int))")
-    out = jobs.emit_longer_stream(stream.withColumn("text", varied), "board", "text", ["ts", "event_id"])
-    q = (
-        out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp")
-        .option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    batch = arrivals.emit_if_longer(
-        rows.withColumn("text", varied), "board", F.length("text"), [F.col("ts"), F.col("event_id")],
-        F.date_trunc("hour", "ts"),
-    )
-    assert ids(spark.read.parquet(f"{tmp_path}/out")) == ids(batch)
+def test_rows_behind_the_watermark_change_nothing(parts, tmp_path):
+    """Rows days late neither open a lifetime nor prolong one, and are counted as dropped."""
+    rows, frames = parts
+    late = rows.filter("ts < '2024-01-05'").withColumn("event_id", F.col("event_id") + 1_000_000)
+    assert late.count() > 10
+    stream = put([*frames[:-1], late, frames[-1]], tmp_path / "in")
+    got, q = all_of(stateful.expiring_set_stream(stream, "board", "ts", "12 hours", ["event_id"], DELAY, ["user_id"]), tmp_path)
+    batch = arrivals.dedup_within_ttl(rows, "board", "ts", "12 hours", [F.col(c) for c in BY_TIME], owners=["user_id"])
+    assert ids(got.filter("event_id >= 0"), "session") == ids(batch.withColumn("session", F.col("session").cast("bigint")), "session")
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress) > 10
+
+
+def test_emit_if_longer(parts, tmp_path):
+    """Also a key that comes back after it was forgotten; the state holds no more than the live keys."""
+    rows, frames = parts
+    varied = lambda df: df.withColumn("text", F.expr("repeat('x', cast((event_id * 7919) % 211 as int))")).withColumn("key", F.when(F.col("event_id") % 9 != 0, F.col("user_id")))
+    # Timers set while the watermark passed them go off with the next micro-batch.
+    again = frames[-1].withColumns({"event_id": F.lit(-2).cast("long"), "ts": F.lit("2030-02-01").cast("timestamp")})
+    stream = varied(put([*frames, again], tmp_path / "in"))
+    got, q = all_of(stateful.emit_longer_stream(stream, "key", "text", "ts", ["event_id"], "2 days", DELAY), tmp_path)
+    got = got.filter("event_id >= 0")
+    batch = arrivals.emit_if_longer_live(varied(rows), "key", F.length("text"), "ts", [F.col(c) for c in BY_TIME], "2 days")
+    assert ids(got, "text") == ids(batch, "text")
+    for_ever = arrivals.emit_if_longer(varied(rows), "key", F.length("text"), [F.col(c) for c in BY_TIME])
+    assert for_ever.count() < got.count() < rows.count()
+    # At the end only the closing rows are held: every earlier key has left.
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 4
+
+
+def test_cooldowns_end_by_timer(parts, tmp_path):
+    rows, frames = parts
+    ok, bad = F.col("outcome") == "ok", F.col("outcome") == "timeout"
+    stream = put(frames, tmp_path / "in")
+    got, _ = all_of(stateful.streak_event_stream(stream, ["board"], bad, ok, 3, "ts", BY_TIME, DELAY, seconds=300, slice_seconds=3600), tmp_path)
+    streaks = arrivals.failure_streaks(rows, ["board"], bad, ok, 3, [F.col(c) for c in BY_TIME])
+    batch = arrivals.cooldowns(streaks, ["board"], "ts", 300)
+    told = sorted((r.board, r.event, r.at) for r in got.collect())
+    assert told == sorted([(r.board, "start", r.cooling_from) for r in batch.collect()] + [(r.board, "end", r.cooling_until) for r in batch.collect()])
+    assert len(told) > 10
+
+
+def test_blocked_events(parts, tmp_path):
+    rows, frames = parts
+    ok, bad = F.col("outcome") == "ok", F.col("outcome") == "timeout"
+    # The closing row is a success of its board: leave that event out.
+    stream = put(frames, tmp_path / "in")
+    got, _ = all_of(stateful.streak_event_stream(stream, ["board"], bad, ok, 2, "ts", BY_TIME, DELAY), tmp_path)
+    batch = arrivals.blocked_runs(rows, ["board"], bad, ok, 2, "ts", [F.col(c) for c in BY_TIME]).collect()
+    told = sorted((r.board, r.event, r.at) for r in got.filter("at < '2029-01-01'").collect())
+    assert told == sorted([(r.board, "start", r.blocked_from) for r in batch] + [(r.board, "end", r.blocked_until) for r in batch if r.blocked_until])
+    assert len(told) > 10
 
 
 def test_upsert_stream(spark, tmp_path):
@@ -124,6 +206,38 @@ def test_upsert_stream(spark, tmp_path):
     assert sorted(once.select(key).collect()) == sorted(keyed.read_keyed(spark, f"{tmp_path}/jobs").select(key).collect())
 
 
+def test_a_batch_that_broke_off_between_the_merges_is_taken_up(spark, tmp_path, monkeypatch):
+    """The jobs have the batch, the marks do not: the repeated batch must not decide anew over the jobs it has changed."""
+    columns = ("doc_id long, job_id string, board string, job_url string, title string, company string, location string, "
+               "description string, skills array<string>, salary string, posted_date string, employment_type string, "
+               "experience_required string")
+    text = "We build data pipelines with Python and SQL for many customers. "
+    row = lambda i: (i, f"id{i}", "rozee", f"https://www.rozee.pk/a-{i}", "Data Engineer", "Acme", "Lahore", text, [], None, None, None, None)
+    stream = put([spark.createDataFrame([row(1), row(2)], columns), spark.createDataFrame([row(2), row(3)], columns)], tmp_path / "in")
+    now = F.lit("2026-10-02 12:00:00").cast("timestamp")
+    keyed.create_table(spark.createDataFrame([], JOBS), f"{tmp_path}/jobs", buckets=2)
+    keyed.create_table(spark.createDataFrame([], SEEN), f"{tmp_path}/seen", buckets=2)
+    start = lambda: jobs.upsert_stream(stream, f"{tmp_path}/jobs", f"{tmp_path}/seen", f"{tmp_path}/stage", ["Python"], now, f"{tmp_path}/cp", ["doc_id"])
+    whole, broken = keyed.upsert_into, []
+
+    def breaks_once(path, changes, **how):
+        if path.endswith("seen") and not broken:
+            broken.append(path)
+            raise OSError("the machine went away")
+        whole(path, changes, **how)
+
+    monkeypatch.setattr(keyed, "upsert_into", breaks_once)
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination()
+    assert keyed.read_keyed(spark, f"{tmp_path}/jobs").count() == 2 and keyed.read_keyed(spark, f"{tmp_path}/seen").count() == 0
+    start().awaitTermination()
+    assert keyed.read_keyed(spark, f"{tmp_path}/jobs").count() == 3 and keyed.read_keyed(spark, f"{tmp_path}/seen").count() == 3
+    actions = sorted((r.batch, r.action) for r in spark.read.parquet(f"{tmp_path}/stage/batch=*").withColumn("batch", F.regexp_extract(F.input_file_name(), "batch=(.)", 1)).collect())
+    assert actions == [("0", "new"), ("0", "new"), ("1", "new"), ("1", "unchanged")]
+    totals = {r.batch: (r.scraped, r.enriched, r.duplicates, r.skipped) for r in spark.read.json(f"{tmp_path}/stage/totals").collect()}
+    assert totals == {0: (2, 2, 0, 0), 1: (2, 1, 1, 0)}
+
+
 def test_queue_stream(spark, tmp_path):
     columns = "job_id string, title string, company string, location string"
     rows = spark.createDataFrame([("a", "t", "c", "l"), ("b", "t", "c", "l"), (None, "t", "c", "l")], columns)
