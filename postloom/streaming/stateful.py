@@ -64,8 +64,10 @@ class InOrder(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # Timers go off in their order, one at the end of each slice that holds rows or in which something ends.
         now = expiredTimerInfo.getExpiryTimeInMs()
-        for number in sorted(k[0] for k in self.held.keys() if self._end(k[0]) <= now):
+        number = now * 1000 // self.width - 1
+        if self.held.containsKey((number,)):
             rows = pickle.loads(self.held.getValue((number,))[0])
             self.held.removeKey((number,))
             rows.sort(key=lambda r: (r["_us"], *[r[c] for c in self.order]))
@@ -74,7 +76,7 @@ class InOrder(StatefulProcessor):
 
     def _end(self, number: int) -> int:
         """The first millisecond after a slice."""
-        return -(-(number + 1) * self.width // 1000)
+        return (number + 1) * self.width // 1000
 
     def step(self, key, number: int, rows: list[Row], timerValues) -> Iterator[Row]:
         raise NotImplementedError
@@ -280,7 +282,7 @@ class _Streaks(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.streak = handle.getValueState("streak", "n bigint")
-        self.until = handle.getMapState("until", "us bigint", "times bigint")
+        self.until = handle.getMapState("until", "ms bigint", "ends array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues):
         for row in sorted(rows, key=lambda r: r["_slice"]):
@@ -300,16 +302,16 @@ class _Streaks(StatefulProcessor):
                 yield Row(**dict(zip(self.keys, key)), event=event, _us=us)
                 if self.seconds is not None:
                     end = us + self.seconds * 1_000_000
-                    times = self.until.getValue((end,))[0] if self.until.containsKey((end,)) else 0
-                    self.until.updateValue((end,), (times + 1,))
-                    self.handle.registerTimer(end // 1000 + 1)
+                    due = (end // 1000 + 1,)
+                    held = list(self.until.getValue(due)[0]) if self.until.containsKey(due) else []
+                    self.until.updateValue(due, ([*held, end],))
+                    self.handle.registerTimer(due[0])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        for us in sorted(k[0] for k in self.until.keys() if k[0] < now):
-            for _ in range(self.until.getValue((us,))[0]):
-                yield Row(**dict(zip(self.keys, key)), event="end", _us=us)
-            self.until.removeKey((us,))
+        due = (expiredTimerInfo.getExpiryTimeInMs(),)
+        for us in self.until.getValue(due)[0]:
+            yield Row(**dict(zip(self.keys, key)), event="end", _us=us)
+        self.until.removeKey(due)
 
     def close(self) -> None:
         pass
