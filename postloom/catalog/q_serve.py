@@ -36,6 +36,15 @@ def search_jobs(spark, sf_dir):
     return found.select("job_id", "job_title", "posted_at", "date_scrapped")
 
 
+@query("search_lists", ORACLES["search_jobs"])
+def search_lists(spark, sf_dir):
+    """The same by the skills' inverted lists."""
+    jobs, path = stored_rows(spark, sf_dir), work_folder(spark, "lists")
+    serve.write_skill_lists(serve.skill_lists(jobs), path, 16)
+    found = serve.search_lists(spark.read.parquet(path), jobs, ["Python", "SQL"], "laho_e", 50, buckets=16)
+    return found.select("job_id", "job_title", "posted_at", "date_scrapped")
+
+
 _ANY_ROLE = "(" + " OR ".join(f"job_title ILIKE '%{r}%'" for r in ("data engineer", "Backend Developer")) + ")"
 
 

@@ -20,13 +20,14 @@ from postloom.catalog.q_text import (
     now,
     posting_rows,
 )
-from postloom.catalog.registry import query
+from postloom.catalog.registry import ORACLES, query
 from postloom.operators import enrich as E
 from postloom.operators import maintain, report, store
 from postloom.operators import reconcile as R
 from postloom.plans import search
 from postloom.session import work_folder
 from postloom.sources import keyed, tables, vocabulary
+from postloom.sources.bucketed import bucketed
 from postloom.sources.tables import merge_changes
 
 STORED = ("stored_jobs",)
@@ -400,6 +401,24 @@ def stale_jobs(spark, sf_dir):
     return maintain.stale_jobs(stored_rows(spark, sf_dir), seen_rows(spark, sf_dir), cutoff()).select("job_id", "date_scrapped")
 
 
+@query("stale_jobs_bucketed", with_views(_STALE, *STORED, *SEEN))
+def stale_jobs_bucketed(spark, sf_dir):
+    """Both tables in the same buckets: no exchange between them."""
+    jobs, seen = _in_buckets(spark, sf_dir)
+    return maintain.stale_jobs(jobs, seen, cutoff()).select("job_id", "date_scrapped")
+
+
+@query("orphans_bucketed", ORACLES["orphans"])
+def orphans_bucketed(spark, sf_dir):
+    jobs, seen = _in_buckets(spark, sf_dir)
+    return maintain.orphan_marks(seen, jobs).select("job_id", "processed_at")
+
+
+def _in_buckets(spark, sf_dir):
+    jobs = stored_rows(spark, sf_dir).select("job_id", "date_scrapped")
+    return [bucketed(df, name, key="job_id", buckets=8) for df, name in ((jobs, "jobs"), (seen_rows(spark, sf_dir), "marks"))]
+
+
 @query(
     "stale_markers",
     with_views(

@@ -84,17 +84,58 @@ def skill_pairs(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str)
     A match starts where a run of token characters starts and ends at a run's end
     or in front of a dot, so every candidate is a sequence of tokens, as many
     as a skill of the vocabulary has, that may be cut in front of one of its dots.
-    Candidates start with a character that some skill starts with, and are made distinct
-    inside each text before they are shuffled.  The optimizer broadcasts the vocabulary
-    only if it measures small.
+    Candidates are made distinct inside each text and must pass a Bloom filter of the vocabulary
+    before they are shuffled: what travels follows the matches, not the texts.  The optimizer
+    broadcasts the vocabulary only if it measures small.
     """
+    words = vocabulary.select(F.col("skill"), F.lower("skill").alias("_gram"))
+    return candidate_grams(texts, vocabulary, key=key, text=text).join(words, "_gram").select(key, "skill").distinct()
+
+
+# Bits of the filter: this many per skill, within these bounds (at most 1 MB).
+_FILTER_BITS, _LEAST_BITS, _MOST_BITS = 16, 1 << 15, 1 << 23
+
+
+def _positions(gram: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(gram, F.lit(seed)), F.lit(bits)) for seed in (1, 2)]
+
+
+def vocabulary_filter(vocabulary: DataFrame) -> Callable[[Column], Column]:
+    """May a text be a lower-cased skill of the vocabulary: never a wrong no, and few wrong yeses.
+
+    The bits are built by aggregation and handed to the plan as one literal.  Beyond half a million
+    skills the filter no longer grows and lets more through; the join decides in any case.
+    """
+    grams = vocabulary.select(F.lower("skill").alias("g"))
+    bits = _LEAST_BITS
+    while bits < min(_MOST_BITS, _FILTER_BITS * grams.count()):
+        bits *= 2
+    places = grams.select(F.explode(F.array(*_positions(F.col("g"), bits))).alias("p")).distinct()
+    maps = places.groupBy(F.floor(F.col("p") / 32768).alias("map")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits")).collect()
+    whole = bytearray(bits // 8)
+    for row in maps:  # at most 256, of 4 KB each
+        whole[row["map"] * 4096 : row["map"] * 4096 + 4096] = row["bits"]
+    held = F.lit(bytes(whole))
+
+    def is_set(position: Column) -> Column:
+        byte = F.conv(F.hex(F.substr(held, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, (position % 8).cast("int")) == 1
+
+    def may_hold(gram: Column) -> Column:
+        first, second = _positions(gram, bits)
+        return is_set(first) & is_set(second)
+
+    return may_hold
+
+
+def candidate_grams(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str) -> DataFrame:
+    """(key, _gram): the distinct n-grams of each text that the filter of the vocabulary lets through."""
     low = F.lower(F.col(text))
     skill = F.lower("skill")
-    # Two bounded facts of the vocabulary: how many tokens its skills have, and how they begin.
+    # How many tokens its skills have: a few numbers.
     lengths = [r.n for r in vocabulary.select(F.size(_tokens(skill)).alias("n")).distinct().collect()]
     sizes = sorted(lengths)  # a cut form has as many tokens as it had
-    heads = vocabulary.select(F.substring(skill, 1, 1).alias("c")).distinct()
-    heads = [r.c for r in heads.collect()]
+    may_hold = vocabulary_filter(vocabulary)
 
     def cuts(token: Column) -> Column:
         """The token cut in front of each of its dots."""
@@ -123,11 +164,9 @@ def skill_pairs(texts: DataFrame, vocabulary: DataFrame, *, key: str, text: str)
             parts.append(F.array_compact(F.transform(tokens, _indexed(at, n))))
         return with_cuts(F.concat(*parts) if parts else F.array().cast("array<string>"))
 
-    candidates = (
+    return (
         texts.select(F.col(key), low.alias("_low"))
         .withColumn("_tokens", _tokens(F.col("_low")))
         .select(key, F.explode(grams(F.col("_tokens"))).alias("_gram"))
-        .filter(F.substring("_gram", 1, 1).isin(heads))
+        .filter(may_hold(F.col("_gram")))
     )
-    words = vocabulary.select(F.col("skill"), F.lower("skill").alias("_gram"))
-    return candidates.join(words, "_gram").select(key, "skill").distinct()

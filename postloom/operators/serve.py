@@ -27,6 +27,42 @@ def search_jobs(jobs: DataFrame, skills: list[str] | None, location: str | None,
     return jobs.orderBy(*newest_first(), "job_id").limit(limit)
 
 
+def skill_lists(jobs: DataFrame) -> DataFrame:
+    """(skill, job_id): the inverted list of the stored rows' skills."""
+    return jobs.select(F.explode("skills_required").alias("skill"), "job_id").distinct()
+
+
+def _list_bucket(skill: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(skill), F.lit(buckets)).cast("int")
+
+
+def write_skill_lists(lists: DataFrame, path: str, buckets: int) -> None:
+    """The lists in folders by skill, each sorted, so that a search reads the asked skills' row groups alone.
+
+    Rebalanced: the list of a skill that most rows carry is split over tasks and files.
+    """
+    placed = lists.withColumn("bucket", _list_bucket(F.col("skill"), buckets))
+    placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "skill").write.partitionBy("bucket").parquet(path)
+
+
+def merge_skill_lists(lists: DataFrame, changed: DataFrame) -> DataFrame:
+    """The lists after the rows of ``changed`` (one per job_id) were merged into the stored ones."""
+    columns = ["skill", "job_id"]
+    kept = lists.select(*columns).join(changed.select("job_id"), "job_id", "left_anti").select(*columns)
+    return kept.unionByName(skill_lists(changed).select(*columns))
+
+
+def search_lists(lists: DataFrame, jobs: DataFrame, skills: list[str], location: str | None, limit: int = 50, *, buckets: int) -> DataFrame:
+    """As ``search_jobs``, by intersecting the asked skills' lists; only their folders are read of them."""
+    asked = list(dict.fromkeys(skills))
+    if not asked:
+        return search_jobs(jobs, None, location, limit)
+    folders = [_list_bucket(F.lit(s), buckets) for s in asked]
+    found = lists.filter(F.col("bucket").isin(*folders) & F.col("skill").isin(asked))
+    carry_all = found.groupBy("job_id").agg(F.count("*").alias("n")).filter(F.col("n") == len(asked))
+    return search_jobs(jobs.join(carry_all.select("job_id"), "job_id", "left_semi"), None, location, limit)
+
+
 def title_matches(title: Column, roles: list[str]) -> Column:
     found = F.lit(False)
     for role in roles:
