@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.functions.text import let
+from postloom.functions.text import contains_any, let
 
 # Ordered so that the smallest node of a field is the one to take: the first selector
 # that matches anything, then the first place in the document.
@@ -142,8 +143,45 @@ def find_nodes(html: str | None, rules: list[tuple]) -> list[dict]:
     return walk.nodes()
 
 
-def select_nodes(html: Column, kind: Column, selectors: dict[str, dict[str, list[str]]]) -> Column:
-    """``array<NODE>``; ``kind`` picks the table of selectors per field."""
+def needed_literals(selectors: list[str]) -> list[str] | None:
+    """One string per selector that a page must hold to match it; None if some selector needs none.
+
+    The longest class, id or attribute value that the selector asks for; these stand in the page as they
+    are, while tags and attribute names may be written in either case.
+    """
+    needed = []
+    for selector in selectors:
+        tests = [test for _, tests in _steps(selector) for test in tests]
+        literals = [part for _, cls, ident, _, _, value, _ in tests for part in (cls, ident, value) if part and "&" not in part]
+        if not literals:
+            return None
+        needed.append(max(literals, key=len))
+    return list(dict.fromkeys(needed))
+
+
+def may_match(html: Column, selectors: list[str]) -> Column:
+    """False only for pages none of the selectors can match.
+
+    A page with a character reference that could stand for a character of the literals is let through.
+    """
+    needed = needed_literals(selectors)
+    if needed is None:
+        return F.lit(True)
+    letters = set("".join(needed))
+    written = sorted({n.rstrip(";") for n, v in html5.items() if letters & set(v)}, key=lambda n: (-len(n), n))
+    return contains_any(html, needed) | F.contains(html, F.lit("&#")) | (F.contains(html, F.lit("&")) & html.rlike("&(" + "|".join(written) + ")"))
+
+
+def select_nodes(html: Column, kind: Column, selectors: dict[str, dict[str, list[str]]], roots: list[str] | None = None) -> Column:
+    """``array<NODE>``; ``kind`` picks the table of selectors per field.
+
+    Pages without any string a selector of their kind needs are not handed to Python.  ``roots`` are the fields
+    without which the others mean nothing: then theirs decide, and a page without any of them has no nodes.
+    """
+    needed = F.lit(False)
+    for name, fields in selectors.items():
+        asked = [s for field, found in fields.items() if roots is None or field in roots for s in found]
+        needed = needed | ((kind == name) & may_match(html, asked))
     # Workers get the functions above with the query, whatever is installed there.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -152,7 +190,7 @@ def select_nodes(html: Column, kind: Column, selectors: dict[str, dict[str, list
         rules = {k: rules_of(fields) for k, fields in selectors.items()}
         return pd.Series([find_nodes(p, rules.get(k, [])) for p, k in zip(pages, kinds)])
 
-    return select(html, kind)
+    return select(F.when(needed, html), kind)
 
 
 def of_field(nodes: Column, field: str) -> Column:

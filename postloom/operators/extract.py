@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.fixed_values import (
@@ -265,85 +265,92 @@ def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Listing pages (key, html, board) to cards, one per posting url and page.
 
     Without any usable card the board's plain links count, with "Untitled", "Unknown"
-    and the default country in place of what they lack.
+    and the default country in place of what they lack.  A page is one row until its cards are
+    chosen, so nothing is shuffled.
     """
     board = F.col("board")
-    parsed = pages.select(key, "board", select_nodes(F.col("html"), board, CARD_SELECTORS).alias("_nodes"))
-    rows = _cards(parsed, key)
-    # Cards of one page only: the page is the group; choice and dedup happen within it.
-    page = Window.partitionBy(key)
-    rows = rows.withColumn("_any", F.max(~F.col("_plain")).over(page)).filter(F.col("_any") != F.col("_plain"))
-    again = F.when(board == "rozee", F.col("_at")).otherwise(F.lit(0))
-    first = rows.groupBy(key, "board", "job_url", again.alias("_again")).agg(
-        F.min_by(F.struct(*[c for c in rows.columns if c not in (key, "board", "job_url", "_any", "_plain")]), "_at").alias("c")
-    )
-    return first.select(key, "board", "job_url", "c.*").drop("_at").withColumn(
-        "job_id", fallback_id(F.col("title"), F.col("company"), F.col("location"))
+    parsed = pages.select(key, "board", select_nodes(F.col("html"), board, CARD_SELECTORS, ["card", "fallback"]).alias("_nodes"))
+    marked = lambda nodes, plain: F.transform(nodes, lambda n: F.struct(n.alias("node"), F.lit(plain).alias("plain")))
+    both = F.concat(marked(all_of(F.col("_nodes"), "card"), False), marked(F.sort_array(of_field(F.col("_nodes"), "fallback")), True))
+    found = F.filter(F.transform(both, lambda one: _card(board, F.col("_nodes"), one["node"], one["plain"])), _has_required)
+    cards = staged(parsed, {"_cards": found}).drop("_nodes").withColumn("_cards", let(F.col("_cards"), _without_plain))
+    # Of equal urls the first on the page; on one board every place is a card of its own.
+    named = lambda c: F.concat_ws("\x01", c["job_url"], F.when(board == "rozee", c["at"]))
+    first = let(
+        F.array_sort("_cards"),
+        lambda cards: let(F.transform(cards, named), lambda names: F.filter(cards, lambda c, i: F.array_position(names, named(c)) == i + 1)),
     )
+    rows = staged(cards, {"_first": first}).select(key, "board", F.explode("_first").alias("c")).select(key, "board", "c.*").drop("at", "plain")
+    return rows.withColumn("job_id", fallback_id(F.col("title"), F.col("company"), F.col("location")))
 
 
-def _cards(parsed: DataFrame, key: str) -> DataFrame:
-    """Usable cards, and as ``_plain`` rows the usable plain links, of pages parsed once."""
-    board = F.col("board")
-    marked = lambda nodes, plain: F.transform(nodes, lambda n: F.struct(n.alias("node"), F.lit(plain).alias("plain")))
-    both = F.concat(marked(all_of(F.col("_nodes"), "card"), False), marked(F.sort_array(of_field(F.col("_nodes"), "fallback")), True))
-    rows = parsed.withColumn("_one", F.explode(both)).withColumns({"_card": F.col("_one.node"), "_plain": F.col("_one.plain")}).drop("_one")
-    inside = F.filter("_nodes", lambda n: (n["at"] >= F.col("_card.at")) & (n["at"] <= F.col("_card.upto")))
-    rows = rows.withColumn("_in", inside).drop("_nodes")
+def _without_plain(cards: Column) -> Column:
+    """The cards; the plain links only where there is no other."""
+    return F.when(F.exists(cards, lambda c: ~c["plain"]), F.filter(cards, lambda c: ~c["plain"])).otherwise(cards)
+
+
+def _has_required(card: Column) -> Column:
+    whole = F.lit(True)
+    for name in BOARD_REQUIRED_FIELDS:
+        whole = whole & (F.coalesce(card[name], F.lit("")) != "")
+    return whole
+
+
+_CARD_FIELDS = ("link", "title", "company", "location", "text", "posted", "type", "experience")
 
-    def text(field: str) -> Column:
-        return node_text(F.col("_in"), field)
 
-    def first(field: str) -> Column:
-        return first_of(F.col("_in"), field)
+def _card(board: Column, nodes: Column, card: Column, plain: Column) -> Column:
+    """What a card, or a plain link, of a page says; its place comes first."""
+    inside = F.filter(nodes, lambda n: (n["at"] >= card["at"]) & (n["at"] <= card["upto"]))
 
-    read = {f"_{n}": text(n) for n in ("link", "title", "company", "location", "text", "posted", "type", "experience")}
-    read["_href"] = first("link")["href"]
-    read["_datetime"] = first("posted")["datetime"]
-    read["_names"] = F.transform(F.sort_array(of_field(F.col("_in"), "names")), lambda n: clean_text(n["text"]))
-    raw = staged(rows, read)
+    def read(held: Column) -> Column:
+        names = F.transform(F.sort_array(of_field(held, "names")), lambda n: clean_text(n["text"]))
+        return F.struct(
+            *[node_text(held, f).alias(f) for f in _CARD_FIELDS],
+            first_of(held, "link")["href"].alias("href"), first_of(held, "posted")["datetime"].alias("datetime"), names.alias("names"),
+        )
+
+    return F.when(plain, _link_values(board, card)).otherwise(let(inside, lambda held: let(read(held), lambda r: _card_values(board, card, r))))
+
+
+def _values(at: Column, plain: bool, **named: Column) -> Column:
+    return F.struct(at.alias("at"), F.lit(plain).alias("plain"), *[c.cast("string").alias(n) for n, c in named.items()])
 
+
+def _card_values(board: Column, card: Column, r: Column) -> Column:
     # The links of one board are the cards themselves.
     own = board == "mustakbil"
-    href = F.when(own, F.col("_card.href")).otherwise(F.col("_href"))
-    title = F.coalesce(_first(F.col("_title")), F.when(own, clean_text(F.col("_card.text"))).otherwise(F.col("_link")))
-    rozee_company = _first(F.rtrim(F.get("_names", F.lit(0)), F.lit(",")))
-    rozee_place = _first(F.btrim(F.get("_names", F.lit(1)), F.lit(", ")))
-    values = {
-        "_at": F.col("_card.at"),
+    href = F.when(own, card["href"]).otherwise(r["href"])
+    title = F.coalesce(_first(r["title"]), F.when(own, clean_text(card["text"])).otherwise(r["link"]))
+    rozee_company = _first(F.rtrim(F.get(r["names"], F.lit(0)), F.lit(",")))
+    rozee_place = _first(F.btrim(F.get(r["names"], F.lit(1)), F.lit(", ")))
+    return _values(
+        card["at"], False,
         # A nameless link is called by the end of its url.
-        "title": F.when(own & (title == ""), F.substring_index(href, "/", -1)).otherwise(title),
-        "company": F.coalesce(F.when(board == "rozee", rozee_company).otherwise(F.col("_company")), F.lit("Unknown")),
-        "location": F.coalesce(F.when(board == "rozee", rozee_place).otherwise(F.col("_location")), F.lit(DEFAULT_LOCATION)),
-        "job_url": canonical_url(board, href),
-        "description": F.coalesce("_text", F.lit("")),
-        "posted_date": F.coalesce(F.when(board == "linkedin", _first(F.col("_datetime"))), F.col("_posted")),
-        "employment_type": employment_type(F.col("_type"), board),
-        "experience_required": F.col("_experience"),
-    }
-
-    none = F.lit(None).cast("string")
-    link = {
-        "_at": F.col("_card.at"),
-        "title": F.coalesce(F.nullif(clean_text(F.col("_card.text")), F.lit("")), F.lit("Untitled")),
-        "company": F.lit("Unknown"),
-        "location": F.lit(DEFAULT_LOCATION),
-        "job_url": canonical_url(board, F.col("_card.href")),
-        "description": F.lit(""),
-        "posted_date": none,
-        "employment_type": none,
-        "experience_required": none,
-    }
-    values = {n: F.when(F.col("_plain"), link[n]).otherwise(c) for n, c in values.items()}
-    values["_plain"] = F.col("_plain")
+        title=F.when(own & (title == ""), F.substring_index(href, "/", -1)).otherwise(title),
+        company=F.coalesce(F.when(board == "rozee", rozee_company).otherwise(r["company"]), F.lit("Unknown")),
+        location=F.coalesce(F.when(board == "rozee", rozee_place).otherwise(r["location"]), F.lit(DEFAULT_LOCATION)),
+        job_url=canonical_url(board, href),
+        description=F.coalesce(r["text"], F.lit("")),
+        posted_date=F.coalesce(F.when(board == "linkedin", _first(r["datetime"])), r["posted"]),
+        employment_type=employment_type(r["type"], board),
+        experience_required=r["experience"],
+    )
 
-    def usable(card: Column) -> Column:
-        whole = F.lit(True)
-        for name in BOARD_REQUIRED_FIELDS:
-            whole = whole & (F.coalesce(card[name], F.lit("")) != "")
-        return whole
 
-    return staged(raw.select(key, "board", "_card", "_plain", *read), values, usable).drop("_card", *read)
+def _link_values(board: Column, card: Column) -> Column:
+    none = F.lit(None)
+    return _values(
+        card["at"], True,
+        title=F.coalesce(F.nullif(clean_text(card["text"]), F.lit("")), F.lit("Untitled")),
+        company=F.lit("Unknown"),
+        location=F.lit(DEFAULT_LOCATION),
+        job_url=canonical_url(board, card["href"]),
+        description=F.lit(""),
+        posted_date=none,
+        employment_type=none,
+        experience_required=none,
+    )
 
 
 # --- collected pane texts -------------------------------------------------------------------
