@@ -148,11 +148,14 @@ def examples(docs: DataFrame, sample: int) -> list[tuple[str, np.ndarray, np.nda
     draw = F.xxhash64("doc_id", F.xxhash64("text"))
     # The least ``sample`` hashes of a language lie, but for a chance below 1e-100, among the 4 * sample
     # expected under this bound: no task sorts more than those.
-    counts = docs.groupBy("lang").agg((4.0 * sample / F.count("*")).alias("share"))
+    # Repeated rows have one draw and count once, so that copies neither narrow the bound nor fill the sample.
+    counts = docs.groupBy("lang").agg((4.0 * sample / F.approx_count_distinct(draw)).alias("share"))
     low = (draw.cast("double") + 2.0**63) / 2.0**64
     near = docs.select("lang", draw.alias("draw"), low.alias("low")).join(small(staged(counts, "languages")), "lang").filter(F.col("low") < F.col("share"))
-    drawn = top_per_group(near.select("lang", "draw"), ["lang"], [F.col("draw")], sample).distinct()
-    chosen = docs.withColumn("draw", draw).join(F.broadcast(staged(drawn, "sample")), ["lang", "draw"], "left_semi")
+    drawn = top_per_group(near.select("lang", "draw").distinct(), ["lang"], [F.col("draw")], sample)
+    chosen = docs.select("lang", "text", draw.alias("draw")).join(F.broadcast(staged(drawn, "sample")), ["lang", "draw"], "left_semi")
+    # One row per draw; each task keeps one before the shuffle.
+    chosen = chosen.groupBy("lang", "draw").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +261,8 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Language of every document, learned from those that are not held out.
 
     Needs doc_id, text and lang; other columns are ignored.  Null texts and texts without a
-    letter are "und" with score 0.  A null doc_id is not held out and not learned from.
+    letter are "und" with score 0.  A null doc_id is not held out and not learned from.  Of rows that
+    repeat, one is learned from.  An empty table gives no rows.
     Columns: doc_id, held_out, lang_pred, score.
     """
     model = train(docs, sample)

@@ -18,10 +18,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's own, or a local one where none is set."""
+    """The folder that driver and executors share: the cluster's own, or, on a local master only, a new one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         found = spark.sparkContext.getCheckpointDir()
+        if not found and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = found.rsplit("/", 1)[0] if found else f"file://{tempfile.mkdtemp(prefix='llm-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -114,3 +114,11 @@ def test_pages(spark):
     assert ordered(got) == ordered((i, u, html_text.main_text(h), len(html_text.main_text(h))) for i, u, h, _ in rows)
     assert got[1][2:] == ("", 0) and got[4][3] == 149_999
     assert html_text.extracted(pages.limit(0)).count() == 0
+
+
+def test_repeated_rows_neither_flood_nor_empty_the_sample(spark):
+    rows = [(3, "the same text again and again", "en")] * 10_000 + [(i, f"another text of its own number{i}", "en") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    assert len(language.examples(docs, 400)) == 61
+    drawn = language.examples(docs, 20)
+    assert len(drawn) == 20 and {lang for lang, _, _ in drawn} == {"en"}
