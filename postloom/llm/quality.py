@@ -1,13 +1,22 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule is a number of the text that is high in poor texts; a document goes if one lies
-above its cutoff.  Cutoffs come from labelled documents, per stratum.  For a cutoff, of the n
-good documents of the stratum X lie above it.  It is safe if a false rejection rate above
-the risk would show so few with a chance of at most delta: P(Bin(n, risk) <= X) <= delta, an
-exact binomial test.  Cutoffs of a rule are tested from the loosest on and the last safe
-one is taken (a fixed sequence, so the error does not add up within a rule); delta is
-divided by the number of rules and strata, the risk by the number of rules.  So with
-probability 1 - delta, in no stratum are more than ``risk`` of good documents rejected.
+Each rule is a number of the text that is high in poor texts, divided by a fixed unit; the
+score of a text is its greatest.  A document goes if its score lies above the cutoff of its
+stratum: all rules are loosened and tightened together along one path fixed beforehand, so
+the risk is spent once, on the documents that any rule rejects.
+
+Cutoffs come from labelled documents.  For a cutoff, of the n good texts of the stratum X lie
+above it.  It is safe if a false rejection rate above the risk would show so few with a chance
+of at most delta: P(Bin(n, risk) <= X) <= delta, an exact binomial test.  Cutoffs are tested
+from the loosest on, up to the last safe one (a fixed sequence, so the error does not add up and
+the bound holds for each of them).  Of these the loosest is taken that rejects as many poor texts
+as the last one does; without poor texts the last one.  Delta is divided by the number of tests, one a stratum.
+So with probability 1 - delta, in no stratum are more than ``risk`` of the good documents that the base rules let
+pass rejected.
+
+Strata whose labels are too few for any safe cutoff are one stratum together, and with all the
+others if those labels are still too few; there the bound holds for the pool.  Counts of labels
+alone decide that.  Equal texts of a stratum are one label: copies are not independent.
 
 Everything is built-in functions: no Python runs on the rows.
 """
@@ -24,9 +33,10 @@ from postloom.llm.shared import numbered, small, staged
 RISK = 0.02
 DELTA = 0.05
 SPACES = r"[\x20\x09-\x0D]+"
-# Cutoffs that may be chosen, fixed beforehand.
-GRID = [i / 200 for i in range(400)]
-RULES = ["symbols", "capitals", "shouts", "copied_lines", "repeated_words", "same_words"]
+# Cutoffs of the score that may be chosen, fixed beforehand.
+GRID = [i / 50 for i in range(500)]
+# Rules and their units: the value at which a rule says as much as the others do at theirs.
+RULES = {"symbols": 0.1, "capitals": 0.3, "shouts": 0.1, "copied_lines": 0.3, "repeated_words": 0.2, "same_words": 0.5, "word_length": 10.0}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -85,7 +95,8 @@ def with_measures(docs: DataFrame) -> DataFrame:
         F.struct(
             some(F.col("_symbols"), n).alias("symbols"), some(F.col("_capitals"), F.col("_chars")).alias("capitals"), some(F.col("_shouts"), n).alias("shouts"),
             some(F.col("_copied"), F.size("_lines")).alias("copied_lines"), some(F.col("_repeated"), n).alias("repeated_words"),
-            F.when(n > 0, 1.0 / F.col("_kinds")).otherwise(0.0).alias("same_words"),
+            # Different words grow about as the root of all words, in short and in long texts.
+            some(F.sqrt(n), F.col("_kinds")).alias("same_words"), some(F.col("_chars"), n).alias("word_length"),
         ).alias("rules"),
     )
     return five.select(*docs.columns, measures.alias("q"))
@@ -106,36 +117,65 @@ def _most_allowed(n: Column, risk: float, log_delta: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.floor(n * risk)), first, step, lambda a: a["best"])
 
 
+def score(rules: Column) -> Column:
+    """The greatest of the rules in their units."""
+    return F.greatest(*[rules[rule] / F.lit(unit) for rule, unit in RULES.items()])
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, grid: list[float] = GRID) -> DataFrame:
-    """stratum and ``cutoffs``, a map from rule to cutoff, of rows (doc_id, stratum, rules) and labels (doc_id, quality).
+    """stratum, ``cutoff``, ``n_good`` and ``pooled``, of rows (doc_id, stratum, text_hash, base_failed, rules) and labels (doc_id, quality).
 
-    A document is good if every label it has says 1; null labels and ids say nothing.  A
-    stratum without enough good documents, or a rule without a safe cutoff, gets none.
+    One row per stratum of ``measured``; ``n_good`` good texts were tested, of the pool where
+    ``pooled``.  A text is good if every label of its copies says 1; null labels and ids say
+    nothing.  The cutoff is null where even all labels are too few or none is safe.
     """
-    good = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    held = measured.join(good.filter("quality = 1").select("doc_id"), "doc_id")
-    levels = F.array(*[F.lit(g) for g in grid])
-    # The number of grid values below a measure: it lies above that many cutoffs.
-    above = lambda rule: F.when(F.col(rule) > grid[-1], len(grid)).otherwise(F.ceil(F.col(rule) / F.lit(grid[1] - grid[0]))).cast("int")
-    long = held.select("stratum", F.explode(F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.array(*[above(f"rules.{r}") for r in RULES]))).alias("rule", "above"))
-    counts = long.groupBy("stratum", "rule", "above").count()
-    per_rule = Window.partitionBy("stratum", "rule")  # at most one row per grid value
-    sums = counts.select(
-        "stratum", "rule", "above", F.sum("count").over(per_rule).alias("n"),
-        F.lead("above", 1, 0).over(per_rule.orderBy(F.desc("above"))).alias("next"),
-        F.sum("count").over(per_rule.orderBy(F.desc("above"))).alias("seen"),
+    marks = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    step = F.lit(grid[1] - grid[0])
+    # The number of grid values below the score: it lies above that many cutoffs.
+    above = F.when(score(F.col("rules")) > grid[-1], len(grid)).otherwise(F.ceil(score(F.col("rules")) / step)).cast("int")
+    texts = (
+        measured.filter(~F.col("base_failed")).select("doc_id", "stratum", "text_hash", above.alias("above"))
+        .join(marks, "doc_id").groupBy("stratum", "text_hash").agg(F.min("quality").alias("quality"), F.max("above").alias("above"))
+    )
+    good, poor = F.col("quality") == 1, F.col("quality") != 1
+    counts = staged(texts.groupBy("stratum", "above").agg(F.count_if(good).alias("count"), F.count_if(poor).alias("poor")), "labels")
+    # At most one row per stratum from here on, or per stratum and grid value.
+    sizes = measured.select("stratum").distinct().join(counts.groupBy("stratum").agg(F.sum("count").alias("n")), "stratum", "left").fillna(0, ["n"])
+    every = Window.partitionBy()
+    # Without exceedances a cutoff is safe from so many labels on: (1 - risk) ** n <= delta / tests.
+    enough = lambda tests: F.col("n") * F.lit(math.log1p(-risk)) <= F.log(F.lit(delta) / tests)
+    own = sizes.withColumn("own", enough(F.count("*").over(every)))
+    few = F.sum(F.when(~F.col("own"), F.col("n")).otherwise(0)).over(every)
+    tests = (F.sum(F.col("own").cast("int")).over(every) + F.max((~F.col("own")).cast("int")).over(every)).alias("tests")
+    # The pool: of the strata with few labels, or of all.
+    wide = few * F.lit(math.log1p(-risk)) > F.log(F.lit(delta) / F.count("*").over(every))
+    strata = staged(own.select("stratum", "own", tests, wide.alias("wide")), "strata")
+    part = lambda pooled, name: F.struct(F.lit(pooled).alias("pooled"), name.alias("name"))
+    itself, joint = part(False, F.col("stratum")), part(True, F.lit(""))
+    member = F.when(F.col("own") & F.col("wide"), F.array(itself, joint)).when(F.col("own"), F.array(itself)).otherwise(F.array(joint))
+    grouped = counts.join(strata, "stratum").select("tests", "above", "count", "poor", F.inline(member))
+    grouped = grouped.groupBy("pooled", "name", "above").agg(F.sum("count").alias("count"), F.sum("poor").alias("poor"), F.max("tests").alias("tests"))
+    per = Window.partitionBy("pooled", "name")
+    sums = grouped.select(
+        "pooled", "name", "tests", "above", F.sum("count").over(per).alias("n"),
+        F.lead("above", 1, 0).over(per.orderBy(F.desc("above"))).alias("next"),
+        F.sum("count").over(per.orderBy(F.desc("above"))).alias("seen"),
     )
-    strata = sums.select("stratum", "n").distinct()
-    every = Window.partitionBy()  # one row per stratum
-    allowed = strata.withColumn("log_delta", F.log(F.lit(delta) / len(RULES) / F.count("*").over(every)))
-    allowed = allowed.select("stratum", _most_allowed(F.col("n"), risk / len(RULES), F.col("log_delta")).alias("allowed"))
-    # ``seen`` good documents lie above the cutoffs numbered next to above - 1; none above those from the top on.
-    tested = sums.join(allowed, "stratum").groupBy("stratum", "rule").agg(
+    allowed = sums.select("pooled", "name", "n", "tests").distinct().select("pooled", "name", "n", _most_allowed(F.col("n"), risk, F.log(F.lit(delta) / F.col("tests"))).alias("allowed"))
+    # ``seen`` good texts lie above the cutoffs numbered next to above - 1; none above those from the top on.
+    tested = sums.drop("n").join(allowed, ["pooled", "name"]).groupBy("pooled", "name", "n").agg(
         F.max("above").alias("top"), F.max("allowed").alias("allowed"), F.min(F.when(F.col("seen") <= F.col("allowed"), F.col("next"))).alias("lowest"),
     )
-    number = F.when(F.col("allowed") >= 0, F.coalesce("lowest", "top"))
-    chosen = tested.select("stratum", "rule", number.alias("number")).filter(F.col("number") < len(grid))
-    return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", levels[F.col("number")]))).alias("cutoffs"))
+    last = F.when(F.col("allowed") >= 0, F.coalesce("lowest", "top"))
+    safe = tested.select("pooled", "name", "n", last.alias("last"))
+    # The poor text nearest above the last safe cutoff bounds the loosest that rejects as many.
+    nearest = F.min(F.when((F.col("poor") > 0) & (F.col("above") > F.col("last")), F.col("above")))
+    poorest = grouped.join(safe, ["pooled", "name"]).groupBy("pooled", "name", "n", "last").agg(nearest.alias("nearest"))
+    number = F.coalesce(F.col("nearest") - 1, "last")
+    levels = F.array(*[F.lit(g) for g in grid])
+    chosen = poorest.select("pooled", "name", F.col("n").alias("n_good"), F.when(number < len(grid), F.get(levels, number)).alias("cutoff"))
+    named = strata.select("stratum", (~F.col("own")).alias("pooled"), F.when(F.col("own"), F.col("stratum")).otherwise("").alias("name"))
+    return named.join(chosen, ["pooled", "name"], "left").select("stratum", "cutoff", F.coalesce("n_good", F.lit(0).cast("bigint")).alias("n_good"), "pooled")
 
 
 def stratum_of(docs: DataFrame) -> Column:
@@ -143,19 +183,15 @@ def stratum_of(docs: DataFrame) -> Column:
     return F.coalesce(F.col("lang").cast("string"), F.lit("?")) if "lang" in docs.columns else F.lit("?")
 
 
-def verdict(rules: Column, chosen: Column) -> Column:
-    """True unless a rule lies above its cutoff."""
-    over = [F.coalesce(rules[r] > F.coalesce(chosen, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>")))[r], F.lit(False)) for r in RULES]
-    bad = over[0]
-    for o in over[1:]:
-        bad = bad | o
-    return ~bad
+def verdict(rules: Column, cutoff: Column) -> Column:
+    """True unless the score lies above the cutoff; without a cutoff it never does."""
+    return F.coalesce(score(rules) <= cutoff, F.lit(True))
 
 
 def measured_rows(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, stratum, the counts, base_failed and rules, staged: texts are read once."""
-    rows = numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), stratum_of(docs).alias("stratum"), "text")
-    return staged(with_measures(rows).select("uid", "doc_id", "stratum", "q.*"), "measures")
+    """uid, doc_id, stratum, text_hash, the counts, base_failed and rules, staged: texts are read once."""
+    rows = numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), stratum_of(docs).alias("stratum"), F.xxhash64("text").alias("text_hash"), "text")
+    return staged(with_measures(rows).select("uid", "doc_id", "stratum", "text_hash", "q.*"), "measures")
 
 
 def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -164,21 +200,25 @@ def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     ``docs`` needs doc_id and text and may have lang; ``labels`` doc_id and quality; other
     columns are ignored.  Null, empty and blank texts have no words and fail.  Null or repeated
     doc_ids: each row is a document of its own.  Empty labels: only the base rule decides.
-    Columns: uid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept.
+    Empty ``docs`` give no rows.  Columns: uid, doc_id, n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed, kept, score (of the rules) and the stratum's cutoff.
     """
     rows = measured_rows(docs)
-    chosen = cutoffs(rows, labels, risk, delta)
-    judged = rows.join(small(staged(chosen, "cutoffs")), "stratum", "left")
-    kept = ~F.col("base_failed") & verdict(F.col("rules"), F.col("cutoffs"))
-    return judged.select("uid", "doc_id", *COUNTS, "base_failed", kept.alias("kept"))
+    chosen = small(staged(cutoffs(rows, labels, risk, delta), "cutoffs"))
+    judged = rows.join(chosen, "stratum", "left")
+    kept = ~F.col("base_failed") & verdict(F.col("rules"), F.col("cutoff"))
+    return judged.select("uid", "doc_id", *COUNTS, "base_failed", kept.alias("kept"), score(F.col("rules")).alias("score"), "cutoff")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The documents that pass, with the columns they came with.  Texts are read twice and never shuffled."""
-    chosen = small(staged(cutoffs(measured_rows(docs), labels, risk, delta), "cutoffs"))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), stratum_of(docs).alias("stratum"), "text")
-    # Behind a generator: a filter pushed below the measures would copy them into itself.
-    measured = with_measures(rows).select("doc", "stratum", F.inline(F.array(F.struct("q"))))
+    """The documents that pass, with the columns they came with.
+
+    Nulls, repeated rows and empty tables as in ``quality``.  Documents are written once beside
+    their measures, so each text is measured once; cutoffs read the measures alone and no text
+    is shuffled.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), stratum_of(docs).alias("stratum"), F.xxhash64("text").alias("text_hash"), "text")
+    measured = staged(with_measures(rows).select("doc", "doc_id", "stratum", "text_hash", "q.base_failed", "q.rules"), "measured")
+    chosen = small(staged(cutoffs(measured, labels, risk, delta), "cutoffs"))
     judged = measured.join(chosen, "stratum", "left")
-    return judged.filter(~F.col("q.base_failed") & verdict(F.col("q.rules"), F.col("cutoffs"))).select("doc.*")
+    return judged.filter(~F.col("base_failed") & verdict(F.col("rules"), F.col("cutoff"))).select("doc.*")
