@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postloom.boards import BOARDS, Boards
 from postloom.fixed_values import (
     DEFAULT_JOB_TYPE,
     EDUCATION,
@@ -171,15 +172,15 @@ def job_type(field: Column, low_text: Column) -> Column:
     )
 
 
-def employment_type(fragment: Column, board: Column) -> Column:
-    """Type named in a page fragment; two boards accept the bare words "full" and "part"."""
+def employment_type(fragment: Column, board: Column, boards: Boards = BOARDS) -> Column:
+    """Type named in a page fragment; boards without types in full words accept the bare "full" and "part"."""
     low = F.lower(fragment)
     strict = (
         F.when(contains_any(low, ["full-time", "full time"]), "full-time")
         .when(F.contains(low, F.lit("part-time")), "part-time")
         .when(F.contains(low, F.lit("contract")), "contract")
         .when(F.contains(low, F.lit("internship")), "internship")
-        .when((board == "indeed") & F.contains(low, F.lit("intern")), "internship")
+        .when(boards.has(board, "interns are internships") & F.contains(low, F.lit("intern")), "internship")
     )
     loose = (
         F.when(F.contains(low, F.lit("full")), "full-time")
@@ -187,7 +188,7 @@ def employment_type(fragment: Column, board: Column) -> Column:
         .when(F.contains(low, F.lit("contract")), "contract")
         .when(F.contains(low, F.lit("intern")), "internship")
     )
-    return F.when(board.isin("indeed", "linkedin"), strict).otherwise(loose)
+    return F.when(boards.has(board, "types in full words"), strict).otherwise(loose)
 
 
 # --- score -----------------------------------------------------------------

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postloom.boards import BOARDS, Boards, url_of
 from postloom.fixed_values import (
     AUTH_HTML_MARKERS,
     AUTH_URL_MARKERS,
@@ -152,50 +153,9 @@ def redirect_target(final_url: Column, html: Column, requested_url: Column) -> C
 # --- canonical posting urls --------------------------------------------------
 
 
-def indeed_url(href: Column) -> Column:
-    key = F.regexp_extract(href, r"^.*?jk=([^&]*?)(?:&|jk=|$)", 1)
-    return (
-        F.when(key != "", F.concat(F.lit("https://pk.indeed.com/viewjob?jk="), key))
-        .when(
-            F.contains(href, F.lit("/viewjob")),
-            F.when(href.startswith("http"), href).otherwise(F.concat(F.lit("https://pk.indeed.com"), href)),
-        )
-        .otherwise("")
-    )
-
-
-def linkedin_url(href: Column) -> Column:
-    base = F.regexp_extract(href, r"^([^?]*)", 1)
-    return F.when(
-        F.contains(href, F.lit("/jobs/view/")),
-        F.when(base.startswith("http"), base).otherwise(F.concat(F.lit("https://www.linkedin.com"), base)),
-    ).otherwise("")
-
-
-def rozee_url(href: Column) -> Column:
-    return (
-        F.when((href == "") | href.startswith("javascript"), "")
-        .when(href.startswith("//"), F.concat(F.lit("https:"), href))
-        .when(href.startswith("http"), href)
-        .otherwise(F.concat(F.lit("https://www.rozee.pk"), href))
-    )
-
-
-def mustakbil_url(href: Column) -> Column:
-    return F.when((href == "") | href.startswith("http"), href).otherwise(
-        F.concat(F.lit("https://www.mustakbil.com"), href)
-    )
-
-
-def canonical_url(board: Column, href: Column) -> Column:
-    href = F.coalesce(href, F.lit(""))
-    return (
-        F.when(board == "indeed", indeed_url(href))
-        .when(board == "linkedin", linkedin_url(href))
-        .when(board == "rozee", rozee_url(href))
-        .when(board == "mustakbil", mustakbil_url(href))
-        .otherwise(href)
-    )
+def canonical_url(board: Column, href: Column, boards: Boards = BOARDS) -> Column:
+    """The posting url a board's link stands for; '' for links of other kinds."""
+    return url_of(boards.urls, board, F.coalesce(href, F.lit("")))
 
 
 # --- keys and ids ------------------------------------------------------------

@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.fixed_values import (
-    BOARD_REQUIRED_FIELDS,
-    CARD_SELECTORS,
-    DEFAULT_LOCATION,
-    DETAIL_SELECTORS,
-    FULL_TEXT_MIN,
-)
+from postloom.boards import BOARDS, Boards, by_board, first_value
+from postloom.fixed_values import BOARD_REQUIRED_FIELDS, DEFAULT_LOCATION, FULL_TEXT_MIN
 from postloom.functions import jsonld
 from postloom.functions.fields import employment_type
 from postloom.functions.selectors import all_of, first_of, of_field, select_nodes
@@ -84,14 +79,14 @@ _PARTS = [
 ]
 
 
-def detail_parts(pages: DataFrame) -> DataFrame:
+def detail_parts(pages: DataFrame, boards: Boards = BOARDS) -> DataFrame:
     """(url, html, board) pages with what their elements and JSON say, one column each."""
     board, nodes, html = F.col("board"), F.col("_nodes"), F.col("html")
-    with_nodes = pages.withColumn("_nodes", select_nodes(html, board, DETAIL_SELECTORS))
+    with_nodes = pages.withColumn("_nodes", select_nodes(html, board, boards.detail_selectors))
     read = {f"_{name}": node_text(nodes, name) for name in _PARTS if name != "meta_title"}
     read["_meta_title"] = clean_text(first_of(nodes, "meta_title")["content"])
     read["_ld"] = jsonld.posting_fields(html)
-    linkedin = text_by_length(
+    by_length = text_by_length(
         [
             ("markup_css", _node_texts(nodes, "markup_text")),
             ("description_container", _node_texts(nodes, "container_text")),
@@ -101,22 +96,23 @@ def detail_parts(pages: DataFrame) -> DataFrame:
             ("jsonld", jsonld.jsonld_descriptions(html)),
         ]
     )
-    indeed = let(
+    by_priority = let(
         jsonld.sanitized_texts(html),
         lambda inline: text_by_priority(
             _first_long(nodes, "main_text"), inline, html_text(F.col("_ld.description"))
         )["text"],
     )
-    chosen = F.when(board == "indeed", indeed).when(board == "linkedin", linkedin["text"])
+    ways = {"priority": by_priority, "length": by_length["text"]}
+    chosen = by_board(board, {name: ways[way] for name, way in boards.chosen.items()})
     return staged(staged(with_nodes, read), {"_best": chosen}).drop("_nodes")
 
 
-def detail_postings(pages: DataFrame) -> DataFrame:
+def detail_postings(pages: DataFrame, boards: Boards = BOARDS) -> DataFrame:
     """One posting per detail page (url, html, board) that has a title and a long enough text."""
-    return _detail_rows(detail_parts(pages)).drop("_ld", "_best", *[f"_{p}" for p in _PARTS])
+    return _detail_rows(detail_parts(pages, boards), boards).drop("_ld", "_best", *[f"_{p}" for p in _PARTS])
 
 
-def pane_detail(pages: DataFrame, url: str = "job_url", card: str = "card") -> DataFrame:
+def pane_detail(pages: DataFrame, url: str = "job_url", card: str = "card", boards: Boards = BOARDS) -> DataFrame:
     """One posting per results page with an open pane (url, html, board, the caller's ``job_url`` and card).
 
     The text is the best of the page and decides alone whether there is a posting.  Title,
@@ -131,7 +127,7 @@ def pane_detail(pages: DataFrame, url: str = "job_url", card: str = "card") -> D
         "description": F.col("_best"),
         "posted_date": F.col(card)["posted_date"],
     }
-    parts = detail_parts(pages.withColumnsRenamed({url: "_given_url"}))
+    parts = detail_parts(pages.withColumnsRenamed({url: "_given_url"}), boards)
     values["job_url"] = F.coalesce(_first(F.col("_given_url"), F.col(card)["job_url"]), F.col("url"))
     out = staged(parts, values, _complete).drop("_ld", "_best", "_given_url", *[f"_{p}" for p in _PARTS])
     return out.withColumn("job_id", fallback_id(F.col("title"), F.col("company"), F.col("location")))
@@ -141,52 +137,31 @@ def _first(*options: Column) -> Column:
     return F.coalesce(*[F.nullif(o, F.lit("")) for o in options])
 
 
-def _detail_rows(parts: DataFrame) -> DataFrame:
-    return staged(_without_icons(parts), _detail_values(), _complete).withColumn(
+def _detail_rows(parts: DataFrame, boards: Boards) -> DataFrame:
+    return staged(_without_icons(parts, boards), _detail_values(boards), _complete).withColumn(
         "job_id", fallback_id(F.col("title"), F.col("company"), F.col("location"))
     )
 
 
-def _without_icons(parts: DataFrame) -> DataFrame:
+def _without_icons(parts: DataFrame, boards: Boards) -> DataFrame:
     names = ("_title", "_company")
-    clean = {n: F.when(F.col("board") == "mustakbil", strip_icons(F.col(n))).otherwise(F.col(n)) for n in names}
+    clean = {n: F.when(boards.has(F.col("board"), "icons before names"), strip_icons(F.col(n))).otherwise(F.col(n)) for n in names}
     return staged(parts, clean)
 
 
-def _detail_values() -> dict[str, Column]:
-    board, ld = F.col("board"), F.col("_ld")
-    is_indeed = board == "indeed"
-    long_enough = {
-        n: F.when(F.length(F.col(n)) >= FULL_TEXT_MIN, F.col(n)) for n in ("_best", "_other_text")
-    }
-    known = F.when(~F.lower("_company").isin("", "unknown"), F.col("_company"))
-    pay = F.col("_salary")
-    return {
-        "title": F.when(
-            is_indeed, _first(clean_text(ld["title"]), F.col("_title"), F.col("_meta_title"))
-        ).otherwise(F.col("_title")),
-        "company": F.when(
-            is_indeed, F.coalesce(known, _first(clean_text(ld["company"])), F.lit("Unknown"))
-        ).otherwise(F.coalesce("_company", F.lit("Unknown"))),
-        "location": F.when(
-            is_indeed, F.coalesce(_first(F.col("_location"), clean_text(ld["location"])), F.lit(DEFAULT_LOCATION))
-        ).otherwise(F.coalesce("_location", F.lit(DEFAULT_LOCATION))),
-        "description": F.when(
-            is_indeed,
-            F.coalesce(
-                long_enough["_best"], long_enough["_other_text"], _first(clean_text(ld["description"])),
-                F.col("_other_text"), F.col("_best"),
-            ),
-        )
-        .when(board == "linkedin", clean_text(F.col("_best")))
-        .otherwise(F.col("_main_text")),
-        "salary": F.when(~is_indeed | F.contains(pay, F.lit("PKR")) | F.contains(pay, F.lit("Rs")), pay),
-        "posted_date": F.when(board == "mustakbil", F.col("_posted")),
-        "employment_type": employment_type(F.col("_type"), board),
-        "experience_required": F.col("_experience"),
-        "job_url": F.col("url"),
-        "skills": F.array().cast("array<string>"),
-    }
+def _detail_values(boards: Boards) -> dict[str, Column]:
+    board = F.col("board")
+
+    def part(name: str) -> Column:
+        if name.startswith("json."):
+            return clean_text(F.col("_ld")[name.removeprefix("json.")])
+        return {"chosen": F.col("_best"), "clean chosen": clean_text(F.col("_best"))}.get(name, F.col(f"_{name}"))
+
+    value = lambda name: first_value(boards.detail, name, board, part).cast("string")
+    names = ["title", "company", "location", "description", "salary", "posted_date", "employment_type", "experience_required"]
+    values = {name: value(name) for name in names}
+    values["employment_type"] = employment_type(values["employment_type"], board, boards)
+    return {**values, "job_url": F.col("url"), "skills": F.array().cast("array<string>")}
 
 
 def _complete(row: Column) -> Column:
@@ -197,7 +172,7 @@ def _complete(row: Column) -> Column:
     return whole
 
 
-def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column], boards: Boards = BOARDS) -> DataFrame:
     """Parse stored detail pages again, with the listing card of the same posting at hand.
 
     Of several cards of a posting the first in ``order`` counts.
@@ -208,10 +183,11 @@ def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column])
     card_fields = ["title", "company", "location", "description", "job_url", "posted_date"]
     first = top_per_group(listing, [key], order)
     card = first.select(F.col(key).alias("_key"), F.struct(*card_fields).alias("_card"))
-    parts = detail_parts(pages).join(card, F.col(key) == F.col("_key"), "left").drop("_key")
+    parts = detail_parts(pages, boards).join(card, F.col(key) == F.col("_key"), "left").drop("_key")
     given, ld, board = F.col("_card"), F.col("_ld"), F.col("board")
     text = _first(
-        F.when(board == "linkedin", F.col("_best")), ld["description"], F.when(board == "indeed", given["description"])
+        F.when(boards.has(board, "chosen text before JSON"), F.col("_best")), ld["description"],
+        F.when(boards.has(board, "cards fill gaps"), given["description"]),
     )
     values = {
         "title": F.coalesce(_first(given["title"], clean_text(ld["title"])), F.lit("")),
@@ -221,9 +197,9 @@ def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column])
         "job_url": F.col("url"),
     }
     names = list(values)
-    mine = {n: c for n, c in _detail_values().items() if n in names}
+    mine = {n: c for n, c in _detail_values(boards).items() if n in names}
     tries = staged(
-        _without_icons(parts),
+        _without_icons(parts, boards),
         {
             "_parsed": F.struct(*[c.alias(n) for n, c in mine.items()]),
             "_rescued": F.struct(*[values[n].alias(n) for n in mine]),
@@ -231,29 +207,29 @@ def replay(pages: DataFrame, listing: DataFrame, key: str, order: list[Column])
     )
     row = F.when(_complete(F.col("_parsed")), F.col("_parsed")).when(_complete(F.col("_rescued")), F.col("_rescued"))
     rows = tries.select(key, "board", "_card", row.alias("_row")).filter(F.col("_row").isNotNull())
-    return merge_listing(rows.select(key, "board", "_row.*", "_card"))
+    return merge_listing(rows.select(key, "board", "_row.*", "_card"), boards)
 
 
-def merge_listing(rows: DataFrame) -> DataFrame:
+def merge_listing(rows: DataFrame, boards: Boards = BOARDS) -> DataFrame:
     """Lay parsed rows over their card.
 
-    On indeed the card fills gaps and gives its text if that is longer once trimmed.
+    On some boards the card fills gaps and gives its text if that is longer once trimmed.
     Elsewhere the card comes first: its public url stays, and so does its text unless the
     parsed one is longer.
     """
-    card, board = F.col("_card"), F.col("board")
+    card, fills = F.col("_card"), boards.has(F.col("board"), "cards fill gaps")
     theirs = F.coalesce(card["description"], F.lit(""))
     longer_card = F.when(
-        board == "indeed", F.length(strip(theirs)) > F.length(strip(F.col("description")))
+        fills, F.length(strip(theirs)) > F.length(strip(F.col("description")))
     ).otherwise(card.isNotNull() & (F.length(theirs) >= F.length("description")))
     public = F.coalesce(card["job_url"], F.lit(""))
     open_url = (public != "") & ~F.lower(public).rlike("auth|login")
     unknown = F.col("company").isin("", "Unknown") & (F.coalesce(card["company"], F.lit("")) != "")
     return rows.withColumns(
         {
-            "company": F.when((board == "indeed") & unknown, card["company"]).otherwise(F.col("company")),
+            "company": F.when(fills & unknown, card["company"]).otherwise(F.col("company")),
             "description": F.when(longer_card, card["description"]).otherwise(F.col("description")),
-            "job_url": F.when((board != "indeed") & open_url, public).otherwise(F.col("job_url")),
+            "job_url": F.when(~fills & open_url, public).otherwise(F.col("job_url")),
         }
     ).drop("_card")
 
@@ -261,7 +237,7 @@ def merge_listing(rows: DataFrame) -> DataFrame:
 # --- listing pages -----------------------------------------------------------------------
 
 
-def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def listing_cards(pages: DataFrame, key: str = "page_id", boards: Boards = BOARDS) -> DataFrame:
     """Listing pages (key, html, board) to cards, one per posting url and page.
 
     Without any usable card the board's plain links count, with "Untitled", "Unknown"
@@ -269,13 +245,13 @@ def listing_cards(pages: DataFrame, key: str = "page_id") -> DataFrame:
     chosen, so nothing is shuffled.
     """
     board = F.col("board")
-    parsed = pages.select(key, "board", select_nodes(F.col("html"), board, CARD_SELECTORS, ["card", "fallback"]).alias("_nodes"))
+    parsed = pages.select(key, "board", select_nodes(F.col("html"), board, boards.card_selectors, ["card", "fallback"]).alias("_nodes"))
     marked = lambda nodes, plain: F.transform(nodes, lambda n: F.struct(n.alias("node"), F.lit(plain).alias("plain")))
     both = F.concat(marked(all_of(F.col("_nodes"), "card"), False), marked(F.sort_array(of_field(F.col("_nodes"), "fallback")), True))
-    found = F.filter(F.transform(both, lambda one: _card(board, F.col("_nodes"), one["node"], one["plain"])), _has_required)
+    found = F.filter(F.transform(both, lambda one: _card(boards, board, F.col("_nodes"), one["node"], one["plain"])), _has_required)
     cards = staged(parsed, {"_cards": found}).drop("_nodes").withColumn("_cards", let(F.col("_cards"), _without_plain))
-    # Of equal urls the first on the page; on one board every place is a card of its own.
-    named = lambda c: F.concat_ws("\x01", c["job_url"], F.when(board == "rozee", c["at"]))
+    # Of equal urls the first on the page, unless every place is a posting.
+    named = lambda c: F.concat_ws("\x01", c["job_url"], F.when(boards.has(board, "places of a listing are postings"), c["at"]))
     first = let(
         F.array_sort("_cards"),
         lambda cards: let(F.transform(cards, named), lambda names: F.filter(cards, lambda c, i: F.array_position(names, named(c)) == i + 1)),
@@ -299,7 +275,7 @@ def _has_required(card: Column) -> Column:
 _CARD_FIELDS = ("link", "title", "company", "location", "text", "posted", "type", "experience")
 
 
-def _card(board: Column, nodes: Column, card: Column, plain: Column) -> Column:
+def _card(boards: Boards, board: Column, nodes: Column, card: Column, plain: Column) -> Column:
     """What a card, or a plain link, of a page says; its place comes first."""
     inside = F.filter(nodes, lambda n: (n["at"] >= card["at"]) & (n["at"] <= card["upto"]))
 
@@ -310,42 +286,42 @@ def _card(board: Column, nodes: Column, card: Column, plain: Column) -> Column:
             first_of(held, "link")["href"].alias("href"), first_of(held, "posted")["datetime"].alias("datetime"), names.alias("names"),
         )
 
-    return F.when(plain, _link_values(board, card)).otherwise(let(inside, lambda held: let(read(held), lambda r: _card_values(board, card, r))))
+    return F.when(plain, _link_values(boards, board, card)).otherwise(let(inside, lambda held: let(read(held), lambda r: _card_values(boards, board, card, r))))
+
+
+_POSTING_FIELDS = ("title", "company", "location", "job_url", "description", "posted_date", "employment_type", "experience_required")
 
 
 def _values(at: Column, plain: bool, **named: Column) -> Column:
-    return F.struct(at.alias("at"), F.lit(plain).alias("plain"), *[c.cast("string").alias(n) for n, c in named.items()])
+    return F.struct(at.alias("at"), F.lit(plain).alias("plain"), *[named[n].cast("string").alias(n) for n in _POSTING_FIELDS])
 
 
-def _card_values(board: Column, card: Column, r: Column) -> Column:
-    # The links of one board are the cards themselves.
-    own = board == "mustakbil"
-    href = F.when(own, card["href"]).otherwise(r["href"])
-    title = F.coalesce(_first(r["title"]), F.when(own, clean_text(card["text"])).otherwise(r["link"]))
-    rozee_company = _first(F.rtrim(F.get(r["names"], F.lit(0)), F.lit(",")))
-    rozee_place = _first(F.btrim(F.get(r["names"], F.lit(1)), F.lit(", ")))
+def _card_values(boards: Boards, board: Column, card: Column, r: Column) -> Column:
+    read = {
+        "own": clean_text(card["text"]),
+        "own href": card["href"],
+        "end of own href": F.substring_index(card["href"], "/", -1),
+        "name 0": F.rtrim(F.get(r["names"], F.lit(0)), F.lit(",")),
+        "name 1": F.btrim(F.get(r["names"], F.lit(1)), F.lit(", ")),
+    }
+    value = lambda name: first_value(boards.cards, name, board, lambda p: read[p] if p in read else r[p])
+    names = ["title", "company", "location", "description", "posted_date", "experience_required"]
     return _values(
         card["at"], False,
-        # A nameless link is called by the end of its url.
-        title=F.when(own & (title == ""), F.substring_index(href, "/", -1)).otherwise(title),
-        company=F.coalesce(F.when(board == "rozee", rozee_company).otherwise(r["company"]), F.lit("Unknown")),
-        location=F.coalesce(F.when(board == "rozee", rozee_place).otherwise(r["location"]), F.lit(DEFAULT_LOCATION)),
-        job_url=canonical_url(board, href),
-        description=F.coalesce(r["text"], F.lit("")),
-        posted_date=F.coalesce(F.when(board == "linkedin", _first(r["datetime"])), r["posted"]),
-        employment_type=employment_type(r["type"], board),
-        experience_required=r["experience"],
+        **{name: value(name) for name in names},
+        job_url=canonical_url(board, value("href"), boards),
+        employment_type=employment_type(value("employment_type"), board, boards),
     )
 
 
-def _link_values(board: Column, card: Column) -> Column:
+def _link_values(boards: Boards, board: Column, card: Column) -> Column:
     none = F.lit(None)
     return _values(
         card["at"], True,
         title=F.coalesce(F.nullif(clean_text(card["text"]), F.lit("")), F.lit("Untitled")),
         company=F.lit("Unknown"),
         location=F.lit(DEFAULT_LOCATION),
-        job_url=canonical_url(board, card["href"]),
+        job_url=canonical_url(board, card["href"], boards),
         description=F.lit(""),
         posted_date=none,
         employment_type=none,
