@@ -53,7 +53,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def grams(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """Per order the n-grams' buckets and each text's bounds in them; and whether each text has a letter (null: none).
 
-    A gap stands before the first word and after each; no n-gram reaches over a text's end.
+    A gap stands before the first word and after each that does not end the text; no n-gram reaches over a text's end.
     """
     strings = texts.to_pylist()
     lengths = np.fromiter((len(s or "") + 1 for s in strings), dtype=np.int64, count=len(strings))

@@ -1,6 +1,9 @@
+import math
 import time
 import zlib
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -56,9 +59,90 @@ def test_grams_stay_in_their_text(texts):
             assert buckets[bounds[i] : bounds[i + 1]].tolist() == b.tolist()
 
 
-def test_temperature_tempers():
-    import numpy as np
+def plain_leader(rows, n_languages, epochs):
+    """FTRL-Proximal one weight at a time, from its definition."""
+    z, n, where = {}, {}, language.BUCKETS
+
+    def weight(k):
+        lead = z.get(k, 0.0)
+        if abs(lead) <= language.L1:
+            return 0.0
+        return -(lead - math.copysign(language.L1, lead)) / ((language.BETA + math.sqrt(n.get(k, 0.0))) / language.ALPHA + language.L2)
+
+    for _ in range(epochs):
+        for label, at, value in rows:
+            given = [*zip(at.tolist(), value.tolist()), (where, 1.0)]
+            now = {(b, c): weight((b, c)) for b, _ in given for c in range(n_languages)}
+            scores = [sum(v * now[b, c] for b, v in given) for c in range(n_languages)]
+            total = sum(math.exp(x) for x in scores)
+            for c in range(n_languages):
+                miss = math.exp(scores[c]) / total - (c == label)
+                for b, v in given:
+                    slope, before = miss * v, n.get((b, c), 0.0)
+                    n[b, c] = before + slope * slope
+                    z[b, c] = z.get((b, c), 0.0) + slope - (math.sqrt(n[b, c]) - math.sqrt(before)) / language.ALPHA * now[b, c]
+    return {k: weight(k) for k in z}
+
+
+def plain_counts(text):
+    """Times of each bucket, n-gram by n-gram: letters in lower case, a gap before the first word and after each that does not end the text."""
+    letters = "".join(ch.lower()[0] if ch.isalpha() else " " for ch in text)
+    line = " " + " ".join(letters.split()) + " " * (letters.endswith(" ") and bool(letters.strip()))
+    counts = Counter()
+    for order in range(1, language.ORDERS + 1):
+        for i in range(len(line) - order + 1):
+            h = None
+            for k, ch in enumerate(line[i : i + order]):
+                code = ord(ch)
+                x = (code + 0x9E3779B9) % 2**32 if k == 0 else (h * 0x01000193) % 2**32 ^ code
+                x = (x ^ x >> 16) * 0x85EBCA6B % 2**32
+                h = (x ^ x >> 13) * 0xC2B2AE35 % 2**32
+            counts[h >> 32 - language.BUCKET_BITS] += 1
+    return counts
+
+
+def test_training_and_prediction_are_the_plain_ones(spark):
+    texts = {
+        "en": ["the cat sat on the mat", "a dog and the bird", "where is the house", "this is what they said", "Rain, and THEN snow"],
+        "fr": ["le chat est sur la table", "un chien et les oiseaux", "o\u00f9 est la maison", "c'est ce qu'ils ont dit", "la pluie et puis la neige"],
+        "de": ["die Katze sitzt auf der Matte", "ein Hund und der Vogel", "wo ist das Haus", "das ist was sie sagten", "Regen und dann Schnee"],
+    }
+    rows = [(20 * j + i, t, lang) for j, (lang, found) in enumerate(texts.items()) for i, t in enumerate(found)]
+    rows += [(900, None, "en"), (901, "12 34", "en"), (902, "no language", None), (None, "no id", "en"), (rows[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(docs)
+
+    known = [(d, t, lang) for d, t, lang in rows if d is not None and t is not None and lang and zlib.crc32(str(d).encode()) % 4 != 2]
+    seen = Counter(b for _, t, _ in known for b in plain_counts(t))
+    inverse = lambda b: math.log((1 + len(known)) / (1 + seen[b])) + 0.1
+    draw = {r.doc_id: r.draw for r in docs.selectExpr("doc_id", "xxhash64(doc_id, xxhash64(text)) draw").collect()}
+    drawn = sorted({(draw[d], lang, t) for d, t, lang in known if any(c.isalpha() for c in t)})
+    names = sorted({lang for _, lang, _ in drawn})
+    assert model.languages == names == ["de", "en", "fr"]
+    learned = []
+    for _, lang, t in drawn:
+        counts = plain_counts(t)
+        at = np.array(sorted(counts))
+        share = [np.float32(counts[b] / sum(counts.values())).item() for b in at.tolist()]
+        learned.append((names.index(lang), at, np.array([s * inverse(b) * language.SCALE for b, s in zip(at.tolist(), share)])))
+    weights = plain_leader([r for i, r in enumerate(learned) if i % 5], len(names), language.EPOCHS)
+    score = lambda at, value: [sum(v * weights.get((b, c), 0.0) for b, v in [*zip(at, value), (language.BUCKETS, 1.0)]) for c in range(len(names))]
+    factor = language.temperature(np.array([score(at.tolist(), value.tolist()) for _, at, value in learned[::5]]), np.array([r[0] for r in learned[::5]]))
+
+    got = {(r.doc_id, r.lang_pred): r.score for r in language.identify(docs).collect()}
+    for d, text, _ in rows:
+        counts = plain_counts(text or "")
+        if not any(c.isalpha() for c in text or ""):
+            assert got[d, "und"] == 0.0
+            continue
+        size = sum(counts.values())
+        scores = [x * factor for x in score(list(counts), [n / size * inverse(b) * language.SCALE for b, n in counts.items()])]
+        chance = [math.exp(x - max(scores)) for x in scores]
+        best = max(range(len(names)), key=lambda c: chance[c])
+        assert got[d, names[best]] == pytest.approx(chance[best] / sum(chance), rel=1e-4)
+
 
+def test_temperature_tempers():
     rng = np.random.default_rng(1)
     labels = rng.integers(0, 3, 2000)
     scores = rng.normal(size=(2000, 3)) * 5
