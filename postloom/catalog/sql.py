@@ -152,13 +152,13 @@ def skill_list(x: str, vocabulary: list[str] = VOCABULARY) -> str:
 # Expected salaries and dates of the planted values, worked out by hand.
 SALARY_CASES = {
     "currency": "CASE doc_id % 8 WHEN 2 THEN 'USD' WHEN 5 THEN 'GBP' WHEN 6 THEN 'USD' WHEN 0 THEN 'PKR' WHEN 1 THEN 'PKR' WHEN 7 THEN 'PKR' END",
-    "min": "CAST(CASE doc_id % 8 WHEN 0 THEN 80000 WHEN 1 THEN 80000 WHEN 2 THEN 1500 WHEN 5 THEN 45000 WHEN 6 THEN 150 WHEN 7 THEN 5 END AS BIGINT)",
-    "max": "CAST(CASE doc_id % 8 WHEN 0 THEN 120000 WHEN 1 THEN 120000 WHEN 2 THEN 2000 END AS BIGINT)",
+    "min": "CAST(CASE doc_id % 8 WHEN 0 THEN 65000 WHEN 1 THEN 70000 WHEN 2 THEN 1250 WHEN 5 THEN 38500 WHEN 6 THEN 240 WHEN 7 THEN 5 END AS BIGINT)",
+    "max": "CAST(CASE doc_id % 8 WHEN 0 THEN 95000 WHEN 1 THEN 110000 WHEN 2 THEN 1750 END AS BIGINT)",
     "period": "CASE doc_id % 8 WHEN 0 THEN 'month' WHEN 1 THEN 'month' WHEN 2 THEN 'week' WHEN 5 THEN 'year' WHEN 6 THEN 'hour' WHEN 7 THEN 'month' END",
 }
 POSTED_CASES = """CASE doc_id % 11
-  WHEN 0 THEN TIMESTAMP '2026-09-30 12:00:00' WHEN 1 THEN TIMESTAMP '2026-09-02 12:00:00'
+  WHEN 0 THEN TIMESTAMP '2026-09-30 12:00:00' WHEN 1 THEN TIMESTAMP '2026-09-20 12:00:00'
   WHEN 2 THEN TIMESTAMP '2026-10-02 12:00:00' WHEN 3 THEN TIMESTAMP '2026-10-01 12:00:00'
-  WHEN 4 THEN TIMESTAMP '2026-09-30 00:00:00' WHEN 5 THEN TIMESTAMP '2026-09-28 00:00:00'
-  WHEN 6 THEN TIMESTAMP '2026-09-28 10:13:00' WHEN 7 THEN TIMESTAMP '2026-10-02 09:00:00'
+  WHEN 4 THEN TIMESTAMP '2026-08-14 00:00:00' WHEN 5 THEN TIMESTAMP '2026-08-21 00:00:00'
+  WHEN 6 THEN TIMESTAMP '2026-08-27 06:45:00' WHEN 7 THEN TIMESTAMP '2026-10-02 09:00:00'
   WHEN 10 THEN TIMESTAMP '2026-09-12 00:00:00' END"""

@@ -170,7 +170,7 @@ def test_upsert_stream(spark, tmp_path):
                "experience_required string")
 
     def row(i, board, url, text):
-        return (i, f"old{i}", board, url, "Data Engineer", "Acme", "Lahore", text, [], "80k - 120k", None, None, None)
+        return (i, f"old{i}", board, url, "Data Engineer", "Acme", "Lahore", text, [], "70k - 110k", None, None, None)
 
     long = "We build data pipelines with Python and SQL for many customers. "
     url = "https://pk.indeed.com/viewjob?jk=abcdef012345"
