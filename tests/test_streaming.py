@@ -2,6 +2,7 @@
 
 import os
 import shutil
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from postloom.operators import arrivals
 from postloom.schemas import JOBS, SEEN
 from postloom.operators import store
+from postloom.session import STATE_STORE
 from postloom.sources import keyed
 from postloom.streaming import jobs, stateful
 
@@ -247,3 +249,22 @@ def test_queue_stream(spark, tmp_path):
     jobs.enqueue_stream(stream, f"{tmp_path}/seen", f"{tmp_path}/queue", f"{tmp_path}/cp").awaitTermination()
     got = [r.job_id for r in spark.read.parquet(f"{tmp_path}/queue").collect()]
     assert len(got) == 2 and "b" in got and "a" not in got and None not in got
+
+
+@pytest.mark.parametrize("name", ["seen_per_user", "dedup_ttl"])
+def test_queries_bring_the_state_store(spark, tmp_path, name):
+    """A session that names another store, as Spark does by default, keeps it."""
+    import __spark_entry__
+
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=(i * i) % 3000), i % 3, ("error", "view", "signup")[i % 3], 1.0, "") for i in range(24)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, other)
+    try:
+        found = __spark_entry__.queries()
+        streamed = sorted(map(tuple, found[f"{name}_stream"](spark, str(tmp_path)).collect()))
+        assert streamed == sorted(map(tuple, found[name](spark, str(tmp_path)).collect())) and streamed
+        assert spark.conf.get(STATE_STORE) == other
+    finally:
+        spark.conf.set(STATE_STORE, before)
