@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions.text import strip
 from postloom.functions.urls import queue_id
-from postloom.operators.groups import blocks_of, running, top_per_group
+from postloom.operators.groups import blocks_of, running, top_per_group, written
 
 
 def cap_per_search(df: DataFrame, keys: list[str], order: list[Column], cap: int) -> DataFrame:
@@ -84,8 +84,10 @@ def cooldowns(streaks: DataFrame, keys: list[str], at: str, seconds: int) -> Dat
 def cooling_at(probes: DataFrame, intervals: DataFrame, keys: list[str], at: str) -> DataFrame:
     """Adds ``cooling``: does a cooldown that began at or before the probe's time end after it.
 
-    Probes and starts are read in one order per key, with the latest end so far.
+    Probes and starts are read in one order per key, with the latest end so far.  The intervals are
+    written once: the blocks are counted, cut and scanned over them.
     """
+    intervals = written(intervals, "intervals")
     row = F.struct(*probes.columns)
     asked = probes.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("timestamp").alias("_until"), row.alias("_row"))
     begun = intervals.select(*keys, F.col("cooling_from").alias("_t"), F.lit(0).alias("_kind"), F.col("cooling_until").alias("_until"))

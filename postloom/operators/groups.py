@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.session import work_folder
+
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of every group.
@@ -18,26 +20,33 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back, for what several plans read."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Rows of a scan that one task works on in order, on average.
 BLOCK_ROWS = 1 << 20
 _SAMPLED = 32  # rows looked at for each cut point
 
 
 def blocks_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int | None = None) -> Column | None:
-    """The block of each row: a number that never decreases along the keys and ``order`` (ascending); None for a single block.
+    """The block of each row: a number that never decreases along the keys and ``order`` (ascending); None if no group needs cutting.
 
-    Cut points come from the data, so a block has about ``rows`` rows wherever they lie: a key
-    that holds much of the table, or one hour of it, gets as many blocks as it needs.  Two jobs
-    over the narrow columns count the rows and sample ``_SAMPLED`` of them per cut point; rows of equal
-    order are never parted.  Each row finds its block by two short searches, of the leading cut
-    points and of one run of them.
+    With no group of more than ``rows`` rows, the groups are the tasks.  Cut points come from the data,
+    so a block has about ``rows`` rows wherever they lie: a key that holds much of the table, or one
+    hour of it, gets as many blocks as it needs.  Two jobs over the narrow columns count the rows of
+    each group and sample ``_SAMPLED`` of them per cut point; rows of equal order are never parted.
+    Each row finds its block by two short searches, of the leading cut points and of one run of them.
     """
     place = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[c.alias(f"o{i}") for i, c in enumerate(order)])
     narrow = df.select(place.alias("place"))
-    n = narrow.count()
-    blocks = -(-n // (rows or BLOCK_ROWS))
-    if blocks < 2:
+    n, largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
+    if (largest or 0) <= (rows or BLOCK_ROWS):
         return None
+    blocks = -(-n // (rows or BLOCK_ROWS))
     fraction = min(1.0, 1.2 * blocks * _SAMPLED / n)
     seen = narrow.sample(fraction, 7).orderBy("place").collect()
     fields = narrow.schema["place"].dataType.fields
@@ -69,8 +78,10 @@ def running(
 
     The order is cut into blocks of about equal size (``block`` of ``blocks_of``).  Block totals are
     summed up over the blocks first, a small table; then every block continues from its total on its
-    own task.  One window per group would send a hot group to one task; with a single block there
-    is nothing to carry.  ``before`` leaves out the current row.
+    own task.  One window per group would send a hot group to one task; without blocks there
+    is nothing to carry.  Rows with blocks are written once, since totals and blocks both read them:
+    a scan over scans would else work out the lower ones again for each.  ``before`` leaves out the
+    current row.
     """
     sums, maxes = sums or {}, maxes or {}
     until = -1 if before else Window.currentRow
@@ -80,7 +91,7 @@ def running(
         done |= {name: F.max(value).over(frame) for name, value in maxes.items()}
         return df.withColumns(done)
     data = df.withColumn("_block", block)
-    data = data.withColumns({f"_v_{name}": value for name, value in {**sums, **maxes}.items()})
+    data = written(data.withColumns({f"_v_{name}": value for name, value in {**sums, **maxes}.items()}), "blocks")
     totals = data.groupBy(*keys, "_block").agg(
         *[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in sums],
         *[F.max(f"_v_{name}").alias(f"_t_{name}") for name in maxes],
