@@ -212,9 +212,10 @@ def status_updates(spark, sf_dir):
         F.col("l_orderkey").alias("application_id"),
         F.when(F.col("l_linestatus") == "F", "approved").otherwise("rejected").alias("status"),
         F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("timestamp")).alias("applied_at"),
-        "l_linenumber", "l_partkey",
+        "l_linenumber", "l_partkey", "l_shipdate", "l_suppkey", "l_linestatus", "l_returnflag",
     )
-    order = [F.col("l_linenumber").desc(), F.col("l_partkey").desc()]
+    # Lines may agree in number and part: of those the last shipped one counts, whatever order they are read in.
+    order = [F.col(c).desc() for c in ("l_linenumber", "l_partkey", "l_shipdate", "l_suppkey", "l_linestatus", "l_returnflag")]
     out = feeds.update_status(_application_rows(spark, sf_dir), changes, order, now())
     return out.select("application_id", "status", "applied_at", "updated_at")
 
