@@ -6,17 +6,22 @@ micro-batches, and equals that of the batch operator over the whole log.  A row
 the watermark's delay is dropped by Spark before it gets here: it may neither open a
 lifetime nor prolong one.  State leaves by timers.
 
-Slices are short enough that nothing can expire within one, so before the shuffle every
-Arrow batch keeps, of each key and slice, only the rows that may matter.
+Slices are short enough that nothing can expire within one, so before the shuffle Arrow
+batches keep, of each key and slice, only the rows that may matter.
+
+Every call of the state store is a message to the JVM.  So rows are held in packs, a key has one
+timer at a time, and what a key knows is read and written once for all slices that the watermark has passed.
 
 The streams need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
 
+import heapq
 import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -38,10 +43,16 @@ def _shipped(thing):
     return thing
 
 
+# Rows of a key sorted by time at once, and rows of such a run in one value of the state store.
+_RUN, _PACK = 20_000, 500
+
+
 class InOrder(StatefulProcessor):
-    """Holds rows by slice of time and hands over each slice, sorted, once the watermark has passed it.
+    """Holds rows and hands over slices of time, each sorted, once the watermark has passed them.
 
     Rows carry ``_us``, their event time in microseconds.  ``width`` is the length of a slice in seconds.
+    Rows come in runs; of a run sorted by time every pack is a value of its own, and the index says with which
+    slice it begins.  So of a long log only packs that overlap are in memory together.
     """
 
     def __init__(self, order: Sequence[str], width: int):
@@ -49,41 +60,96 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "slice bigint", "rows binary")
+        self.held = handle.getMapState("held", "pack bigint", "rows binary")
+        self.index = handle.getValueState("index", "due bigint, packs binary")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        by_slice: dict[int, list[Row]] = {}
-        for row in rows:
-            by_slice.setdefault(row["_us"] // self.width, []).append(row)
-        for number, new in by_slice.items():
-            if self.held.containsKey((number,)):
-                new = pickle.loads(self.held.getValue((number,))[0]) + new
-            else:
-                self.handle.registerTimer(self._end(number))
-            self.held.updateValue((number,), (pickle.dumps(new),))
+        due, packs = self._indexed()
+        rows = iter(rows)
+        while run := list(islice(rows, _RUN)):
+            packs += self._hold(run, packs)
+        # A timer due by now goes off after this, with all that has come.
+        self._wake(due, self._end(min(packs)[0]) if due is None else min(due, self._end(min(packs)[0])), packs)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # Timers go off in their order, one at the end of each slice that holds rows or in which something ends.
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        number = now * 1000 // self.width - 1
-        if self.held.containsKey((number,)):
-            rows = pickle.loads(self.held.getValue((number,))[0])
-            self.held.removeKey((number,))
+        now = timerValues.getCurrentWatermarkInMs()
+        _, packs = self._indexed()
+        self.recall()
+        for number, rows in self._passed(packs, now * 1000 // self.width - 1):
             rows.sort(key=lambda r: (r["_us"], *[r[c] for c in self.order]))
             yield from self.step(key, number, rows, timerValues)
-        yield from self.passed(key, now)
+        ends = [t for t in (self.keep(now), self._end(min(packs)[0]) if packs else None) if t is not None]
+        self._wake(None, min(ends, default=None), packs)
+
+    def _indexed(self) -> tuple[int | None, list[tuple[int, int]]]:
+        """When the key's timer goes off, and its packs as (first slice, number)."""
+        if not self.index.exists():
+            return None, []
+        due, packs = self.index.get()
+        return due, pickle.loads(packs)
+
+    def _wake(self, was: int | None, due: int | None, packs: list[tuple[int, int]]) -> None:
+        """Notes the packs and moves the key's timer from ``was`` to ``due``."""
+        if due is None:
+            self.index.clear()
+            return
+        if was is not None and was != due:
+            self.handle.deleteTimer(was)
+        if was != due:
+            self.handle.registerTimer(due)
+        self.index.update((due, pickle.dumps(packs)))
+
+    def _hold(self, rows: list[Row], packs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Writes rows into new packs."""
+        rows.sort(key=lambda r: r["_us"])
+        free = max((number for _, number in packs), default=-1) + 1
+        new = []
+        for number, start in enumerate(range(0, len(rows), _PACK), free):
+            pack = rows[start : start + _PACK]
+            self.held.updateValue((number,), (pickle.dumps((pack[0].__fields__, [tuple(r) for r in pack])),))
+            new.append((pack[0]["_us"] // self.width, number))
+        return new
+
+    def _passed(self, packs: list[tuple[int, int]], last: int) -> Iterator[tuple[int, list[Row]]]:
+        """(slice, its rows) up to the slice ``last``, in order; then ``packs`` are those of the later rows."""
+        packs.sort(reverse=True)
+        rows: dict[int, list[Row]] = {}
+        slices: list[int] = []
+        while True:
+            if packs and packs[-1][0] <= (min(slices[0], last) if slices else last):
+                pack = (packs.pop()[1],)
+                fields, values = pickle.loads(self.held.getValue(pack)[0])
+                self.held.removeKey(pack)
+                named = Row(*fields)
+                for value in values:
+                    row = named(*value)
+                    number = row["_us"] // self.width
+                    if number not in rows:
+                        heapq.heappush(slices, number)
+                    rows.setdefault(number, []).append(row)
+            elif slices and slices[0] <= last:
+                number = heapq.heappop(slices)
+                yield number, rows.pop(number)
+            else:
+                break
+        if rows:
+            packs += self._hold([row for number in slices for row in rows[number]], packs)
 
     def _end(self, number: int) -> int:
         """The first millisecond after a slice."""
         return (number + 1) * self.width // 1000
 
+    def recall(self) -> None:
+        """Reads what the key knows, before its slices come."""
+
     def step(self, key, number: int, rows: list[Row], timerValues) -> Iterator[Row]:
         raise NotImplementedError
 
-    def passed(self, key, now: int) -> Iterator[Row]:
-        """The watermark has passed ``now`` (milliseconds), and all slices up to it are done."""
-        return iter(())
+    def keep(self, now: int) -> int | None:
+        """The watermark has passed ``now`` (milliseconds), and all slices up to it are done: keeps what the key
+        knows, and says when that ends."""
+        return None
 
     def close(self) -> None:
         pass
@@ -95,6 +161,20 @@ def _watched(stream: DataFrame, at: str, cut: Callable | None, schema: T.StructT
     return rows.withWatermark(at, delay)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fewer and larger batches: the larger, the fewer rows are left of each key and slice."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= 200_000 or size >= 32_000_000:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+    if rows:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _frame(batch: pa.RecordBatch, columns: Sequence[str]) -> pd.DataFrame:
     return pa.Table.from_batches([batch]).select(list(dict.fromkeys(columns))).to_pandas(types_mapper=pd.ArrowDtype)
 
@@ -102,6 +182,10 @@ def _frame(batch: pa.RecordBatch, columns: Sequence[str]) -> pd.DataFrame:
 # --- a seen-set that expires ---------------------------------------------------------------
 
 
+# Members that a lifetime has in memory before they go to the state store.
+_MEMBERS = 100_000
+
+
 class _ExpiringSet(InOrder):
     def __init__(self, columns: Sequence[str], member: str, order: Sequence[str], ttl: int):
         super().__init__(order, max(1, ttl // 2))
@@ -109,27 +193,52 @@ class _ExpiringSet(InOrder):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.life = handle.getValueState("life", "session bigint, last bigint")
+        self.life = handle.getValueState("life", "session bigint, last bigint, kept boolean")
         self.seen = handle.getMapState("seen", "member string", "there boolean")
 
+    def recall(self):
+        # ``kept``: are members of this lifetime in the state store; ``known``: members that need not be looked up there.
+        self.session, self.last, self.kept = self.life.get() if self.life.exists() else (0, None, False)
+        self.known, self.new = set(), set()
+
     def step(self, key, number, rows, timerValues):
-        session, last = self.life.get() if self.life.exists() else (0, rows[0]["_us"])
-        if rows[0]["_us"] - last > self.ttl:
-            session += 1
-            self.seen.clear()
+        if self.last is not None and rows[0]["_us"] - self.last > self.ttl:
+            self.session += 1
+            self._forget()
         for row in rows:
-            name = (repr(row[self.member]),)
-            if row["_member"] and not self.seen.containsKey(name):
-                self.seen.updateValue(name, (True,))
-                yield Row(**{c: row[c] for c in self.columns}, session=session)
-        last = rows[-1]["_us"]
-        self.life.update((session, last))
-        self.handle.registerTimer(self._end((last + self.ttl) // self.width))
-
-    def passed(self, key, now):
-        if self.life.exists() and now >= self._end((self.life.get()[1] + self.ttl) // self.width):
+            if not row["_member"] or (name := repr(row[self.member])) in self.known or name in self.new:
+                continue
+            if self.kept and self.seen.containsKey((name,)):
+                if len(self.known) < _MEMBERS:
+                    self.known.add(name)
+                continue
+            self.new.add(name)
+            if len(self.new) >= _MEMBERS:
+                self._write()
+            yield Row(**{c: row[c] for c in self.columns}, session=self.session)
+        self.last = rows[-1]["_us"]
+
+    def keep(self, now):
+        if self.last is None:
+            return None
+        due = self._end((self.last + self.ttl) // self.width)
+        if over := now >= due:
+            self._forget()
+        else:
+            self._write()
+        self.life.update((self.session, self.last, self.kept))
+        return None if over else due
+
+    def _forget(self) -> None:
+        if self.kept:
             self.seen.clear()
-        return iter(())
+        self.kept = False
+        self.known, self.new = set(), set()
+
+    def _write(self) -> None:
+        for name in self.new:
+            self.seen.updateValue((name,), (True,))
+        self.kept, self.new = self.kept or bool(self.new), set()
 
 
 def expiring_set_stream(
@@ -151,7 +260,7 @@ def expiring_set_stream(
     schema = T.StructType([*marked.schema.fields, T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             f = _frame(batch, [*owners, member, "_us", "_home", *order])
             f["_slice"] = f["_us"].astype("int64") // width
             f = f.sort_values(["_us", *order], kind="stable")
@@ -176,28 +285,33 @@ def expiring_set_stream(
 class _LongerOnly(InOrder):
     def __init__(self, columns: Sequence[str], order: Sequence[str], keep: int):
         super().__init__(order, max(1, keep // 2))
-        self.columns, self.keep = list(columns), keep * 1_000_000
+        self.columns, self.forget = list(columns), keep * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.best = handle.getValueState("best", "length bigint, last bigint")
 
+    def recall(self):
+        self.longest, self.last = self.best.get() if self.best.exists() else (-1, None)
+
     def step(self, key, number, rows, timerValues):
-        best, last = self.best.get() if self.best.exists() else (-1, rows[0]["_us"])
-        if rows[0]["_us"] - last > self.keep:
-            best = -1
+        if self.last is not None and rows[0]["_us"] - self.last > self.forget:
+            self.longest = -1
         for row in rows:
-            if row["_len"] > best:
-                best = row["_len"]
+            if row["_len"] > self.longest:
+                self.longest = row["_len"]
                 yield Row(**{c: row[c] for c in self.columns})
-        last = rows[-1]["_us"]
-        self.best.update((best, last))
-        self.handle.registerTimer(self._end((last + self.keep) // self.width))
+        self.last = rows[-1]["_us"]
 
-    def passed(self, key, now):
-        if self.best.exists() and now >= self._end((self.best.get()[1] + self.keep) // self.width):
+    def keep(self, now):
+        if self.last is None:
+            return None
+        due = self._end((self.last + self.forget) // self.width)
+        if now >= due:
             self.best.clear()
-        return iter(())
+            return None
+        self.best.update((self.longest, self.last))
+        return due
 
 
 def emit_longer_stream(stream: DataFrame, key: str, text: str, at: str, order: Sequence[str], keep: str, delay: str) -> DataFrame:
@@ -216,7 +330,7 @@ def emit_longer_stream(stream: DataFrame, key: str, text: str, at: str, order: S
     keyless = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             f = _frame(batch, [key, "_us", "_len", *order])
             f["_slice"] = f["_us"].astype("int64") // width
             f["_len"] = f["_len"].astype("int64")
