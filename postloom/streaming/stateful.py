@@ -399,8 +399,10 @@ class _Streaks(StatefulProcessor):
         self.until = handle.getMapState("until", "ms bigint", "ends array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentWatermarkInMs()
+        streak = self.streak.get()[0] if self.streak.exists() else 0
+        waiting: dict[int, list[int]] = {}
         for row in sorted(rows, key=lambda r: r["_slice"]):
-            streak = self.streak.get()[0] if self.streak.exists() else 0
             told = []
             for us in row["_lead"]:
                 streak += 1
@@ -411,15 +413,20 @@ class _Streaks(StatefulProcessor):
                     told.append((row["_first"], "end"))
                 streak = row["_tail"]
             told += [(e["us"], e["event"]) for e in row["_events"]]
-            self.streak.update((streak,))
             for us, event in told:
                 yield Row(**dict(zip(self.keys, key)), event=event, _us=us)
                 if self.seconds is not None:
                     end = us + self.seconds * 1_000_000
-                    due = (end // 1000 + 1,)
-                    held = list(self.until.getValue(due)[0]) if self.until.containsKey(due) else []
-                    self.until.updateValue(due, ([*held, end],))
-                    self.handle.registerTimer(due[0])
+                    if (due := end // 1000 + 1) <= now:
+                        # Its timer would go off at once.
+                        yield Row(**dict(zip(self.keys, key)), event="end", _us=end)
+                    else:
+                        waiting.setdefault(due, []).append(end)
+        self.streak.update((streak,))
+        for due, ends in waiting.items():
+            held = list(self.until.getValue((due,))[0]) if self.until.containsKey((due,)) else []
+            self.until.updateValue((due,), ([*held, *ends],))
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due = (expiredTimerInfo.getExpiryTimeInMs(),)

@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import Row
 
+from postloom.session import PARTITIONS, STATE_STORE, keyed_state
 from postloom.streaming import stateful
 
 KEY = ("k",)
@@ -162,3 +163,29 @@ def test_calls_do_not_grow_with_the_slices(name):
     assert len({r["_us"] // 30_000_000 for r in rows}) > 1000
     told, store = fed(make(), [(rows, 0), ([], END)])
     assert len(told) > 100 and store.calls < 40 and store.most == 1
+
+
+def test_cooldowns_that_are_over_need_no_timer():
+    slices = [Row(_slice=i, _lead=[i * 60_000_000 + j for j in range(3)], _first=i * 60_000_000 + 10, _events=[], _tail=0) for i in range(200)]
+    told, store = fed(stateful._Streaks(["k"], 3, 30), [(slices, 150 * 60_000)])
+    # A batch before the watermark passes the rest, whose ends wait for their timers.
+    assert sum(r["event"] == "end" for r in told) == 150 and sum(r["event"] == "start" for r in told) == 200
+    assert len(store.timers) == 50 and store.calls < 160
+    told, store = fed(stateful._Streaks(["k"], 3, 30), [(slices, 150 * 60_000), ([], END)])
+    assert sorted(r["_us"] for r in told if r["event"] == "end") == [r["_us"] + 30_000_000 for r in sorted((r for r in told if r["event"] == "start"), key=lambda r: r["_us"])]
+    assert not store.timers and not store.maps["until"]
+
+
+def test_keyed_state_has_no_more_partitions_than_cores(spark):
+    before = spark.conf.get(PARTITIONS), spark.conf.get(STATE_STORE)
+    try:
+        spark.conf.set(PARTITIONS, "200")
+        with keyed_state(spark):
+            assert int(spark.conf.get(PARTITIONS)) == max(8, spark.sparkContext.defaultParallelism)
+        assert spark.conf.get(PARTITIONS) == "200"
+        spark.conf.set(PARTITIONS, "2")
+        with keyed_state(spark):
+            assert spark.conf.get(PARTITIONS) == "2"
+    finally:
+        spark.conf.set(PARTITIONS, before[0])
+    assert (spark.conf.get(PARTITIONS), spark.conf.get(STATE_STORE)) == before
