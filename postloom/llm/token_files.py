@@ -37,6 +37,8 @@ from postloom.llm.words import pieces
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
+# Ids a task reads back, on average; never less than a file.
+READ_IDS = 1 << 21
 _TAIL = 7 * 8
 _MANIFEST = "part int, path string, n_ids bigint, n_docs bigint"
 _DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, path string"
@@ -167,7 +169,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int, ki
 
     Null ids come first; rows of equal id are told apart by a row number, so a repeated id is
     dealt over several tasks.  Null text is empty: its end id alone.  File sizes follow Spark's
-    advisory partition size.  An empty table gives no file, or empty ones.
+    advisory partition size.  An empty table gives no file, or empty ones.  The manifest, a row
+    per file, is gathered by a shuffle: Hadoop's writer costs a folder, two files and, on local
+    disks, a process forked off the executor for each, which many tasks of one row would all pay.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +194,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int, ki
     python_batches(docs.sparkSession)
     rows = numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     in_order = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "uid").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "uid")
-    return staged(in_order.mapInArrow(write, _MANIFEST), "manifest")
+    return staged(in_order.mapInArrow(write, _MANIFEST).repartition(1), "manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -208,8 +212,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "path"],
                 )
 
-    # A task per file: the rows are tiny, so adaptive coalescing must not gather them.
-    return files.select("path", "base").repartition(max(1, manifest.count())).mapInArrow(read, _DOCS)
+    # Tasks by the ids in the files: the rows are tiny, so adaptive coalescing must not gather them.
+    n, ids = manifest.agg(F.count("*"), F.coalesce(F.sum("n_ids"), F.lit(0))).first()
+    return files.select("path", "base").repartition(max(1, min(n, -(-ids // READ_IDS)))).mapInArrow(read, _DOCS)
 
 
 def token_file_round_trip(docs: DataFrame, tokenizer: str, end: int, kind: str = "byte") -> DataFrame:

@@ -110,6 +110,30 @@ def test_token_files(spark, make, kind):
     assert seen == sorted(seen, key=lambda x: (x[0], x[1] or 0))
 
 
+def test_many_small_files_share_a_manifest_file_and_read_tasks(spark, monkeypatch, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    docs = spark.createDataFrame([(i, f"text {i} of some") for i in range(120)], "doc_id bigint, text string")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        manifest = token_files.write_token_files(docs, f"file://{tmp_path}/ids", BYTE_BPE, 0)
+        files = manifest.count()
+        assert files > 4
+        assert len(manifest.inputFiles()) == 1
+        shared = token_files.read_token_files(manifest)
+        assert shared.rdd.getNumPartitions() == 1
+        monkeypatch.setattr(token_files, "READ_IDS", 1)
+        alone = token_files.read_token_files(manifest)
+        assert alone.rdd.getNumPartitions() == files
+        want = plain_ids(BYTE_BPE, [f"text {i} of some" for i in range(120)], 0)
+        for rows in (shared.collect(), alone.collect()):
+            assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in sorted(rows, key=lambda r: r.start)] == [(i, len(w), crc_of_ids(w)) for i, w in enumerate(want)]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_random_access(tmp_path, kind):
     ids = np.random.default_rng(3).integers(0, 1 << 20, 1000).astype("<u4")
