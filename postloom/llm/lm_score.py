@@ -4,8 +4,9 @@ S(w | context) is the count of context and w over the count of context where tha
 in another document, else 0.4 times S with a shorter context; a lone word has its share of
 all words.  Counts leave the scored document itself out, so no text vouches for itself.
 
-Texts are dealt into blocks of a few megabytes.  A block explodes into its distinct n-grams
-with their counts, split by hash into parts; a part joins the requests of all blocks, sums up
+Texts are dealt into blocks of a few megabytes.  To the JVM a block is one compressed value,
+and files of blocks have row groups of a few blocks, so that its memory does not depend on how
+much a task is given.  A block explodes into its distinct n-grams with their counts, split by hash into parts; a part joins the requests of all blocks, sums up
 its share of the count tables and answers each block in the order asked.  Blocks then
 look up their words and sum per document.  A frequent n-gram is one entry per block, however
 often it occurs, and parts grow in number, not in size, with the corpus.
@@ -31,27 +32,45 @@ BACKOFF = 0.4
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text per part of the count tables
 _LOW = np.uint64((1 << 48) - 1)
+# Fewest tasks that write the blocks, if the documents come in as many.
+MIN_FILES = 32
+# Parquet looks at the size of pages and row groups after every block, not only after each hundred.
+_CHECKS = {f"parquet.{kind}.size.row.check.{end}": "1" for kind in ("page", "block") for end in ("min", "max")}
+_ROW_GROUPS = {**_CHECKS, "parquet.block.size": str(4 * BLOCK_BYTES), "parquet.enable.dictionary": "false", "compression": "uncompressed"}
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_ids, texts, n_words and bytes: runs of rows of about BLOCK_BYTES."""
+    """block, docs (``_packed``), n_words and n_bytes: runs of rows of about BLOCK_BYTES."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for some in pieces(batch, limit=BLOCK_BYTES):
-                offsets = pa.array([0, some.num_rows], pa.int32())
-                texts, ids = some.column("text"), some.column("doc_id")
+                texts = some.column("text")
                 data, _ = text_bytes(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.ListArray.from_arrays(offsets, ids), pa.ListArray.from_arrays(offsets, texts), pa.array([len(words_of(texts).starts)]), pa.array([len(data)])],
-                    names=["block", "doc_ids", "texts", "n_words", "n_bytes"],
+                    [pa.array([number]), pa.array([_packed(some)], pa.binary()), pa.array([len(words_of(texts).starts)]), pa.array([len(data)])],
+                    names=["block", "docs", "n_words", "n_bytes"],
                 )
                 number += 1
 
     python_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return staged(rows.mapInArrow(deal, "block bigint, doc_ids array<bigint>, texts array<string>, n_words bigint, n_bytes bigint"), "blocks")
+    # Few files: where Hadoop has no native library, each forks children that look as large as their JVM.
+    rows = rows.coalesce(max(MIN_FILES, 4 * docs.sparkSession.sparkContext.defaultParallelism))
+    return staged(rows.mapInArrow(deal, "block bigint, docs binary, n_words bigint, n_bytes bigint"), "blocks", _ROW_GROUPS)
+
+
+def _packed(docs: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(docs)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(data) as rows:
+        return rows.read_next_batch()
 
 
 def _grams(w: Words, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -83,17 +102,13 @@ def _numbers(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
 
 
-def _texts(row) -> pa.Array:
-    return pa.array(list(row), pa.string())
-
-
 def _requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
     """block, part, the low 48 bits of the hashes asked for, and their counts in the block."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts")):
-                hashes, _, counts, first = _asked(_grams(words_of(texts.values), order), parts)
+            for block, docs in zip(batch.column("block").to_pylist(), batch.column("docs")):
+                hashes, _, counts, first = _asked(_grams(words_of(_unpacked(docs.as_buffer()).column("text")), order), parts)
                 low = (hashes & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 asked = np.flatnonzero(np.diff(first))
                 yield pa.RecordBatch.from_arrays(
@@ -105,7 +120,7 @@ def _requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                     names=["block", "part", "hashes", "counts"],
                 )
 
-    return blocks.select("block", "texts").mapInArrow(ask, "block bigint, part int, hashes binary, counts binary")
+    return blocks.select("block", "docs").mapInArrow(ask, "block bigint, part int, hashes binary, counts binary")
 
 
 def _answers(requests: DataFrame) -> DataFrame:
@@ -170,11 +185,11 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         out = []
         totals = [_numbers(t, "<u8") for t in told.sort_values("part")["totals"]]
         totals = np.concatenate(totals) if totals else np.zeros(0)
-        for doc_ids, texts in zip(held["doc_ids"], held["texts"]):
-            size_of, total = scores_of(_texts(texts), totals, n_words, order, parts)
-            ids = pd.array([None if i is None or i != i else int(i) for i in doc_ids], dtype="Int64")
+        for docs in map(_unpacked, held["docs"]):
+            size_of, total = scores_of(docs.column("text"), totals, n_words, order, parts)
+            ids = pd.array(docs.column("doc_id").to_pylist(), dtype="Int64")
             out.append(pd.DataFrame({"doc_id": ids, "n_words": size_of, "log_score": total}))
         return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_words": [], "log_score": []})
 
-    scored = blocks.select("block", "doc_ids", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, "doc_id bigint, n_words bigint, log_score double")
+    scored = blocks.select("block", "docs").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, "doc_id bigint, n_words bigint, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
