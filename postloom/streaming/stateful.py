@@ -11,6 +11,8 @@ batches keep, of each key and slice, only the rows that may matter.
 
 Every call of the state store is a message to the JVM.  So rows are held in packs, a key has one
 timer at a time, and what a key knows is read and written once for all slices that the watermark has passed.
+Every row that reaches a processor is taken apart in Python, too.  So where a few keys have all rows (one set in
+all), rows travel as compressed bytes, one value for each slice and batch, and are worked on as arrays.
 
 The streams need the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 """
@@ -19,16 +21,20 @@ from __future__ import annotations
 
 import heapq
 import pickle
+import struct
 import sys
 from collections.abc import Callable, Iterator, Sequence
-from itertools import islice
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from postloom.functions.text import strip
@@ -43,7 +49,7 @@ def _shipped(thing):
     return thing
 
 
-# Rows of a key sorted by time at once, and rows of such a run in one value of the state store.
+# Rows of a key sorted by time at once, and rows of such a run in one value of the state store (by ``InOrder.weight``).
 _RUN, _PACK = 20_000, 500
 
 
@@ -65,8 +71,7 @@ class InOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         due, packs = self._indexed()
-        rows = iter(rows)
-        while run := list(islice(rows, _RUN)):
+        for run in self._portions(rows, _RUN):
             packs += self._hold(run, packs)
         # A timer due by now goes off after this, with all that has come.
         self._wake(due, self._end(min(packs)[0]) if due is None else min(due, self._end(min(packs)[0])), packs)
@@ -105,8 +110,7 @@ class InOrder(StatefulProcessor):
         rows.sort(key=lambda r: r["_us"])
         free = max((number for _, number in packs), default=-1) + 1
         new = []
-        for number, start in enumerate(range(0, len(rows), _PACK), free):
-            pack = rows[start : start + _PACK]
+        for number, pack in enumerate(self._portions(rows, _PACK), free):
             self.held.updateValue((number,), (pickle.dumps((pack[0].__fields__, [tuple(r) for r in pack])),))
             new.append((pack[0]["_us"] // self.width, number))
         return new
@@ -136,6 +140,21 @@ class InOrder(StatefulProcessor):
         if rows:
             packs += self._hold([row for number in slices for row in rows[number]], packs)
 
+    def _portions(self, rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
+        held, weight = [], 0
+        for row in rows:
+            held.append(row)
+            weight += self.weight(row)
+            if weight >= size:
+                yield held
+                held, weight = [], 0
+        if held:
+            yield held
+
+    def weight(self, row: Row) -> int:
+        """How many rows one counts for where they are held."""
+        return 1
+
     def _end(self, number: int) -> int:
         """The first millisecond after a slice."""
         return (number + 1) * self.width // 1000
@@ -161,14 +180,14 @@ def _watched(stream: DataFrame, at: str, cut: Callable | None, schema: T.StructT
     return rows.withWatermark(at, delay)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gathered(batches: Iterator[pa.RecordBatch], most_rows: int = 200_000, most_bytes: int = 32_000_000) -> Iterator[pa.RecordBatch]:
     """Fewer and larger batches: the larger, the fewer rows are left of each key and slice."""
     held: list[pa.RecordBatch] = []
     rows = size = 0
     for batch in batches:
         held.append(batch)
         rows, size = rows + batch.num_rows, size + batch.nbytes
-        if rows >= 200_000 or size >= 32_000_000:
+        if rows >= most_rows or size >= most_bytes:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held, rows, size = [], 0, 0
     if rows:
@@ -241,6 +260,312 @@ class _ExpiringSet(InOrder):
         self.kept, self.new = self.kept or bool(self.new), set()
 
 
+# Rows worked on at once, members in one value of the state store, and bytes of a held row that count as one row.
+_CHUNK, _BUCKET, _ROW_BYTES = 200_000, 50_000, 2000
+
+
+def _is_bytes(kind: pa.DataType) -> bool:
+    return pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind)
+
+
+def _bytes_and_ends(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The values of a large binary array without nulls end to end, and where each ends, from 0 on."""
+    if not len(values):
+        return b"", np.zeros(1, dtype=np.int64)
+    ends = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return data[ends[0] : ends[-1]].to_pybytes() if data is not None else b"", ends - ends[0]
+
+
+@dataclass
+class _Flat:
+    """Rows as fixed-width records and, for each column of other types, the bytes of its values end to end."""
+
+    records: np.ndarray
+    tails: list[pa.Array]
+
+    def take(self, places: np.ndarray) -> _Flat:
+        return _Flat(self.records[places], [t.take(pa.array(places)) for t in self.tails])
+
+
+class _Layout:
+    """How rows of the given columns become ``_Flat``, and back.
+
+    Numbers, dates and times are fields of the record.  Strings and bytes have their length there; values of any
+    other type are pickled.  ``_us`` stands for the column of times, ``at``.
+    """
+
+    def __init__(self, columns: Sequence[str], types: Sequence[pa.DataType], at: str):
+        self.columns, self.types, self.at = list(columns), dict(zip(columns, types)), at
+        self.kept = [c for c in columns if c != at]
+        self.tails = [c for c in self.kept if self._width(c) is None]
+        fields = [(str(i), self._width(c) or "<u4") for i, c in enumerate(self.kept)]
+        self.dtype = np.dtype([("us", "<i8"), *fields, ("null", "u1", (-(-max(1, len(self.kept)) // 8),))])
+        self.head = f"<{3 + len(self.tails)}q"
+
+    def _width(self, column: str) -> str | None:
+        kind = self.types[column]
+        if pa.types.is_boolean(kind):
+            return "u1"
+        if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+            return np.dtype(kind.to_pandas_dtype()).str
+        if pa.types.is_timestamp(kind) or pa.types.is_duration(kind) or pa.types.is_date64(kind):
+            return "<i8"
+        return "<i4" if pa.types.is_date32(kind) else None
+
+    def _bytes_of(self, column: str, values: pa.Array) -> pa.Array:
+        if _is_bytes(self.types[column]):
+            return pc.fill_null(values.cast(pa.large_binary()), b"")
+        return pa.array([b"" if v is None else pickle.dumps(v) for v in values.to_pylist()], pa.large_binary())
+
+    def flat(self, batch: pa.RecordBatch, us: np.ndarray) -> _Flat:
+        records, tails = np.zeros(batch.num_rows, self.dtype), []
+        records["us"] = us
+        nulls = np.zeros((batch.num_rows, max(1, len(self.kept))), dtype=bool)
+        for i, c in enumerate(self.kept):
+            values = batch.column(c)
+            nulls[:, i] = values.is_null().to_numpy(zero_copy_only=False)
+            if (width := self._width(c)) is None:
+                tails.append(self._bytes_of(c, values))
+                records[str(i)] = pc.binary_length(tails[-1]).to_numpy(zero_copy_only=False)
+            else:
+                if not (pa.types.is_integer(values.type) or pa.types.is_floating(values.type)):
+                    values = values.cast(pa.uint8() if width == "u1" else pa.int32() if width == "<i4" else pa.int64())
+                records[str(i)] = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
+        records["null"] = np.packbits(nulls, axis=1)
+        return _Flat(records, tails)
+
+    def packed(self, rows: _Flat, bounds: np.ndarray, times: Iterator[tuple[int, int]]) -> Iterator[bytes]:
+        """The rows between each two bounds as one value: two times, their number, the sizes of tails, and the
+        records byte by byte of all rows, with the tails behind, compressed."""
+        width, codec = self.dtype.itemsize, pa.Codec("lz4_raw")
+        planes = rows.records.view(np.uint8).reshape(-1, width)
+        tails = [_bytes_and_ends(t) for t in rows.tails]
+        for begin, end, (first, last) in zip(bounds[:-1].tolist(), bounds[1:].tolist(), times):
+            parts = [data[ends[begin] : ends[end]] for data, ends in tails]
+            head = struct.pack(self.head, first, last, end - begin, *map(len, parts))
+            yield head + codec.compress(b"".join([planes[begin:end].T.tobytes(), *parts]), asbytes=True) if end > begin else head
+
+    def unpacked(self, values: Sequence[bytes]) -> _Flat:
+        """The rows of all values."""
+        width, codec, skip = self.dtype.itemsize, pa.Codec("lz4_raw"), struct.calcsize(self.head)
+        heads = [struct.unpack_from(self.head, v) for v in values]
+        records, at = np.empty((sum(h[2] for h in heads), width), dtype=np.uint8), 0
+        tails: list[list[bytes]] = [[] for _ in self.tails]
+        for value, (_, _, n, *sizes) in zip(values, heads):
+            if not n:
+                continue
+            data = codec.decompress(value[skip:], n * width + sum(sizes), asbytes=True)
+            records[at : at + n] = np.frombuffer(data, np.uint8, n * width).reshape(width, n).T
+            at, place = at + n, n * width
+            for tail, size in zip(tails, sizes):
+                tail.append(data[place : place + size])
+                place += size
+        records, found = records.reshape(-1).view(self.dtype), []
+        for c, parts in zip(self.tails, tails):
+            ends = np.cumsum(records[str(self.kept.index(c))], dtype=np.int64)
+            offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64).tobytes())
+            found.append(pa.Array.from_buffers(pa.large_binary(), len(records), [None, offsets, pa.py_buffer(b"".join(parts))]))
+        return _Flat(records, found)
+
+    def stored(self, column: str, rows: _Flat) -> pa.Array:
+        """A column as it is kept: numbers, or the bytes of values."""
+        if column == self.at:
+            return pa.array(np.ascontiguousarray(rows.records["us"]))
+        i = self.kept.index(column)
+        null = np.unpackbits(rows.records["null"], axis=1)[:, i].astype(bool)
+        if column in self.tails:
+            values = rows.tails[self.tails.index(column)]
+            return pc.if_else(pa.array(null), pa.scalar(None, pa.large_binary()), values) if null.any() else values
+        return pa.array(np.ascontiguousarray(rows.records[str(i)]), mask=null)
+
+    def column(self, column: str, rows: _Flat) -> pa.Array:
+        kind, values = self.types[column], self.stored(column, rows)
+        if column in self.tails and not _is_bytes(kind):
+            return pa.array([None if v is None else pickle.loads(v) for v in values.to_pylist()], kind)
+        return values.cast(kind)
+
+    def in_order(self, rows: _Flat, order: Sequence[str]) -> np.ndarray:
+        """Places of the rows by time and ``order``."""
+        return _in_order(rows.records["us"], lambda places: [self.column(c, rows.take(places)) for c in order])
+
+
+def _in_order(us: np.ndarray, ties: Callable[[np.ndarray], list[pa.Array]]) -> np.ndarray:
+    """Places by time; ``ties`` gives the further columns of order of some places, asked only for those of equal time."""
+    places = np.argsort(us, kind="stable")
+    equal = us[places][1:] == us[places][:-1]
+    if equal.any():
+        tied = np.flatnonzero(np.concatenate([[False], equal]) | np.concatenate([equal, [False]]))
+        some = places[tied]
+        further = ties(some)
+        if all(v.null_count == 0 and pa.types.is_integer(v.type) for v in further):
+            places[tied] = some[np.lexsort([*[v.to_numpy(zero_copy_only=False) for v in reversed(further)], us[some]])]
+            return places
+        columns = [pd.Series(us[some]), *[v.to_pandas(types_mapper=pd.ArrowDtype) for v in further]]
+        frame = pd.concat(columns, axis=1, keys=range(len(columns)))
+        places[tied] = some[frame.sort_values(list(frame.columns), kind="stable").index.to_numpy()]
+    return places
+
+
+def _first_of_each(group: np.ndarray, values: pa.Array) -> np.ndarray:
+    """Places, in order, at which a value comes for the first time in its group."""
+    found = values.dictionary_encode(null_encoding="encode")
+    codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    _, first = np.unique(group.astype(np.int64) * max(1, len(found.dictionary)) + codes, return_index=True)
+    return np.sort(first)
+
+
+class _FlatSet(InOrder):
+    """``_ExpiringSet`` over rows that hold the adds of a slice, and its first and last time, in ``_rows`` (``_Layout.packed``).
+
+    Members of the lifetime are kept in buckets by their hash, which split as it grows.
+    """
+
+    def __init__(self, layout: _Layout, member: str, order: Sequence[str], ttl: int):
+        super().__init__([], max(1, ttl // 2))
+        self.layout, self.member, self.by, self.ttl = layout, member, list(order), ttl * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.life = handle.getValueState("life", "session bigint, last bigint, members bigint, buckets bigint")
+        self.seen = handle.getMapState("seen", "bucket bigint", "members binary")
+
+    def weight(self, row):
+        return 1 + len(row["_rows"]) // _ROW_BYTES
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = Row("_us", "_last", "_n", "_rows")
+        return super().handleInputRows(key, (held(*struct.unpack_from(self.layout.head, r["_rows"])[:3], r["_rows"]) for r in rows), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        _, packs = self._indexed()
+        self.session, self.last, self.members, self.buckets = self.life.get() if self.life.exists() else (0, None, 0, 1)
+        held, slices, size = [], [], 0
+        for number, rows in self._passed(packs, now * 1000 // self.width - 1):
+            held += rows
+            slices += [number] * len(rows)
+            size += sum(r["_n"] for r in rows)
+            if size >= _CHUNK or len(held) >= _CHUNK:
+                yield from self._told(held, np.array(slices))
+                held, slices, size = [], [], 0
+        if held:
+            yield from self._told(held, np.array(slices))
+        ends = [t for t in (self.keep(now), self._end(min(packs)[0]) if packs else None) if t is not None]
+        self._wake(None, min(ends, default=None), packs)
+
+    def _told(self, held: list[Row], slices: np.ndarray) -> Iterator[Row]:
+        """The first adds among the rows of some slices in a run; ``slices`` are those of the rows, in order."""
+        numbers, begin = np.unique(slices, return_index=True)
+        first = np.minimum.reduceat(np.array([r["_us"] for r in held]), begin)
+        last = np.maximum.reduceat(np.array([r["_last"] for r in held]), begin)
+        # No gap within a slice is longer than the time to live.
+        before = np.concatenate([[first[0] if self.last is None else self.last], last[:-1]])
+        session = np.cumsum(first - before > self.ttl)
+        rows = self.layout.unpacked([r["_rows"] for r in held])
+        rows = rows.take(self.layout.in_order(rows, self.by))
+        of_row = session[np.searchsorted(numbers, rows.records["us"] // self.width)]
+        names = self.layout.stored(self.member, rows)
+        new = _first_of_each(of_row, names)
+        lived = of_row[new] == 0
+        if lived.any() and self.members:
+            lived[lived] = self._known(names.take(pa.array(new[lived])))
+            new = new[~lived]
+        if session[-1]:
+            self._forget()
+        self._add(names.take(pa.array(new[of_row[new] == session[-1]])))
+        if len(new):
+            sessions = pa.compress((self.session + of_row[new]).astype("<i8").tobytes(), "lz4_raw", asbytes=True)
+            yield Row(_rows=next(self.layout.packed(rows.take(new), np.array([0, len(new)]), iter([(0, 0)]))), _session=sessions)
+        self.session, self.last = self.session + int(session[-1]), int(last[-1])
+
+    def _by_bucket(self, names: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        if not len(names):
+            return
+        values = names.to_numpy(zero_copy_only=False) if names.null_count == 0 else pc.fill_null(names, b"" if pa.types.is_large_binary(names.type) else 0).to_numpy(zero_copy_only=False)
+        bucket = (pd.util.hash_array(values, categorize=False) & np.uint64(self.buckets - 1)).astype(np.int64)
+        places = np.argsort(bucket, kind="stable")
+        found, begin = np.unique(bucket[places], return_index=True)
+        yield from zip(found.tolist(), np.split(places, begin[1:]))
+
+    def _known(self, names: pa.Array) -> np.ndarray:
+        known = np.zeros(len(names), dtype=bool)
+        for bucket, places in self._by_bucket(names):
+            if self.seen.containsKey((bucket,)):
+                there = pickle.loads(self.seen.getValue((bucket,))[0])
+                known[places] = pc.is_in(names.take(pa.array(places)), value_set=there).to_numpy(zero_copy_only=False)
+        return known
+
+    def _add(self, names: pa.Array) -> None:
+        self.members += len(names)
+        while self.members > self.buckets * _BUCKET:
+            # A bucket splits into itself and one more.
+            self.buckets *= 2
+            for bucket in range(self.buckets // 2):
+                if self.seen.containsKey((bucket,)):
+                    there = pickle.loads(self.seen.getValue((bucket,))[0])
+                    self.seen.removeKey((bucket,))
+                    for part, places in self._by_bucket(there):
+                        self.seen.updateValue((part,), (pickle.dumps(there.take(pa.array(places))),))
+        for bucket, places in self._by_bucket(names):
+            some = names.take(pa.array(places))
+            if self.seen.containsKey((bucket,)):
+                some = pa.concat_arrays([pickle.loads(self.seen.getValue((bucket,))[0]), some])
+            self.seen.updateValue((bucket,), (pickle.dumps(some),))
+
+    def _forget(self) -> None:
+        if self.members:
+            self.seen.clear()
+        self.members, self.buckets = 0, 1
+
+    def keep(self, now):
+        if self.last is None:
+            return None
+        due = self._end((self.last + self.ttl) // self.width)
+        if over := now >= due:
+            self._forget()
+        self.life.update((self.session, self.last, self.members, self.buckets))
+        return None if over else due
+
+
+def _one_set_stream(marked: DataFrame, columns: list[str], member: str, at: str, ttl: int, order: list[str], delay: str, shards: int) -> DataFrame:
+    """``expiring_set_stream`` without owners: adds travel as bytes, all of a slice, shard and batch together."""
+    width = max(1, ttl // 2) * 1_000_000
+    order = [c for c in order if c != at]
+    layout = _Layout(columns, [to_arrow_type(marked.schema[c].dataType) for c in columns], at)
+    schema = T.StructType([T.StructField(at, T.TimestampType()), T.StructField("_shard", T.IntegerType()), T.StructField("_rows", T.BinaryType())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(batches, 500_000):
+            us = batch.column("_us").to_numpy(zero_copy_only=False)
+            places = _in_order(us, lambda some: [batch.column(c).take(pa.array(some)) for c in order])  # noqa: B023
+            numbers, begin, of_row = np.unique(us[places] // width, return_index=True, return_inverse=True)
+            first, last = us[places][begin], us[places][np.append(begin[1:], len(places)) - 1]
+            names = batch.column(member if member != at else "_us").take(pa.array(places))
+            new = _first_of_each(of_row, names)
+            cell = batch.column("_home").to_numpy(zero_copy_only=False)[places[new]].astype(np.int64) * len(numbers) + of_row[new]
+            new = places[new[np.argsort(cell, kind="stable")]]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=shards * len(numbers)))])
+            # Cells of a shard and slice, also those without a member: all shards learn of all adds.
+            rows, times = layout.flat(batch.take(pa.array(new)), us[new]), list(zip(first.tolist(), last.tolist()))
+            for shard in range(shards):
+                packs = pa.array(layout.packed(rows, ends[shard * len(numbers) : (shard + 1) * len(numbers) + 1], iter(times)), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(last).cast(pa.timestamp("us", tz="UTC")), pa.array(np.full(len(packs), shard, dtype=np.int32)), packs], names=[at, "_shard", "_rows"])
+
+    kept = _watched(marked, at, cut, schema, delay)
+    told = "_rows binary, _session binary"
+    found = kept.groupBy("_shard").transformWithState(_shipped(_FlatSet(layout, member, order, ttl)), told, "Append", "EventTime")
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed, sessions in zip(batch.column("_rows"), batch.column("_session")):
+                rows = layout.unpacked([packed.as_py()])
+                sessions = np.frombuffer(pa.decompress(sessions.as_py(), 8 * len(rows.records), "lz4_raw", asbytes=True), "<i8")
+                yield pa.RecordBatch.from_arrays([*[layout.column(c, rows) for c in columns], pa.array(sessions)], names=[*columns, "session"])
+
+    return found.mapInArrow(_shipped(rows_of), T.StructType([*[marked.schema[c] for c in columns], T.StructField("session", T.LongType())]))
+
+
 def expiring_set_stream(
     stream: DataFrame, member: str, at: str, ttl: str, order: Sequence[str], delay: str, owners: Sequence[str] = (), shards: int = 1
 ) -> DataFrame:
@@ -250,6 +575,7 @@ def expiring_set_stream(
     later than ``delay``; rows come out once the watermark has passed them.  State: an owner's members until
     the set expires, then two numbers.  A set with much traffic is spread over ``shards`` tasks by its
     members: of each slice the first and last add go to all of them, so all tell the same lifetimes.
+    Without owners a late row counts if a row of its slice and batch is not late; one of a slice that is over never does.
     """
     ttl_seconds = seconds_of(ttl)
     width = max(1, ttl_seconds // 2) * 1_000_000
@@ -257,6 +583,8 @@ def expiring_set_stream(
     marked = stream.withColumn("_us", F.unix_micros(F.col(at).cast("timestamp")))
     marked = marked.withColumn("_home", F.pmod(F.xxhash64(F.col(member)), F.lit(shards)).cast("int"))
     marked = marked.withColumn(at, F.col(at).cast("timestamp")).filter(F.col(at).isNotNull())
+    if not owners:
+        return _one_set_stream(marked, columns, member, at, ttl_seconds, order, delay, shards)
     schema = T.StructType([*marked.schema.fields, T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

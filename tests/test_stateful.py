@@ -1,8 +1,12 @@
 """The keyed processors over a state store that counts its calls, each of which is a message to the JVM."""
 
 import random
+from datetime import date
+from decimal import Decimal
 from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
@@ -189,3 +193,78 @@ def test_keyed_state_has_no_more_partitions_than_cores(spark):
     finally:
         spark.conf.set(PARTITIONS, before[0])
     assert (spark.conf.get(PARTITIONS), spark.conf.get(STATE_STORE)) == before
+
+
+LAYOUT = stateful._Layout(["i", "m", "at"], [pa.int64(), pa.string(), pa.timestamp("us", tz="UTC")], "at")
+
+
+def flat(rows, width_us, per_pack=5):
+    """The rows packed slice by slice, as the cut before the shuffle does, a few of them in each."""
+    slices = {}
+    for r in rows:
+        slices.setdefault(r["_us"] // width_us, []).append(r)
+    packs = []
+    for some in slices.values():
+        for start in range(0, len(some), per_pack):
+            part = some[start : start + per_pack]
+            us = np.array([r["_us"] for r in part])
+            batch = pa.RecordBatch.from_arrays([pa.array([r["i"] for r in part]), pa.array([r["m"] and str(r["m"]) for r in part], pa.string())], names=["i", "m"])
+            values = LAYOUT.packed(LAYOUT.flat(batch, us), np.array([0, len(part)]), iter([(int(us.min()), int(us.max()))]))
+            packs += [Row(_rows=v) for v in values]
+    return packs
+
+
+def told_rows(told):
+    out = []
+    for row in told:
+        rows = LAYOUT.unpacked([row["_rows"]])
+        sessions = np.frombuffer(pa.decompress(row["_session"], 8 * len(rows.records), "lz4_raw", asbytes=True), "<i8")
+        out += zip(LAYOUT.column("i", rows).to_pylist(), sessions.tolist())
+    return out
+
+
+@pytest.mark.parametrize("chunk, bucket, pack", [(200_000, 50_000, 500), (7, 2, 3)])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_set_of_flat_rows(monkeypatch, chunk, bucket, pack, parts):
+    """Lifetimes, members (a null is one) and what is left in the state, whatever is worked on at once."""
+    monkeypatch.setattr(stateful, "_CHUNK", chunk)
+    monkeypatch.setattr(stateful, "_BUCKET", bucket)
+    monkeypatch.setattr(stateful, "_PACK", pack)
+    monkeypatch.setattr(stateful, "_RUN", 7 * pack)
+    rows = [Row(i=r["i"], _us=r["_us"], m=r["m"] or None) for r in log(900, 60, 12)]
+    seen, want = set(), []
+    for session, r in lifetimes(rows, 600_000_000):
+        if (session, r["m"]) not in seen:
+            want.append((r["i"], session))
+        seen.add((session, r["m"]))
+    batches = [(flat(some, 300_000_000), watermark) for some, watermark in dealt(rows, parts, 300_000_000)]
+    told, store = fed(stateful._FlatSet(LAYOUT, "m", ["i"], 600), batches)
+    assert told_rows(told) == want and len(want) > 50
+    assert not store.timers and not store.maps["held"] and not store.maps["seen"] and not store.maps["index"]
+
+
+def test_calls_do_not_grow_with_the_members():
+    """20,000 members of one lifetime, told and then seen again: a few calls of the store."""
+    first = [Row(i=i, _us=i * 1000, m=i + 1) for i in range(20_000)]
+    again = [Row(i=20_000 + i, _us=60_000_000 + i * 1000, m=i + 1) for i in range(20_001)]
+    told, store = fed(stateful._FlatSet(LAYOUT, "m", ["i"], 60), [(flat(first, 30_000_000, 2000), 30_000), (flat(again, 30_000_000, 2000), 70_000)])
+    assert [i for i, _ in told_rows(told)] == list(range(20_000)) and store.calls < 60
+    told, store = fed(stateful._FlatSet(LAYOUT, "m", ["i"], 60), [(flat(first, 30_000_000, 2000), 30_000), (flat(again, 30_000_000, 2000), END)])
+    assert [i for i, _ in told_rows(told)] == [*range(20_000), 40_000] and store.calls < 60
+
+
+def test_flat_rows_come_back():
+    """Values of all kinds, with nulls, over several packs."""
+    columns = {
+        "at": pa.array([5, 1, 3], pa.timestamp("us", tz="UTC")), "s": pa.array(["ä", None, ""]), "d": pa.array([Decimal("1.50"), None, Decimal("-2.25")], pa.decimal128(9, 2)),
+        "l": pa.array([[1, None], None, []], pa.list_(pa.int32())), "b": pa.array([True, None, False]), "f": pa.array([0.5, None, -0.0]), "big": pa.array([2**62 + 1, None, -1]),
+        "day": pa.array([date(2024, 1, 2), None, date(1969, 1, 1)]), "ntz": pa.array([7, None, -7], pa.timestamp("us")), "raw": pa.array([b"\x00\xff", b"", None]), "tiny": pa.array([1, None, -1], pa.int8()),
+        **{f"n{i}": pa.array([None, i, None], pa.int32()) for i in range(9)},
+    }
+    layout = stateful._Layout(list(columns), [c.type for c in columns.values()], "at")
+    rows = layout.flat(pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)), np.array([5, 1, 3]))
+    packs = list(layout.packed(rows, np.array([0, 2, 2, 3]), iter([(1, 5), (2, 2), (3, 3)])))
+    back = layout.unpacked(packs)
+    for name, values in columns.items():
+        assert layout.column(name, back).to_pylist() == values.to_pylist() and layout.column(name, back).type == values.type, name
+    assert layout.in_order(back, ["s"]).tolist() == [1, 2, 0]

@@ -113,6 +113,22 @@ def test_expiring_sets(parts, tmp_path, owners, shards, ttl):
     assert 1 < got.count() < rows.count()
 
 
+def test_one_set_of_odd_rows(parts, tmp_path):
+    """Members of other types and null, equal times, columns of many types, ids that are null."""
+    rows, frames = parts
+    odd = lambda df: df.withColumns({
+        "ts": F.date_trunc("hour", "ts"), "member": F.when(F.col("user_id") % 5 > 0, F.concat(F.lit("ü"), (F.col("user_id") % 7).cast("string"))),
+        "price": F.when(F.col("event_id") % 3 > 0, (F.col("event_id") / 8).cast("decimal(12,2)")), "tags": F.when(F.col("event_id") % 4 > 0, F.array("outcome", F.lit(None))),
+        "day": F.when(F.col("event_id") % 2 > 0, F.to_date("ts")), "flag": F.when(F.col("event_id") % 6 > 0, F.col("event_id") % 2 > 0), "big": F.when(F.col("event_id") % 7 > 0, F.col("event_id") + F.lit(2**61)),
+    })
+    stream = odd(put(frames, tmp_path / "in"))
+    got, _ = all_of(stateful.expiring_set_stream(stream, "member", "ts", "4 hours", ["event_id"], DELAY, shards=3), tmp_path)
+    batch = arrivals.dedup_within_ttl(odd(rows), "member", "ts", "4 hours", [F.col(c) for c in BY_TIME]).withColumn("session", F.col("session").cast("bigint"))
+    told = lambda df: sorted(map(repr, df.filter("event_id >= 0").select(*sorted(batch.columns)).collect()))
+    assert told(got) == told(batch) and batch.select("session").distinct().count() >= 5
+    assert got.schema["price"].dataType == batch.schema["price"].dataType and batch.filter("member is null").count() > 1
+
+
 def test_rows_behind_the_watermark_change_nothing(parts, tmp_path):
     """Rows days late neither open a lifetime nor prolong one, and are counted as dropped."""
     rows, frames = parts
