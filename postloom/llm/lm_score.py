@@ -6,10 +6,11 @@ all words.  Counts leave the scored document itself out, so no text vouches for
 
 Texts are dealt into blocks of a few megabytes.  To the JVM a block is one compressed value,
 and files of blocks have row groups of a few blocks, so that its memory does not depend on how
-much a task is given.  A block explodes into its distinct n-grams with their counts, split by hash into parts; a part joins the requests of all blocks, sums up
-its share of the count tables and answers each block in the order asked.  Blocks then
-look up their words and sum per document.  A frequent n-gram is one entry per block, however
-often it occurs, and parts grow in number, not in size, with the corpus.
+much a task is given.  A block explodes into its distinct n-grams with their counts, split by
+hash into parts; a part joins the requests of all blocks, sums up its share of the count tables
+and answers each block in the order asked.  Blocks then look up their words and sum per
+document.  A frequent n-gram is one entry per block, however often it occurs, and parts grow
+in number, not in size, with the corpus.
 """
 
 from __future__ import annotations
