@@ -566,8 +566,26 @@ def _one_set_stream(marked: DataFrame, columns: list[str], member: str, at: str,
     return found.mapInArrow(_shipped(rows_of), T.StructType([*[marked.schema[c] for c in columns], T.StructField("session", T.LongType())]))
 
 
+def _firsts_and_ends(batch: pa.RecordBatch, sent: Sequence[str], owners: Sequence[str], member: str, order: Sequence[str], width: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """For each shard the first row of its members in every slice of an owner, and the first and last row of the slice; a row that is both goes once."""
+    f = _frame(batch, [*owners, member, "_us", "_home", *order])
+    f["_slice"] = f["_us"].astype("int64") // width
+    f = f.sort_values(["_us", *order], kind="stable")
+    of_slice = [*owners, "_slice"]
+    first = ~f.duplicated([*of_slice, member]).to_numpy()
+    end = ~(f.duplicated(of_slice) & f.duplicated(of_slice, keep="last")).to_numpy()
+    home, places = f["_home"].to_numpy(dtype="int64"), f.index.to_numpy()
+    for shard in range(shards):
+        is_member = first & (home == shard)
+        kept = is_member | end
+        rows = batch.select(list(sent)).take(pa.array(places[kept], pa.int64()))
+        extra = [pa.array(np.full(rows.num_rows, shard, dtype=np.int32)), pa.array(is_member[kept])]
+        yield pa.RecordBatch.from_arrays([*rows.columns, *extra], schema=pa.schema([*rows.schema, ("_shard", pa.int32()), ("_member", pa.bool_())]))
+
+
 def expiring_set_stream(
-    stream: DataFrame, member: str, at: str, ttl: str, order: Sequence[str], delay: str, owners: Sequence[str] = (), shards: int = 1
+    stream: DataFrame, member: str, at: str, ttl: str, order: Sequence[str], delay: str, owners: Sequence[str] = (), shards: int = 1,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The first row of each member within each lifetime of a set that every add keeps alive, and ``session``, the lifetime's number.
 
@@ -576,30 +594,23 @@ def expiring_set_stream(
     the set expires, then two numbers.  A set with much traffic is spread over ``shards`` tasks by its
     members: of each slice the first and last add go to all of them, so all tell the same lifetimes.
     Without owners a late row counts if a row of its slice and batch is not late; one of a slice that is over never does.
+    Of the rows ``columns`` are told (all); one that neither they nor the set need does not travel.
     """
     ttl_seconds = seconds_of(ttl)
     width = max(1, ttl_seconds // 2) * 1_000_000
-    columns, owners, order = stream.columns, list(owners), list(order)
-    marked = stream.withColumn("_us", F.unix_micros(F.col(at).cast("timestamp")))
+    columns, owners, order = list(stream.columns if columns is None else columns), list(owners), list(order)
+    needed = [c for c in stream.columns if c in {*columns, *owners, member, at, *order}]
+    marked = stream.select(*needed).withColumn("_us", F.unix_micros(F.col(at).cast("timestamp")))
     marked = marked.withColumn("_home", F.pmod(F.xxhash64(F.col(member)), F.lit(shards)).cast("int"))
     marked = marked.withColumn(at, F.col(at).cast("timestamp")).filter(F.col(at).isNotNull())
     if not owners:
-        return _one_set_stream(marked, columns, member, at, ttl_seconds, order, delay, shards)
-    schema = T.StructType([*marked.schema.fields, T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
+        return _one_set_stream(marked, needed, member, at, ttl_seconds, order, delay, shards).select(*columns, "session")
+    sent = [*needed, "_us"]
+    schema = T.StructType([*[marked.schema[c] for c in sent], T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            f = _frame(batch, [*owners, member, "_us", "_home", *order])
-            f["_slice"] = f["_us"].astype("int64") // width
-            f = f.sort_values(["_us", *order], kind="stable")
-            first = f.drop_duplicates([*owners, "_slice", member])
-            ends = pd.concat([f.drop_duplicates([*owners, "_slice"], keep=k) for k in ("first", "last")])
-            parts = [(first.index.to_numpy(), first["_home"].astype("int32").to_numpy(), True)]
-            parts += [(ends.index.to_numpy(), [shard] * len(ends), False) for shard in range(shards)]
-            for place, shard, is_member in parts:
-                rows = batch.take(pa.array(place, pa.int64()))
-                extra = [pa.array(shard, pa.int32()), pa.array([is_member] * len(place), pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *extra], schema=pa.schema([*rows.schema, ("_shard", pa.int32()), ("_member", pa.bool_())]))
+            yield from _firsts_and_ends(batch, sent, owners, member, order, width, shards)
 
     kept = _watched(marked, at, cut, schema, delay)
     out = T.StructType([*[kept.schema[c] for c in columns], T.StructField("session", T.LongType())])

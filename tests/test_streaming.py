@@ -141,6 +141,52 @@ def test_rows_behind_the_watermark_change_nothing(parts, tmp_path):
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress) > 10
 
 
+def shuffled(monkeypatch, build):
+    """The rows that a keyed stream, built over a table, deals out by key."""
+    found, watched = [], stateful._watched
+
+    def noted(rows, at, cut, schema, delay):
+        found.append(rows.mapInArrow(stateful._shipped(cut), schema))
+        return watched(rows, at, cut, schema, delay)
+
+    monkeypatch.setattr(stateful, "_watched", noted)
+    build()
+    return found[0]
+
+
+ODD_ADDS = [
+    (i, f"2024-01-01 0{i % 4 * 2}:{i % 7:02d}:00", None if i % 5 == 0 else i % 3, None if i % 4 == 0 else "xyz"[i % 3], "a page of text") for i in range(60)
+]
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_adds_of_owners_travel_once(spark, monkeypatch, shards):
+    """A shard gets each row once, whether it is a first of its member, an end of its slice or both; null owners and members too."""
+    adds = spark.createDataFrame([*ODD_ADDS, *ODD_ADDS[:9]], "i int, ts string, owner int, member string, text string").withColumn("ts", F.to_timestamp("ts")).coalesce(1)
+    told = lambda: stateful.expiring_set_stream(adds, "member", "ts", "12 hours", ["i"], DELAY, ["owner"], shards, columns=["i", "member"])
+    rows = shuffled(monkeypatch, told)
+    assert {"i", "ts", "owner", "member", "_shard", "_member"} <= set(rows.columns) and not {"text", "_home"} & set(rows.columns)
+    got = rows.collect()
+    slices = {}
+    for r in sorted(adds.collect(), key=lambda r: (r.ts, r.i)):
+        slices.setdefault((r.owner, r.ts.hour // 6), []).append(r)
+    firsts = sorted(i for some in slices.values() for i in {r.member: r.i for r in reversed(some)}.values())
+    ends = {i for some in slices.values() for i in (some[0].i, some[-1].i)}
+    assert sorted(r.i for r in got if r._member) == firsts
+    for shard in range(shards):
+        kept = [r for r in got if r._shard == shard]
+        assert sorted(r.i for r in kept) == sorted({*ends, *(r.i for r in kept if r._member)})
+
+
+def test_columns_that_are_told(parts, tmp_path):
+    rows, frames = parts
+    stream = put(frames, tmp_path / "in")
+    got, _ = all_of(stateful.expiring_set_stream(stream, "board", "ts", "12 hours", ["event_id"], DELAY, ["user_id"], 2, columns=["event_id"]), tmp_path)
+    batch = arrivals.dedup_within_ttl(rows, "board", "ts", "12 hours", [F.col(c) for c in BY_TIME], owners=["user_id"])
+    assert got.columns == ["event_id", "session"]
+    assert ids(got.filter("event_id >= 0"), "session") == ids(batch.withColumn("session", F.col("session").cast("bigint")), "session")
+
+
 def test_emit_if_longer(parts, tmp_path):
     """Also a key that comes back after it was forgotten; the state holds no more than the live keys."""
     rows, frames = parts
