@@ -25,6 +25,8 @@ import struct
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -52,17 +54,28 @@ def _shipped(thing):
 # Rows of a key sorted by time at once, and rows of such a run in one value of the state store (by ``InOrder.weight``).
 _RUN, _PACK = 20_000, 500
 
+_EPOCH, _MICROSECOND = datetime(1970, 1, 1, tzinfo=timezone.utc), timedelta(microseconds=1)
+
+
+def _values_at(places: Sequence[int]) -> Callable[[tuple], tuple]:
+    """A function that gives the values at some places of a tuple as a tuple."""
+    return itemgetter(*places) if len(places) > 1 else itemgetter(slice(places[0], places[0] + 1))
+
 
 class InOrder(StatefulProcessor):
     """Holds rows and hands over slices of time, each sorted, once the watermark has passed them.
 
-    Rows carry ``_us``, their event time in microseconds.  ``width`` is the length of a slice in seconds.
+    Rows carry ``_us``, their event time in microseconds, or ``at``, a timestamp.  ``width`` is the length of a slice in seconds.
+    They are held as plain tuples of the ``fields``, ``_us`` first: a ``Row`` searches its names at every look into it,
+    and columns that no step needs are not kept.
     Rows come in runs; of a run sorted by time every pack is a value of its own, and the index says with which
     slice it begins.  So of a long log only packs that overlap are in memory together.
     """
 
-    def __init__(self, order: Sequence[str], width: int):
-        self.order, self.width = list(order), width * 1_000_000
+    def __init__(self, needed: Sequence[str], order: Sequence[str], width: int, at: str | None = None):
+        self.fields = ["_us", *[c for c in dict.fromkeys([*needed, *order]) if c != "_us"]]
+        self.by = itemgetter(0, *[self.fields.index(c) for c in order])
+        self.width, self.at = width * 1_000_000, at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -71,7 +84,7 @@ class InOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         due, packs = self._indexed()
-        for run in self._portions(rows, _RUN):
+        for run in self._portions(self._plain(rows), _RUN):
             packs += self._hold(run, packs)
         # A timer due by now goes off after this, with all that has come.
         self._wake(due, self._end(min(packs)[0]) if due is None else min(due, self._end(min(packs)[0])), packs)
@@ -82,11 +95,23 @@ class InOrder(StatefulProcessor):
         _, packs = self._indexed()
         self.recall()
         for number, rows in self._passed(packs, now * 1000 // self.width - 1):
-            rows.sort(key=lambda r: (r["_us"], *[r[c] for c in self.order]))
+            rows.sort(key=self.by)
             yield from self.step(key, number, rows, timerValues)
         ends = [t for t in (self.keep(now), self._end(min(packs)[0]) if packs else None) if t is not None]
         self._wake(None, min(ends, default=None), packs)
 
+    def _plain(self, rows: Iterator[Row]) -> Iterator[tuple]:
+        """The ``fields`` of rows, all of one schema."""
+        for n, row in enumerate(rows):
+            if not n:
+                time, values_of = row.__fields__.index(self.at or "_us"), _values_at([row.__fields__.index(c) for c in self.fields[1:]])
+            values = tuple(row)
+            us = values[time] if self.at is None else (values[time] - _EPOCH) // _MICROSECOND
+            yield (us, *values_of(values))
+
+    def _places(self, columns: Sequence[str]) -> list[int]:
+        return [self.fields.index(c) for c in columns]
+
     def _indexed(self) -> tuple[int | None, list[tuple[int, int]]]:
         """When the key's timer goes off, and its packs as (first slice, number)."""
         if not self.index.exists():
@@ -105,30 +130,31 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(due)
         self.index.update((due, pickle.dumps(packs)))
 
-    def _hold(self, rows: list[Row], packs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    def _hold(self, rows: list[tuple], packs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """Writes rows into new packs."""
-        rows.sort(key=lambda r: r["_us"])
+        rows.sort(key=itemgetter(0))
         free = max((number for _, number in packs), default=-1) + 1
         new = []
         for number, pack in enumerate(self._portions(rows, _PACK), free):
-            self.held.updateValue((number,), (pickle.dumps((pack[0].__fields__, [tuple(r) for r in pack])),))
-            new.append((pack[0]["_us"] // self.width, number))
+            self.held.updateValue((number,), (pickle.dumps((self.fields, pack)),))
+            new.append((pack[0][0] // self.width, number))
         return new
 
-    def _passed(self, packs: list[tuple[int, int]], last: int) -> Iterator[tuple[int, list[Row]]]:
+    def _passed(self, packs: list[tuple[int, int]], last: int) -> Iterator[tuple[int, list[tuple]]]:
         """(slice, its rows) up to the slice ``last``, in order; then ``packs`` are those of the later rows."""
         packs.sort(reverse=True)
-        rows: dict[int, list[Row]] = {}
+        rows: dict[int, list[tuple]] = {}
         slices: list[int] = []
         while True:
             if packs and packs[-1][0] <= (min(slices[0], last) if slices else last):
                 pack = (packs.pop()[1],)
                 fields, values = pickle.loads(self.held.getValue(pack)[0])
                 self.held.removeKey(pack)
-                named = Row(*fields)
-                for value in values:
-                    row = named(*value)
-                    number = row["_us"] // self.width
+                if fields != self.fields:
+                    # A pack of before a change of the fields.
+                    values = map(_values_at([fields.index(c) for c in self.fields]), values)
+                for row in values:
+                    number = row[0] // self.width
                     if number not in rows:
                         heapq.heappush(slices, number)
                     rows.setdefault(number, []).append(row)
@@ -140,7 +166,7 @@ class InOrder(StatefulProcessor):
         if rows:
             packs += self._hold([row for number in slices for row in rows[number]], packs)
 
-    def _portions(self, rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
+    def _portions(self, rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
         held, weight = [], 0
         for row in rows:
             held.append(row)
@@ -151,7 +177,7 @@ class InOrder(StatefulProcessor):
         if held:
             yield held
 
-    def weight(self, row: Row) -> int:
+    def weight(self, row: tuple) -> int:
         """How many rows one counts for where they are held."""
         return 1
 
@@ -162,7 +188,7 @@ class InOrder(StatefulProcessor):
     def recall(self) -> None:
         """Reads what the key knows, before its slices come."""
 
-    def step(self, key, number: int, rows: list[Row], timerValues) -> Iterator[Row]:
+    def step(self, key, number: int, rows: list[tuple], timerValues) -> Iterator[Row]:
         raise NotImplementedError
 
     def keep(self, now: int) -> int | None:
@@ -194,8 +220,11 @@ def _gathered(batches: Iterator[pa.RecordBatch], most_rows: int = 200_000, most_
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _frame(batch: pa.RecordBatch, columns: Sequence[str]) -> pd.DataFrame:
-    return pa.Table.from_batches([batch]).select(list(dict.fromkeys(columns))).to_pandas(types_mapper=pd.ArrowDtype)
+def _frame(batch: pa.RecordBatch, at: str, columns: Sequence[str]) -> pd.DataFrame:
+    """Some columns of a batch, and ``_us``, the time ``at`` in microseconds."""
+    f = pa.Table.from_batches([batch]).select(list(dict.fromkeys(columns))).to_pandas(types_mapper=pd.ArrowDtype)
+    f["_us"] = batch.column(at).cast(pa.timestamp("us", tz="UTC")).cast(pa.int64()).to_numpy(zero_copy_only=False)
+    return f
 
 
 # --- a seen-set that expires ---------------------------------------------------------------
@@ -206,12 +235,13 @@ _MEMBERS = 100_000
 
 
 class _ExpiringSet(InOrder):
-    def __init__(self, columns: Sequence[str], member: str, order: Sequence[str], ttl: int):
-        super().__init__(order, max(1, ttl // 2))
+    def __init__(self, columns: Sequence[str], member: str, order: Sequence[str], ttl: int, at: str | None = None):
+        super().__init__([*columns, member, "_member"], order, max(1, ttl // 2), at)
         self.columns, self.member, self.ttl = list(columns), member, ttl * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
+        self.told, self.values_of = Row(*self.columns, "session"), _values_at(self._places(self.columns))
         self.life = handle.getValueState("life", "session bigint, last bigint, kept boolean")
         self.seen = handle.getMapState("seen", "member string", "there boolean")
 
@@ -221,11 +251,12 @@ class _ExpiringSet(InOrder):
         self.known, self.new = set(), set()
 
     def step(self, key, number, rows, timerValues):
-        if self.last is not None and rows[0]["_us"] - self.last > self.ttl:
+        if self.last is not None and rows[0][0] - self.last > self.ttl:
             self.session += 1
             self._forget()
+        member, is_member = self._places([self.member, "_member"])
         for row in rows:
-            if not row["_member"] or (name := repr(row[self.member])) in self.known or name in self.new:
+            if not row[is_member] or (name := repr(row[member])) in self.known or name in self.new:
                 continue
             if self.kept and self.seen.containsKey((name,)):
                 if len(self.known) < _MEMBERS:
@@ -234,8 +265,8 @@ class _ExpiringSet(InOrder):
             self.new.add(name)
             if len(self.new) >= _MEMBERS:
                 self._write()
-            yield Row(**{c: row[c] for c in self.columns}, session=self.session)
-        self.last = rows[-1]["_us"]
+            yield self.told(*self.values_of(row), self.session)
+        self.last = rows[-1][0]
 
     def keep(self, now):
         if self.last is None:
@@ -422,7 +453,7 @@ class _FlatSet(InOrder):
     """
 
     def __init__(self, layout: _Layout, member: str, order: Sequence[str], ttl: int):
-        super().__init__([], max(1, ttl // 2))
+        super().__init__(["_last", "_n", "_rows"], [], max(1, ttl // 2))
         self.layout, self.member, self.by, self.ttl = layout, member, list(order), ttl * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -431,11 +462,11 @@ class _FlatSet(InOrder):
         self.seen = handle.getMapState("seen", "bucket bigint", "members binary")
 
     def weight(self, row):
-        return 1 + len(row["_rows"]) // _ROW_BYTES
+        return 1 + len(row[3]) // _ROW_BYTES
 
-    def handleInputRows(self, key, rows, timerValues):
-        held = Row("_us", "_last", "_n", "_rows")
-        return super().handleInputRows(key, (held(*struct.unpack_from(self.layout.head, r["_rows"])[:3], r["_rows"]) for r in rows), timerValues)
+    def _plain(self, rows):
+        for row in rows:
+            yield (*struct.unpack_from(self.layout.head, row["_rows"])[:3], row["_rows"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -445,7 +476,7 @@ class _FlatSet(InOrder):
         for number, rows in self._passed(packs, now * 1000 // self.width - 1):
             held += rows
             slices += [number] * len(rows)
-            size += sum(r["_n"] for r in rows)
+            size += sum(n for _, _, n, _ in rows)
             if size >= _CHUNK or len(held) >= _CHUNK:
                 yield from self._told(held, np.array(slices))
                 held, slices, size = [], [], 0
@@ -454,15 +485,15 @@ class _FlatSet(InOrder):
         ends = [t for t in (self.keep(now), self._end(min(packs)[0]) if packs else None) if t is not None]
         self._wake(None, min(ends, default=None), packs)
 
-    def _told(self, held: list[Row], slices: np.ndarray) -> Iterator[Row]:
+    def _told(self, held: list[tuple], slices: np.ndarray) -> Iterator[Row]:
         """The first adds among the rows of some slices in a run; ``slices`` are those of the rows, in order."""
         numbers, begin = np.unique(slices, return_index=True)
-        first = np.minimum.reduceat(np.array([r["_us"] for r in held]), begin)
-        last = np.maximum.reduceat(np.array([r["_last"] for r in held]), begin)
+        first = np.minimum.reduceat(np.array([us for us, _, _, _ in held]), begin)
+        last = np.maximum.reduceat(np.array([at for _, at, _, _ in held]), begin)
         # No gap within a slice is longer than the time to live.
         before = np.concatenate([[first[0] if self.last is None else self.last], last[:-1]])
         session = np.cumsum(first - before > self.ttl)
-        rows = self.layout.unpacked([r["_rows"] for r in held])
+        rows = self.layout.unpacked([packed for _, _, _, packed in held])
         rows = rows.take(self.layout.in_order(rows, self.by))
         of_row = session[np.searchsorted(numbers, rows.records["us"] // self.width)]
         names = self.layout.stored(self.member, rows)
@@ -566,10 +597,10 @@ def _one_set_stream(marked: DataFrame, columns: list[str], member: str, at: str,
     return found.mapInArrow(_shipped(rows_of), T.StructType([*[marked.schema[c] for c in columns], T.StructField("session", T.LongType())]))
 
 
-def _firsts_and_ends(batch: pa.RecordBatch, sent: Sequence[str], owners: Sequence[str], member: str, order: Sequence[str], width: int, shards: int) -> Iterator[pa.RecordBatch]:
+def _firsts_and_ends(batch: pa.RecordBatch, sent: Sequence[str], owners: Sequence[str], member: str, at: str, order: Sequence[str], width: int, shards: int) -> Iterator[pa.RecordBatch]:
     """For each shard the first row of its members in every slice of an owner, and the first and last row of the slice; a row that is both goes once."""
-    f = _frame(batch, [*owners, member, "_us", "_home", *order])
-    f["_slice"] = f["_us"].astype("int64") // width
+    f = _frame(batch, at, [*owners, member, "_home", *order])
+    f["_slice"] = f["_us"] // width
     f = f.sort_values(["_us", *order], kind="stable")
     of_slice = [*owners, "_slice"]
     first = ~f.duplicated([*of_slice, member]).to_numpy()
@@ -600,21 +631,20 @@ def expiring_set_stream(
     width = max(1, ttl_seconds // 2) * 1_000_000
     columns, owners, order = list(stream.columns if columns is None else columns), list(owners), list(order)
     needed = [c for c in stream.columns if c in {*columns, *owners, member, at, *order}]
-    marked = stream.select(*needed).withColumn("_us", F.unix_micros(F.col(at).cast("timestamp")))
-    marked = marked.withColumn("_home", F.pmod(F.xxhash64(F.col(member)), F.lit(shards)).cast("int"))
+    marked = stream.select(*needed).withColumn("_home", F.pmod(F.xxhash64(F.col(member)), F.lit(shards)).cast("int"))
     marked = marked.withColumn(at, F.col(at).cast("timestamp")).filter(F.col(at).isNotNull())
     if not owners:
+        marked = marked.withColumn("_us", F.unix_micros(at))
         return _one_set_stream(marked, needed, member, at, ttl_seconds, order, delay, shards).select(*columns, "session")
-    sent = [*needed, "_us"]
-    schema = T.StructType([*[marked.schema[c] for c in sent], T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
+    schema = T.StructType([*[marked.schema[c] for c in needed], T.StructField("_shard", T.IntegerType()), T.StructField("_member", T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            yield from _firsts_and_ends(batch, sent, owners, member, order, width, shards)
+            yield from _firsts_and_ends(batch, needed, owners, member, at, order, width, shards)
 
     kept = _watched(marked, at, cut, schema, delay)
     out = T.StructType([*[kept.schema[c] for c in columns], T.StructField("session", T.LongType())])
-    processor = _shipped(_ExpiringSet(columns, member, order, ttl_seconds))
+    processor = _shipped(_ExpiringSet(columns, member, order, ttl_seconds, at))
     return kept.groupBy(*owners, "_shard").transformWithState(processor, out, "Append", "EventTime")
 
 
@@ -622,25 +652,27 @@ def expiring_set_stream(
 
 
 class _LongerOnly(InOrder):
-    def __init__(self, columns: Sequence[str], order: Sequence[str], keep: int):
-        super().__init__(order, max(1, keep // 2))
+    def __init__(self, columns: Sequence[str], order: Sequence[str], keep: int, at: str | None = None):
+        super().__init__([*columns, "_len"], order, max(1, keep // 2), at)
         self.columns, self.forget = list(columns), keep * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
+        self.told, self.values_of = Row(*self.columns), _values_at(self._places(self.columns))
         self.best = handle.getValueState("best", "length bigint, last bigint")
 
     def recall(self):
         self.longest, self.last = self.best.get() if self.best.exists() else (-1, None)
 
     def step(self, key, number, rows, timerValues):
-        if self.last is not None and rows[0]["_us"] - self.last > self.forget:
+        if self.last is not None and rows[0][0] - self.last > self.forget:
             self.longest = -1
+        (length,) = self._places(["_len"])
         for row in rows:
-            if row["_len"] > self.longest:
-                self.longest = row["_len"]
-                yield Row(**{c: row[c] for c in self.columns})
-        self.last = rows[-1]["_us"]
+            if row[length] > self.longest:
+                self.longest = row[length]
+                yield self.told(*self.values_of(row))
+        self.last = rows[-1][0]
 
     def keep(self, now):
         if self.last is None:
@@ -653,25 +685,29 @@ class _LongerOnly(InOrder):
         return due
 
 
-def emit_longer_stream(stream: DataFrame, key: str, text: str, at: str, order: Sequence[str], keep: str, delay: str) -> DataFrame:
+def emit_longer_stream(
+    stream: DataFrame, key: str, text: str, at: str, order: Sequence[str], keep: str, delay: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Rows whose text is longer than any earlier text of the key in its lifetime.
 
     A key that has no row for longer than ``keep`` is forgotten; when it comes back, it starts anew and
     its first row passes.  Equals ``arrivals.emit_if_longer_live``.  State: two numbers per live key.
     Rows without a key all pass, at once; rows without a time are dropped.
+    Of the rows ``columns`` are told (all); of a text that is not among them only the length travels.
     """
     keep_seconds = seconds_of(keep)
     width = max(1, keep_seconds // 2) * 1_000_000
-    columns, order = stream.columns, list(order)
-    marked = stream.withColumn(at, F.col(at).cast("timestamp")).filter(F.col(at).isNotNull()).withColumns(
-        {"_us": F.unix_micros(F.col(at).cast("timestamp")), "_len": F.length(strip(F.coalesce(F.col(text), F.lit("")))).cast("long")}
+    columns, order = list(stream.columns if columns is None else columns), list(order)
+    marked = stream.withColumn(at, F.col(at).cast("timestamp")).filter(F.col(at).isNotNull()).withColumn(
+        "_len", F.length(strip(F.coalesce(F.col(text), F.lit("")))).cast("long")
     )
     keyless = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
+    keyed = marked.filter(~keyless).select(*[c for c in stream.columns if c in {*columns, key, at, *order}], "_len")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            f = _frame(batch, [key, "_us", "_len", *order])
-            f["_slice"] = f["_us"].astype("int64") // width
+            f = _frame(batch, at, [key, "_len", *order])
+            f["_slice"] = f["_us"] // width
             f["_len"] = f["_len"].astype("int64")
             f = f.sort_values(["_us", *order], kind="stable")
             group = [f[key], f["_slice"]]
@@ -679,9 +715,9 @@ def emit_longer_stream(stream: DataFrame, key: str, text: str, at: str, order: S
             last = ~f.duplicated([key, "_slice"], keep="last")
             yield batch.take(pa.array(f.index[record | last].to_numpy(), pa.int64()))
 
-    kept = _watched(marked.filter(~keyless), at, cut, marked.schema, delay)
+    kept = _watched(keyed, at, cut, keyed.schema, delay)
     out = T.StructType([kept.schema[c] for c in columns])
-    longer = kept.groupBy(key).transformWithState(_shipped(_LongerOnly(columns, order, keep_seconds)), out, "Append", "EventTime")
+    longer = kept.groupBy(key).transformWithState(_shipped(_LongerOnly(columns, order, keep_seconds, at)), out, "Append", "EventTime")
     return longer.unionByName(marked.filter(keyless).select(*columns))
 
 
@@ -703,27 +739,28 @@ class _SliceOfStreaks(InOrder):
     """
 
     def __init__(self, keys: Sequence[str], order: Sequence[str], width: int, limit: int, repeats: bool):
-        super().__init__(order, width)
+        super().__init__([*keys, "_ok"], order, width)
         self.keys, self.limit, self.repeats = list(keys), limit, repeats
 
     def step(self, key, number, rows, timerValues):
         lead, first, events, streak = [], None, [], 0
+        (ok,) = self._places(["_ok"])
         for row in rows:
-            if row["_ok"]:
+            if row[ok]:
                 if first is None:
-                    first = row["_us"]
+                    first = row[0]
                 elif not self.repeats and streak >= self.limit:
-                    events.append(Row(us=row["_us"], event="end"))
+                    events.append(Row(us=row[0], event="end"))
                 streak = 0
             elif first is None:
-                lead.append(row["_us"])
+                lead.append(row[0])
             else:
                 streak += 1
-                if _events(streak, row["_us"], self.limit, self.repeats):
-                    events.append(Row(us=row["_us"], event="start"))
+                if _events(streak, row[0], self.limit, self.repeats):
+                    events.append(Row(us=row[0], event="start"))
         # Slices go on as of now: their own time has passed.
         now = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms").to_pydatetime()
-        yield Row(**{k: rows[0][k] for k in self.keys}, _slice=number, _at=now, _lead=lead, _first=first, _events=events, _tail=streak)
+        yield Row(**{k: rows[0][p] for k, p in zip(self.keys, self._places(self.keys))}, _slice=number, _at=now, _lead=lead, _first=first, _events=events, _tail=streak)
 
 
 class _Streaks(StatefulProcessor):

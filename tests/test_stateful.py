@@ -1,7 +1,8 @@
 """The keyed processors over a state store that counts its calls, each of which is a message to the JVM."""
 
+import pickle
 import random
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -159,6 +160,35 @@ def test_longer_only_in_packs(monkeypatch, pack, parts):
     assert not store.timers and not store.maps["held"] and not store.maps["best"] and not store.maps["index"]
 
 
+@pytest.mark.parametrize("name", ["set", "longer"])
+def test_held_rows_have_what_the_step_needs(name):
+    """Neither the timestamp beside the microseconds nor a column that is not told."""
+    make = {"set": lambda at=None: stateful._ExpiringSet(["i"], "m", ["i"], 600, at), "longer": lambda at=None: stateful._LongerOnly(["i"], ["i"], 600, at)}[name]
+    rows, epoch = [*log(300, 60, 12), Row(i=-1, _us=-1, m=5, _len=3, _member=True)], datetime(1970, 1, 1, tzinfo=timezone.utc)
+    zone = timezone(timedelta(hours=5, minutes=45))
+    timed = [Row(text="long", at=(epoch + timedelta(microseconds=r["_us"])).astimezone(zone), i=r["i"], m=r["m"], _len=r["_len"], _member=True) for r in rows]
+    told, _ = fed(make(), [(rows, 0), ([], END)])
+    again, _ = fed(make("at"), [(timed, 0), ([], END)])
+    assert told == again and told[0]["i"] == -1
+    _, store = fed(make("at"), [(timed, -10_000_000)])
+    for (held,) in store.maps["held"].values():
+        fields, values = pickle.loads(held)
+        assert set(fields) == {"_us", "i", *(["m", "_member"] if name == "set" else ["_len"])} and not any(isinstance(v, datetime) for v in values[0])
+
+
+def test_packs_of_other_fields_are_read():
+    """State that was written when whole rows were held."""
+    rows = log(300, 60, 12)
+    told, _ = fed(stateful._LongerOnly(["i"], ["i"], 600), [(rows, 0), ([], END)])
+    processor, store = stateful._LongerOnly(["i"], ["i"], 600), Store()
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: END)
+    processor.init(store)
+    list(processor.handleInputRows(KEY, iter(rows), now))
+    for number in store.maps["held"]:
+        store.maps["held"][number] = (pickle.dumps((rows[0].__fields__, [tuple(r) for r in rows])),)
+    assert [*processor.handleExpiredTimer(KEY, now, None)] == told and len(store.maps["held"]) == 0
+
+
 @pytest.mark.parametrize("name", ["set", "longer"])
 def test_calls_do_not_grow_with_the_slices(name):
     """2,000 rows in more than a thousand slices: a few calls, and one timer at a time."""

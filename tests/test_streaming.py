@@ -187,6 +187,23 @@ def test_columns_that_are_told(parts, tmp_path):
     assert ids(got.filter("event_id >= 0"), "session") == ids(batch.withColumn("session", F.col("session").cast("bigint")), "session")
 
 
+def test_texts_that_are_not_told_stay_behind(spark, monkeypatch):
+    """Of them the length travels; the time travels once; rows without key or time do not."""
+    odd = [*ODD_ADDS, (60, None, 1, "w", "never"), (61, "2024-01-01 03:00:00", 1, "w", None), (62, "2024-01-01 04:00:00", 1, "w", " trimmed\u3000"), (63, "2024-01-01 04:30:00", 1, "w", "short")]
+    rows = spark.createDataFrame(odd, "i int, ts string, owner int, key string, text string").withColumn("ts", F.to_timestamp("ts")).coalesce(1)
+    rows = rows.withColumn("key", F.when(F.col("i") % 11 == 0, "").otherwise(F.col("key")))
+    sent = shuffled(monkeypatch, lambda: stateful.emit_longer_stream(rows, "key", "text", "ts", ["i"], "12 hours", DELAY, columns=["i"]))
+    assert sorted(sent.columns) == ["_len", "i", "key", "ts"]
+    slices = {}
+    for r in sorted(rows.filter("ts is not null and key <> ''").collect(), key=lambda r: (r.ts, r.i)):
+        slices.setdefault((r.key, r.ts.hour // 6), []).append((len((r.text or "").strip()), r.i))
+    want = set()
+    for some in slices.values():
+        records = [(length, i) for n, (length, i) in enumerate(some) if all(length > before for before, _ in some[:n])]
+        want |= {*records, some[-1]}
+    assert sorted((r["_len"], r.i) for r in sent.collect()) == sorted(want) and (7, 62) in want
+
+
 def test_emit_if_longer(parts, tmp_path):
     """Also a key that comes back after it was forgotten; the state holds no more than the live keys."""
     rows, frames = parts
@@ -204,6 +221,20 @@ def test_emit_if_longer(parts, tmp_path):
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 4
 
 
+def test_longer_texts_with_some_columns(parts, tmp_path):
+    """Keys and texts that are null or empty too, a member of each slice at equal times, and a time that is told."""
+    rows, frames = parts
+    odd = lambda df: df.withColumns({
+        "ts": F.date_trunc("hour", "ts"), "key": F.when(F.col("event_id") % 9 != 0, F.when(F.col("event_id") % 8 == 0, "").otherwise(F.col("user_id").cast("string"))),
+        "text": F.when(F.col("event_id") % 5 > 0, F.expr("repeat('x', cast((event_id * 7919) % 211 as int))")),
+    })
+    stream = odd(put(frames, tmp_path / "in"))
+    got, _ = all_of(stateful.emit_longer_stream(stream, "key", "text", "ts", ["event_id"], "2 days", DELAY, columns=["event_id", "ts"]), tmp_path)
+    length = F.length(F.coalesce("text", F.lit("")))
+    batch = arrivals.emit_if_longer_live(odd(rows), "key", length, "ts", [F.col(c) for c in BY_TIME], "2 days")
+    assert got.columns == ["event_id", "ts"] and ids(got.filter("event_id >= 0"), "ts") == ids(batch, "ts")
+
+
 def test_cooldowns_end_by_timer(parts, tmp_path):
     rows, frames = parts
     ok, bad = F.col("outcome") == "ok", F.col("outcome") == "timeout"
