emit_longer_stream: the order of held rows has a name of its own

Symptom: InOrder and its subclass for dedup_ttl_stream used one attribute name for two things.
Evidence: the subclass set "by" to names of columns after InOrder had set it to a sort key; no result was wrong, as it never sorts by it.
Fix: the sort key is "sorted_by".
Effect, together with 2 more commits on this code: at 1 GB of input CPU 832 -> 633 s, shuffle 0.41 -> 0.23 GB, spill 0.00 -> 0.00 GB, read 0.34 -> 0.32 GB, longest task 37 -> 29 s, most memory of a task 151 -> 84 MB; at 6 GB of input CPU 4740 -> 3006 s, shuffle 2.53 -> 1.46 GB, spill 0.00 -> 0.00 GB, read 2.09 -> 1.92 GB, longest task 188 -> 142 s, most memory of a task 872 -> 436 MB; with hot keys, at 1 GB of input CPU 732 -> 585 s, shuffle 0.28 -> 0.16 GB, spill 0.00 -> 0.00 GB, read 0.32 -> 0.29 GB, longest task 30 -> 25 s, most memory of a task 109 -> 42 MB.

@@ -74,7 +74,7 @@ class InOrder(StatefulProcessor):
 
     def __init__(self, needed: Sequence[str], order: Sequence[str], width: int, at: str | None = None):
         self.fields = ["_us", *[c for c in dict.fromkeys([*needed, *order]) if c != "_us"]]
-        self.by = itemgetter(0, *[self.fields.index(c) for c in order])
+        self.sorted_by = itemgetter(0, *[self.fields.index(c) for c in order])
         self.width, self.at = width * 1_000_000, at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -95,7 +95,7 @@ class InOrder(StatefulProcessor):
         _, packs = self._indexed()
         self.recall()
         for number, rows in self._passed(packs, now * 1000 // self.width - 1):
-            rows.sort(key=self.by)
+            rows.sort(key=self.sorted_by)
             yield from self.step(key, number, rows, timerValues)
         ends = [t for t in (self.keep(now), self._end(min(packs)[0]) if packs else None) if t is not None]
         self._wake(None, min(ends, default=None), packs)
